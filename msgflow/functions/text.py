@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,28 +33,38 @@ _INVISIBLE = "(?is)" + "|".join(
     [_COMMENT, _block("script", True), _block("style", True), _block("title"), _block("head"),
      r"<!doctype[^>]*>\s*", _DECLARATION, _TAG]
 )
-_NUMERIC_REFERENCE = r"&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
-
-
-def _numeric_character(ref: Column) -> Column:
-    hexadecimal = F.lower(F.substring(ref, 3, 1)) == "x"
-    body = F.regexp_replace(ref, r"[&#;xX]", "")
-    digits = F.when(hexadecimal, F.conv(body, 16, 10)).otherwise(body)
-    code = digits.cast("bigint")
-    return F.when(code.between(32, 126), F.char(code)).otherwise(F.lit(" "))
+# Character references and the text between them; the closing semicolon may be missing.
+_REFERENCE_PIECES = r"&#(?:[0-9]+|[xX][0-9A-Fa-f]+);?|&[A-Za-z][A-Za-z0-9.\-]*;?|[^&]+|&"
+_KNOWN_NAMES = sorted({name.rstrip(";") for name in html5})
+_ASCII_NAMES = {n.rstrip(";"): c for n, c in html5.items() if len(c) == 1 and " " < c <= "~"}
+
+
+def _decode_reference(piece: Column) -> Column:
+    name = F.regexp_replace(piece, "[&;]", "")
+    hexadecimal = F.lower(F.substring(name, 2, 1)) == "x"
+    digits = F.when(hexadecimal, F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(F.substring(name, 2, 9))
+    code = digits.try_cast("bigint")
+    number = F.when(code.between(33, 126), F.char(code)).otherwise(" ")
+    ascii_name = F.str_to_map(F.lit("\n".join(f"{n}\t{c}" for n, c in sorted(_ASCII_NAMES.items()))), F.lit("\n"), F.lit("\t"))
+    known = F.array_contains(F.split(F.lit(" ".join(_KNOWN_NAMES)), " "), name)
+    return (
+        F.when(name == "amp", "&")
+        .when(name == "nbsp", " ")
+        .when(name == "", piece)
+        .when(F.startswith(name, F.lit("#")), number)
+        .otherwise(F.coalesce(F.try_element_at(ascii_name, name), F.when(known, " "), F.concat(F.lit("&"), name)))
+    )
 
 
 def decode_entities(text: Column) -> Column:
-    """Character references to characters; those outside ASCII become a space."""
-    out = text
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " ")):
-        out = F.replace(out, F.lit(name), F.lit(char))
-    out = F.regexp_replace(out, r"&(?!amp;)[A-Za-z][A-Za-z0-9]*;", " ")
-    references = F.array_distinct(F.regexp_extract_all(out, F.lit(_NUMERIC_REFERENCE), F.lit(0)))
-    numeric = F.aggregate(references, out, lambda acc, ref: F.replace(acc, ref, _numeric_character(ref)))
-    out = F.when(F.contains(out, F.lit("&#")), numeric).otherwise(out)
-    out = F.replace(out, F.lit("&amp;"), F.lit("&"))
-    return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
+    """Character references to characters; those outside ASCII become a space.
+
+    Every reference is decoded once, a missing semicolon is forgiven, and an
+    unknown name stays as text without its semicolon.
+    """
+    pieces = F.regexp_extract_all(text, F.lit(_REFERENCE_PIECES), F.lit(0))
+    decoded = F.transform(pieces, lambda p: F.when(F.startswith(p, F.lit("&")), _decode_reference(p)).otherwise(p))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(decoded, "")).otherwise(text)
 
 
 def markup_text(text: Column) -> Column:
@@ -100,7 +112,7 @@ def ensure_protocol(url: Column, protocol: str = "https") -> Column:
 
 def extract_urls(text: Column) -> Column:
     """`extract_links` with the protocol ensured on every element."""
-    return F.transform(extract_links(text), ensure_protocol)
+    return F.transform(extract_links(text), lambda link: ensure_protocol(link))
 
 
 def tokens(text: Column) -> Column:

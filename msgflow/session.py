@@ -65,5 +65,6 @@ def is_small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 32 << 20)
         F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)).cast("bigint") for f in df.schema.fields
     ]
     width = sum(texts[1:], texts[0]) if texts else F.lit(0).cast("bigint")
-    row = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(width).alias("size")).first()
+    sizes = df.select(width.alias("size")).limit(max_rows + 1)  # only sizes leave the scan
+    row = sizes.agg(F.count("*").alias("n"), F.sum("size").alias("size")).first()
     return row["n"] <= max_rows and (row["size"] or 0) <= max_bytes
