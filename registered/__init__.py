@@ -1,0 +1 @@
+"""Registered queries: every operator over the given tables, each with its SQL where SQL can say it."""
