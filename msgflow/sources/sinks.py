@@ -18,8 +18,9 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists") -> None:
-    """CSV with doubled quotes inside quoted fields."""
-    df.write.mode(mode).option("header", header).option("escape", '"').csv(path)
+    """CSV with doubled quotes inside quoted fields; spaces at the ends of a field are kept."""
+    writer = df.write.mode(mode).option("header", header).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def ensure_table(spark: SparkSession, name: str, ddl: str, path: str | None = None) -> None:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from registered import places, texts
+from registered import channels, places, streams, texts, training
 
-MODULES = [texts, places]
+MODULES = [texts, places, channels, training, streams]
 
 
 def all_queries():
