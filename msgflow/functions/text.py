@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -19,6 +20,11 @@ _COMMENT = r"<!--.*?-->"
 _DECLARATION = r"<[!?][A-Za-z\[][^>]*>"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), lambda bound: use(bound)), F.lit(0))
+
+
 def _block(name: str, open_ended: bool = False) -> str:
     end = rf"(?:</{name}\s*>|\z)" if open_ended else rf"</{name}\s*>"
     return rf"<{name}\b[^>]*>.*?{end}"
@@ -39,8 +45,7 @@ _KNOWN_NAMES = sorted({name.rstrip(";") for name in html5})
 _ASCII_NAMES = {n.rstrip(";"): c for n, c in html5.items() if len(c) == 1 and " " < c <= "~"}
 
 
-def _decode_reference(piece: Column) -> Column:
-    name = F.regexp_replace(piece, "[&;]", "")
+def _decode_name(name: Column) -> Column:
     hexadecimal = F.lower(F.substring(name, 2, 1)) == "x"
     digits = F.when(hexadecimal, F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(F.substring(name, 2, 9))
     code = digits.try_cast("bigint")
@@ -50,27 +55,38 @@ def _decode_reference(piece: Column) -> Column:
     return (
         F.when(name == "amp", "&")
         .when(name == "nbsp", " ")
-        .when(name == "", piece)
+        .when(name == "", "&")
         .when(F.startswith(name, F.lit("#")), number)
         .otherwise(F.coalesce(F.try_element_at(ascii_name, name), F.when(known, " "), F.concat(F.lit("&"), name)))
     )
 
 
+def _decode_piece(piece: Column) -> Column:
+    return F.when(F.startswith(piece, F.lit("&")), let(F.regexp_replace(piece, "[&;]", ""), _decode_name)).otherwise(piece)
+
+
 def decode_entities(text: Column) -> Column:
     """Character references to characters; those outside ASCII become a space.
 
     Every reference is decoded once, a missing semicolon is forgiven, and an
     unknown name stays as text without its semicolon.
     """
-    pieces = F.regexp_extract_all(text, F.lit(_REFERENCE_PIECES), F.lit(0))
-    decoded = F.transform(pieces, lambda p: F.when(F.startswith(p, F.lit("&")), _decode_reference(p)).otherwise(p))
-    return F.when(F.contains(text, F.lit("&")), F.array_join(decoded, "")).otherwise(text)
+
+    def decode(bound: Column) -> Column:
+        pieces = F.regexp_extract_all(bound, F.lit(_REFERENCE_PIECES), F.lit(0))
+        decoded = F.array_join(F.transform(pieces, lambda piece: _decode_piece(piece)), "")
+        return F.when(F.contains(bound, F.lit("&")), decoded).otherwise(bound)
+
+    return let(text, decode)
 
 
 def markup_text(text: Column) -> Column:
     """Text of a markup fragment: every text node, concatenated without a separator."""
-    bare = F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, _MARKUP, "")).otherwise(text)
-    return decode_entities(bare)
+
+    def strip(bound: Column) -> Column:
+        return F.when(F.contains(bound, F.lit("<")), F.regexp_replace(bound, _MARKUP, "")).otherwise(bound)
+
+    return decode_entities(let(text, strip))
 
 
 def letters_only(text: Column) -> Column:
@@ -93,8 +109,9 @@ def visible_text(html: Column) -> Column:
     """
     page = F.regexp_replace(html, r"(?is)(</html\s*>)[^<]*\z", "$1")
     page = F.replace(page, F.lit("&nbsp;"), F.lit(" "))
-    nodes = F.split(page, _INVISIBLE)
-    nodes = F.filter(F.slice(nodes, F.lit(2), F.greatest(F.size(nodes) - 1, F.lit(0))), lambda n: n != "")
+    # the first piece is the text before the first tag
+    inner = let(F.split(page, _INVISIBLE), lambda n: F.slice(n, F.lit(2), F.greatest(F.size(n) - 1, F.lit(0))))
+    nodes = F.filter(inner, lambda n: n != "")
     stripped = F.transform(nodes, lambda n: F.regexp_replace(n, f"^{WHITESPACE}|{WHITESPACE}$", ""))
     return decode_entities(F.array_join(stripped, " "))
 
@@ -120,10 +137,10 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(text, WHITESPACE), lambda t: t != "")
 
 
-def place_tokens(text: Column) -> Column:
+def place_tokens(text: Column, separator: str = WHITESPACE) -> Column:
     """Lower-cased tokens whose length allows a place name."""
     fits = F.filter(
-        F.split(text, WHITESPACE),
+        F.split(text, separator),
         lambda t: F.length(t).between(fv.MIN_PLACE_LENGTH, fv.MAX_PLACE_LENGTH),
     )
     return F.transform(fits, F.lower)

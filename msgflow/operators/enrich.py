@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from msgflow import fixed_values as fv
 from msgflow.functions import geo, text, whois
 from msgflow.functions.records import page_key
-from msgflow.operators.skew import first_per_key, skew_join
+from msgflow.operators.skew import first_per_key, skew_join, without_copies
 from msgflow.session import is_small
+from msgflow.sources.tables import gazetteer_lookup
 
 
 def explode_sentences(messages: DataFrame) -> DataFrame:
@@ -35,27 +36,34 @@ def _lookup_join(facts: DataFrame, dim: DataFrame, small: bool, key: str, spread
     return skew_join(facts, dim, key, spread)
 
 
-def page_contents(pages: DataFrame) -> DataFrame:
+def pages_are_small(pages: DataFrame) -> bool:
+    return is_small(pages.select("url", "html"))
+
+
+def page_contents(pages: DataFrame, small: bool | None = None) -> DataFrame:
     """Cleaned visible text per page key; the smallest page id wins where pages share a key.
 
     Pages with a `status` outside 200-399 or without markup count as not loaded.
-    Text is taken out before the shuffle, which then carries no markup.
     """
+    small = pages_are_small(pages) if small is None else small
     loaded = F.col("html").isNotNull()
     if "status" in pages.columns:
         loaded = loaded & F.col("status").between(200, 399)
+    keyed = pages.withColumn("_page", page_key(F.col("url")))
+    if not small:
+        keyed = without_copies(keyed, "_page", "page_id")
     body = F.when(loaded, text.visible_text(F.col("html"))).otherwise(fv.MISSING_PAGE_TEXT)
-    rows = pages.select(page_key(F.col("url")).alias("_page"), "page_id", text.clean_text(body).alias("content"))
-    return first_per_key(rows, "_page", "page_id").drop("page_id")
+    contents = keyed.select("_page", "page_id", text.clean_text(body).alias("content"))
+    return (first_per_key(contents, "_page", "page_id") if small else contents).drop("page_id")
 
 
-def enrich_pages(urls: DataFrame, pages: DataFrame, contents: DataFrame | None = None) -> DataFrame:
+def enrich_pages(urls: DataFrame, pages: DataFrame, contents: DataFrame | None = None, small: bool | None = None) -> DataFrame:
     """Left join of links with page contents; a link without a page gets the missing-page text.
 
     `contents` replaces `page_contents(pages)` when it has been prepared, for example scored.
     """
-    contents = page_contents(pages) if contents is None else contents
-    small = is_small(pages.select("url", "html"))
+    small = pages_are_small(pages) if small is None else small
+    contents = page_contents(pages, small) if contents is None else contents
     keyed = urls.withColumn("_page", page_key(F.col("url")))
     joined = _lookup_join(keyed, contents, small, "_page", urls.columns)
     return joined.withColumn("content", F.coalesce("content", F.lit(fv.MISSING_PAGE_TEXT))).drop("_page")
@@ -91,18 +99,16 @@ def enrich_whois(urls: DataFrame, registry: DataFrame, as_json: bool = True) ->
     return joined.select(*kept, *[value.alias(f"whois_{name}") for name, value in fields.items()])
 
 
-def match_cities(messages: DataFrame, gazetteer: DataFrame, content: str, lookup: DataFrame | None = None) -> DataFrame:
+def match_cities(messages: DataFrame, gazetteer: DataFrame, content: str, separator: str = text.WHITESPACE) -> DataFrame:
     """One row per token that names a city, with the city and its point. Repeats are kept.
 
     `gazetteer` is the cleaned table (pos, name, population, latitude, longitude).
+    Cleaned text holds no white space but single spaces, so its `separator` may be one.
     """
-    from msgflow.sources.tables import gazetteer_lookup
-
-    lookup = gazetteer_lookup(gazetteer) if lookup is None else lookup
-    places = lookup.select(
+    places = gazetteer_lookup(gazetteer).select(
         F.col("name").alias("city"), geo.wkt_point(F.col("longitude"), F.col("latitude")).alias("location")
     )
-    tokens = messages.withColumn("city", F.explode(text.place_tokens(F.col(content))))
+    tokens = messages.withColumn("city", F.explode(text.place_tokens(F.col(content), separator)))
     if is_small(gazetteer.select("name", "latitude", "longitude")):
         return tokens.join(F.broadcast(places), "city")
     if messages.isStreaming:

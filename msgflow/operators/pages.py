@@ -25,7 +25,8 @@ def _open(tags: str, name: str) -> str:
 def _attribute(tag: Column, name: str) -> Column:
     """Value of an attribute of a tag, null when it is absent."""
     pattern = rf"""\s{name}="([^"]*)\""""
-    return F.when(F.rlike(tag, F.lit(pattern)), text.decode_entities(F.regexp_extract(tag, pattern, 1)))
+    found = lambda t: F.when(F.rlike(t, F.lit(pattern)), F.regexp_extract(t, pattern, 1))
+    return text.decode_entities(text.let(tag, found))
 
 
 def _first(html: Column, pattern: str, group: int = 1) -> Column:
@@ -41,8 +42,7 @@ def containers(html: Column) -> Column:
 
 
 def _pieces(html: Column, marker: str) -> Column:
-    parts = F.split(html, marker)
-    return F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+    return text.let(F.split(html, marker), lambda p: F.slice(p, F.lit(2), F.greatest(F.size(p) - 1, F.lit(0))))
 
 
 def post_id(container: Column) -> Column:
@@ -151,9 +151,12 @@ def _wraps(html: Column) -> Column:
 
 def message_count(html: Column) -> Column:
     """Message containers of a page; the single no-posts notice counts as none."""
-    wraps = _wraps(html)
-    notice = F.trim(text.markup_text(F.get(wraps, F.lit(0)))) == fv.NO_POSTS_TEXT
-    return F.when((F.size(wraps) == 1) & notice, 0).otherwise(F.size(wraps)).cast("bigint")
+
+    def count(wraps: Column) -> Column:
+        notice = F.trim(text.markup_text(F.get(wraps, F.lit(0)))) == fv.NO_POSTS_TEXT
+        return F.when((F.size(wraps) == 1) & notice, 0).otherwise(F.size(wraps)).cast("bigint")
+
+    return text.let(_wraps(html), count)
 
 
 def page_ids(html: Column) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from msgflow.session import is_small
+
 # A key is hot when it holds more than this share of all rows, so there are fewer
 # than 1 / HOT_SHARE hot keys: the broadcast list of them is bounded by that.
 HOT_SHARE = 0.005
@@ -57,6 +59,25 @@ def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(first).select(key, "_first.*")
 
 
+def without_copies(df: DataFrame, key: str, order: str) -> DataFrame:
+    """First row of every key, for wide rows that mostly have a key of their own.
+
+    Only (key, order) is aggregated, and only keys that occur more than once are
+    looked up again, so wide rows are not sorted and cross no shuffle while those
+    keys are few. Rows without a key are dropped.
+    """
+    keyed = df.where(F.col(key).isNotNull())
+    firsts = (
+        keyed.groupBy(key).agg(F.min(order).alias("_first"), F.count("*").alias("_copies"))
+        .where(F.col("_copies") > 1).drop("_copies")
+    )
+    if is_small(firsts):
+        marked = keyed.join(F.broadcast(firsts), key, "left")
+    else:
+        marked = skew_join(keyed, firsts, key, [order])
+    return marked.where(F.col("_first").isNull() | (F.col(order) == F.col("_first"))).drop("_first")
+
+
 def running_total(df: DataFrame, order: str, value: str, output: str, block: int = 100_000) -> DataFrame:
     """Running sum over a dense integer position, in blocks.
 

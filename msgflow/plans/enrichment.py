@@ -15,6 +15,7 @@ from msgflow.operators.enrich import (
     explode_urls,
     match_cities,
     page_contents,
+    pages_are_small,
 )
 from msgflow.operators.sentiment import score
 from msgflow.session import stage
@@ -39,10 +40,11 @@ def link_intelligence(
     urls = cited_urls(messages)
     if stage_urls and not urls.isStreaming:
         urls = stage(urls, "cited-urls")
-    contents = page_contents(pages)
+    small = pages_are_small(pages)
+    contents = page_contents(pages, small)
     if model is not None:
         contents = score(contents, model)
-    linked = enrich_pages(enrich_whois(urls, registry), pages, contents)
+    linked = enrich_pages(enrich_whois(urls, registry), pages, contents, small)
     columns = ["id", "channel", "`@timestamp`", "content", "url", "whois"]
     if model is None:
         return linked.select(*columns)
@@ -64,4 +66,4 @@ def message_analysis(messages: DataFrame, gazetteer: DataFrame, model: PipelineM
     if model is not None:
         contents = score(contents, model)
         columns.append("emotion_detection")
-    return match_cities(contents, gazetteer, "content").select(*columns, "city", "location")
+    return match_cities(contents, gazetteer, "content", " ").select(*columns, "city", "location")
