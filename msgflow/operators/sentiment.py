@@ -14,6 +14,7 @@ from msgflow import fixed_values as fv
 from msgflow.functions.records import emotion
 from msgflow.operators.analytics import accuracy
 from msgflow.operators.sampling import split_rows
+from msgflow.session import spread
 from msgflow.sources.sinks import save_model
 
 _SCORE_COLUMNS = ["tokens", "filtered_words", "vector", "rawPrediction", "probability", "prediction"]
@@ -48,19 +49,38 @@ class Training:
     accuracy: float | None
 
 
+def _pieces(rows: int, rows_per_piece: int, most: int) -> int:
+    return max(1, min(most, rows // rows_per_piece))
+
+
+def fit(rows: DataFrame, input_col: str, label_col: str, partitions: int | None = None) -> PipelineModel:
+    """Fit the stages one after the other; the result is the model that fitting them as one would give.
+
+    Words are computed once for both learners. The regression passes over its
+    vectors up to a hundred times, so a small set is put into few partitions.
+    """
+    most = rows.sparkSession.sparkContext.defaultParallelism
+    words_of, stops, vectors_of, regression = sentiment_stages(input_col, label_col).getStages()
+    words = stops.transform(words_of.transform(spread(rows.select(input_col, label_col)))).persist()
+    try:
+        count = words.count()
+        vectors_of = vectors_of.setNumPartitions(partitions or _pieces(count, 500, most)).fit(words)
+        vectors = vectors_of.transform(words).select("vector", label_col)
+        small = count < 10_000 * most
+        regression = regression.fit(vectors.coalesce(_pieces(count, 10_000, most)) if small else vectors)
+    finally:
+        words.unpersist()
+    return PipelineModel([words_of, stops, vectors_of, regression])
+
+
 def train(
     labelled: DataFrame, key: str, input_col: str = "content", label_col: str = "label",
     weights: list[float] | None = None, partitions: int | None = None,
 ) -> Training:
     """Drop rows with nulls, split, fit on the first part, report accuracy on the third if it has weight."""
     weights = fv.SPLIT_WEIGHTS if weights is None else weights
-    partitions = partitions or labelled.sparkSession.sparkContext.defaultParallelism
     fit_part, _, test_part = split_rows(labelled.dropna(), key, weights)
-    fit_part = fit_part.select(input_col, label_col).persist()
-    try:
-        model = sentiment_stages(input_col, label_col, partitions).fit(fit_part)
-    finally:
-        fit_part.unpersist()
+    model = fit(fit_part, input_col, label_col, partitions)
     reached = None
     if weights[2] > 0:
         reached = accuracy(model.transform(test_part), label_col).first()["accuracy"]

@@ -56,6 +56,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table that arrives in fewer pieces than there are cores.
+
+    For text work on small files. A large table is scanned in more pieces than that and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.isStreaming or df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def is_small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 32 << 20) -> bool:
     """Measured check that a lookup side may be broadcast.
 

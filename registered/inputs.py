@@ -6,10 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from msgflow.functions import text, whois
+from msgflow.session import spread
+
+
+TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(rows) if name in TEXT_TABLES else rows
 
 
 def day_text(n: Column) -> Column:

@@ -9,6 +9,8 @@ import duckdb
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+
 
 def connect(sf: str):
     connection = duckdb.connect()
@@ -28,6 +30,10 @@ def difference(df, connection, sql) -> str | None:
     names = [d[0] for d in cursor.description]
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
+    kinds = {name: TYPES.get(field.dataType.simpleString()) for name, field in zip(df.columns, df.schema.fields)}
+    given = {d[0]: str(d[1]) for d in cursor.description}
+    if kinds != given:
+        return f"types {sorted(kinds.items())} != {sorted(given.items())}"
     ours, theirs = rows_of(df.columns, df.collect()), rows_of(names, cursor.fetchall())
     if len(ours) != len(theirs):
         return f"rows {len(ours)} != {len(theirs)}"
