@@ -5,13 +5,14 @@ Everything in this file is a FIXED VALUE: it must not be changed, because output
 """
 
 # --- text -------------------------------------------------------------------
-# Fixed value: what counts as a link inside a sentence (group 1 is the link).
-URL_PATTERN = (
-    r"\b((?:https?://)?(?:(?:www\.)?(?:[\da-z\.-]+)\.(?:[a-z]{2,6})|"
-    r"(?:(?:25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)\.){3}(?:25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?))"
-    r"(?::[0-9]{1,4}|[1-5][0-9]{4}|6[0-4][0-9]{3}|65[0-4][0-9]{2}|655[0-2][0-9]|6553[0-5])?"
-    r"(?:/[\w\.-]*)*/?)\b"
-)
+# What counts as a link inside a sentence (group 1 of URL_PATTERN is the link).
+# A host with a lower-case top level, or an IPv4 address; a port of up to four digits after
+# a colon, or a five-digit one without; a path of word characters, dots, dashes and slashes.
+OCTET = r"(?:25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)"
+HOST = r"[\da-z.-]+\.[a-z]{2,6}"
+PORT = r"(?::[0-9]{1,4}|[1-5][0-9]{4}|6[0-4][0-9]{3}|65[0-4][0-9]{2}|655[0-2][0-9]|6553[0-5])"
+PATH = r"/[\w./-]*"
+URL_PATTERN = rf"\b((?:https?://)?(?:{HOST}|(?:{OCTET}\.){{3}}{OCTET}){PORT}?(?:{PATH})?)\b"
 # Removed from text before it is reduced to letters.
 MENTION_PATTERN = r"@[A-Za-z0-9]+"
 LINK_PATTERN = r"https?://[A-Za-z0-9./]+"

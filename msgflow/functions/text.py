@@ -12,10 +12,12 @@ from msgflow import fixed_values as fv
 
 # Unicode white space, spelled out because regex dialects disagree on \s.
 WHITESPACE = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\p{Z}]+"
+WHITESPACE_CHARACTERS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 # One markup tag. A quote only opens an attribute value directly after "=", so
-# stray quotes in a tag cannot swallow the text that follows it.
-_TAG = r"""</?[A-Za-z][^>=]*(?:=\s*(?:"[^"]*"|'[^']*'|)[^>=]*)*>"""
+# stray quotes in a tag cannot swallow the text that follows it. The possessive
+# loops keep the matcher's stack flat however many attributes a tag has.
+_TAG = r"""</?[A-Za-z][^>=]*+(?:=\s*+(?:"[^"]*"|'[^']*'|)[^>=]*+)*+>"""
 _COMMENT = r"<!--.*?-->"
 _DECLARATION = r"<[!?][A-Za-z\[][^>]*>"
 
@@ -84,7 +86,8 @@ def markup_text(text: Column) -> Column:
     """Text of a markup fragment: every text node, concatenated without a separator."""
 
     def strip(bound: Column) -> Column:
-        return F.when(F.contains(bound, F.lit("<")), F.regexp_replace(bound, _MARKUP, "")).otherwise(bound)
+        has_tags = F.contains(bound, F.lit("<")) & F.contains(bound, F.lit(">"))
+        return F.when(has_tags, F.regexp_replace(bound, _MARKUP, "")).otherwise(bound)
 
     return decode_entities(let(text, strip))
 
@@ -112,7 +115,7 @@ def visible_text(html: Column) -> Column:
     # the first piece is the text before the first tag
     inner = let(F.split(page, _INVISIBLE), lambda n: F.slice(n, F.lit(2), F.greatest(F.size(n) - 1, F.lit(0))))
     nodes = F.filter(inner, lambda n: n != "")
-    stripped = F.transform(nodes, lambda n: F.regexp_replace(n, f"^{WHITESPACE}|{WHITESPACE}$", ""))
+    stripped = F.transform(nodes, lambda n: F.trim(n, F.lit(WHITESPACE_CHARACTERS)))
     return decode_entities(F.array_join(stripped, " "))
 
 

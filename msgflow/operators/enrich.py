@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from msgflow import fixed_values as fv
 from msgflow.functions import geo, text, whois
 from msgflow.functions.records import page_key
 from msgflow.operators.skew import first_per_key, skew_join, without_copies
-from msgflow.session import is_small
+from msgflow.session import is_small, stage, stage_by_key
 from msgflow.sources.tables import gazetteer_lookup
 
 
@@ -24,28 +26,41 @@ def explode_urls(sentences: DataFrame) -> DataFrame:
     return sentences.select("id", "channel", "`@timestamp`", "data", links)
 
 
-def _lookup_join(facts: DataFrame, dim: DataFrame, small: bool, key: str, spread: list[str]) -> DataFrame:
-    """Left lookup: broadcast when measured small, by key with hot keys split beyond that.
+@dataclass
+class Lookup:
+    """A lookup table with one row per key, and whether it was measured to be small enough to broadcast."""
 
-    A micro-batch of a stream is bounded by its trigger and joins by key directly.
-    """
-    if small:
-        return facts.join(F.broadcast(dim), key, "left")
-    if facts.isStreaming:
-        return facts.join(dim, key, "left")
-    return skew_join(facts, dim, key, spread)
+    rows: DataFrame
+    key: str
+    small: bool
+
+    def staged(self, label: str) -> Lookup:
+        """The same lookup, computed once and written to the shared folder.
 
+        A large one is written in buckets of its key, so that joins on the key do not shuffle it.
+        """
+        rows = stage(self.rows, label) if self.small else stage_by_key(self.rows, label, self.key)
+        return Lookup(rows, self.key, self.small)
 
-def pages_are_small(pages: DataFrame) -> bool:
-    return is_small(pages.select("url", "html"))
+    def join(self, facts: DataFrame, spread: list[str], how: str = "left", counted: DataFrame | None = None) -> DataFrame:
+        """Join facts on the key: broadcast when small, beyond that by key with hot keys split.
 
+        `counted` holds the same keys as the facts and is cheaper to count. A
+        micro-batch of a stream is bounded by its trigger and joins by key directly.
+        """
+        if self.small:
+            return facts.join(F.broadcast(self.rows), self.key, how)
+        if facts.isStreaming:
+            return facts.join(self.rows, self.key, how)
+        return skew_join(facts, self.rows, self.key, spread, how, counted)
 
-def page_contents(pages: DataFrame, small: bool | None = None) -> DataFrame:
+
+def page_lookup(pages: DataFrame) -> Lookup:
     """Cleaned visible text per page key; the smallest page id wins where pages share a key.
 
     Pages with a `status` outside 200-399 or without markup count as not loaded.
     """
-    small = pages_are_small(pages) if small is None else small
+    small = is_small(pages.select("url", "html"))
     loaded = F.col("html").isNotNull()
     if "status" in pages.columns:
         loaded = loaded & F.col("status").between(200, 399)
@@ -54,44 +69,40 @@ def page_contents(pages: DataFrame, small: bool | None = None) -> DataFrame:
         keyed = without_copies(keyed, "_page", "page_id")
     body = F.when(loaded, text.visible_text(F.col("html"))).otherwise(fv.MISSING_PAGE_TEXT)
     contents = keyed.select("_page", "page_id", text.clean_text(body).alias("content"))
-    return (first_per_key(contents, "_page", "page_id") if small else contents).drop("page_id")
+    rows = first_per_key(contents, "_page", "page_id") if small else contents
+    return Lookup(rows.drop("page_id"), "_page", small)
 
 
-def enrich_pages(urls: DataFrame, pages: DataFrame, contents: DataFrame | None = None, small: bool | None = None) -> DataFrame:
+def enrich_pages(urls: DataFrame, pages: DataFrame | Lookup, counted: DataFrame | None = None) -> DataFrame:
     """Left join of links with page contents; a link without a page gets the missing-page text.
 
-    `contents` replaces `page_contents(pages)` when it has been prepared, for example scored.
+    `counted` may name the links before other lookups were joined to them.
     """
-    small = pages_are_small(pages) if small is None else small
-    contents = page_contents(pages, small) if contents is None else contents
-    keyed = urls.withColumn("_page", page_key(F.col("url")))
-    joined = _lookup_join(keyed, contents, small, "_page", urls.columns)
+    lookup = pages if isinstance(pages, Lookup) else page_lookup(pages)
+    key = page_key(F.col("url"))
+    base = None if counted is None else counted.select(key.alias("_page"))
+    joined = lookup.join(urls.withColumn("_page", key), urls.columns, counted=base)
     return joined.withColumn("content", F.coalesce("content", F.lit(fv.MISSING_PAGE_TEXT))).drop("_page")
 
 
-def registrations(registry: DataFrame) -> DataFrame:
-    """One registration per domain: the first by domain name list and fields where there are several."""
-    rows = registry.select(
-        F.lower("domain").alias("_domain"),
-        F.lit(0).alias("_order"),
-        F.lit(True).alias("_known"),
-        *fv.WHOIS_FIELDS,
-    )
-    return first_per_key(rows, "_domain", "_order").drop("_order")
+def whois_lookup(registry: DataFrame) -> Lookup:
+    """One registration per domain; where there are several, the least one by its fields in order."""
+    rows = registry.select(F.lower("domain").alias("_domain"), F.lit(0).alias("_order"), *fv.WHOIS_FIELDS)
+    return Lookup(first_per_key(rows, "_domain", "_order").drop("_order"), "_domain", is_small(registry))
 
 
 def whois_columns() -> dict[str, Column]:
     return {name: whois.printed_field(name) for name in fv.WHOIS_FIELDS}
 
 
-def enrich_whois(urls: DataFrame, registry: DataFrame, as_json: bool = True) -> DataFrame:
+def enrich_whois(urls: DataFrame, registry: DataFrame | Lookup, as_json: bool = True) -> DataFrame:
     """Left join of links with the registration of their domain.
 
     Adds the JSON text `whois`, or the printed fields one by one (prefix `whois_`).
-    A domain is where links pile up, so beyond broadcast size hot domains are split.
+    A domain is where links pile up: beyond broadcast size hot domains are split.
     """
-    keyed = urls.withColumn("_domain", whois.registered_domain(F.col("url")))
-    joined = _lookup_join(keyed, registrations(registry), is_small(registry), "_domain", urls.columns)
+    lookup = registry if isinstance(registry, Lookup) else whois_lookup(registry)
+    joined = lookup.join(urls.withColumn("_domain", whois.registered_domain(F.col("url"))), urls.columns)
     fields = whois_columns()
     kept = [F.col(f"`{c}`") for c in urls.columns]
     if as_json:
@@ -99,18 +110,18 @@ def enrich_whois(urls: DataFrame, registry: DataFrame, as_json: bool = True) ->
     return joined.select(*kept, *[value.alias(f"whois_{name}") for name, value in fields.items()])
 
 
-def match_cities(messages: DataFrame, gazetteer: DataFrame, content: str, separator: str = text.WHITESPACE) -> DataFrame:
+def place_lookup(gazetteer: DataFrame) -> Lookup:
+    """City and point per name of the cleaned gazetteer (pos, name, population, latitude, longitude)."""
+    point = geo.wkt_point(F.col("longitude"), F.col("latitude"))
+    rows = gazetteer_lookup(gazetteer).select(F.col("name").alias("city"), point.alias("location"))
+    return Lookup(rows, "city", is_small(gazetteer.select("name", "latitude", "longitude")))
+
+
+def match_cities(messages: DataFrame, gazetteer: DataFrame | Lookup, content: str, separator: str = text.WHITESPACE) -> DataFrame:
     """One row per token that names a city, with the city and its point. Repeats are kept.
 
-    `gazetteer` is the cleaned table (pos, name, population, latitude, longitude).
     Cleaned text holds no white space but single spaces, so its `separator` may be one.
     """
-    places = gazetteer_lookup(gazetteer).select(
-        F.col("name").alias("city"), geo.wkt_point(F.col("longitude"), F.col("latitude")).alias("location")
-    )
+    lookup = gazetteer if isinstance(gazetteer, Lookup) else place_lookup(gazetteer)
     tokens = messages.withColumn("city", F.explode(text.place_tokens(F.col(content), separator)))
-    if is_small(gazetteer.select("name", "latitude", "longitude")):
-        return tokens.join(F.broadcast(places), "city")
-    if messages.isStreaming:
-        return tokens.join(places, "city")
-    return skew_join(tokens, places, "city", messages.columns, "inner")
+    return lookup.join(tokens, messages.columns, "inner")

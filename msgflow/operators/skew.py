@@ -22,17 +22,19 @@ def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
 
 
 def skew_join(
-    facts: DataFrame, dim: DataFrame, key: str, spread: list[str], how: str = "left", share: float = HOT_SHARE
+    facts: DataFrame, dim: DataFrame, key: str, spread: list[str], how: str = "left",
+    counted: DataFrame | None = None, share: float = HOT_SHARE,
 ) -> DataFrame:
     """Join `facts` to `dim` on one key, with hot keys split into pieces.
 
     Rows of a hot key are spread over its pieces by a hash of the `spread` columns
     (they should tell the rows apart); only the dimension rows of hot keys are
     repeated, once per piece. Every fact row meets every dimension row of its key
-    exactly once, so the result is that of the plain join. `facts` is read twice:
-    stage it first when computing it is expensive.
+    exactly once, so the result is that of the plain join. Keys are counted in
+    `counted`, which is `facts` itself unless given: where that is expensive to
+    compute, stage it first, since it is then read twice.
     """
-    hot = F.broadcast(hot_keys(facts, key, share))
+    hot = F.broadcast(hot_keys(facts if counted is None else counted, key, share))
     spot = F.xxhash64(*spread)
     salted = (
         facts.join(hot, key, "left")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,13 +11,14 @@ from pyspark.sql import functions as F
 from msgflow import fixed_values as fv
 from msgflow.functions import text
 from msgflow.operators.enrich import (
+    Lookup,
     enrich_pages,
     enrich_whois,
     explode_sentences,
     explode_urls,
     match_cities,
-    page_contents,
-    pages_are_small,
+    page_lookup,
+    whois_lookup,
 )
 from msgflow.operators.sentiment import score
 from msgflow.session import stage
@@ -27,34 +30,49 @@ def cited_urls(messages: DataFrame) -> DataFrame:
     return explode_urls(explode_sentences(messages)).drop("data")
 
 
-def link_intelligence(
-    messages: DataFrame, pages: DataFrame, registry: DataFrame, model: PipelineModel | None = None, stage_urls: bool = False
-) -> DataFrame:
+@dataclass
+class LinkLookups:
+    """What the link query looks up: page contents, registrations, and the label of a missing page."""
+
+    pages: Lookup
+    registry: Lookup
+    missing_label: str | None
+
+    def staged(self) -> LinkLookups:
+        """Computed once and written to the shared folder; for streams, which read them in every batch."""
+        return LinkLookups(self.pages.staged("page-contents"), self.registry.staged("registrations"), self.missing_label)
+
+
+def link_lookups(pages: DataFrame, registry: DataFrame, model: PipelineModel | None = None) -> LinkLookups:
+    """Lookups of the link query. With a model, a page is scored once, not once per citation."""
+    contents = page_lookup(pages)
+    if model is None:
+        return LinkLookups(contents, whois_lookup(registry), None)
+    contents = Lookup(score(contents.rows, model), contents.key, contents.small)
+    missing = score(pages.sparkSession.createDataFrame([(fv.MISSING_PAGE_TEXT,)], "content string"), model).first()
+    return LinkLookups(contents, whois_lookup(registry), missing["emotion_detection"])
+
+
+def link_intelligence(messages: DataFrame, lookups: LinkLookups, stage_urls: bool = False) -> DataFrame:
     """Links of messages with page text, registration and sentiment of the page.
 
     Registrations are joined first, while rows are narrow; the page text is joined
-    last and crosses no further shuffle. A page is cleaned and scored once, not once
-    per citation. `stage_urls` writes the extracted links to the shared folder, so
-    that finding hot keys does not extract them again; use it on large batches.
+    last and crosses no further shuffle. `stage_urls` writes the extracted links to
+    the shared folder, so that counting their keys does not extract them again; use
+    it on large batches.
     """
     urls = cited_urls(messages)
     if stage_urls and not urls.isStreaming:
         urls = stage(urls, "cited-urls")
-    small = pages_are_small(pages)
-    contents = page_contents(pages, small)
-    if model is not None:
-        contents = score(contents, model)
-    linked = enrich_pages(enrich_whois(urls, registry), pages, contents, small)
+    linked = enrich_pages(enrich_whois(urls, lookups.registry), lookups.pages, counted=urls)
     columns = ["id", "channel", "`@timestamp`", "content", "url", "whois"]
-    if model is None:
+    if lookups.missing_label is None:
         return linked.select(*columns)
-    spark = messages.sparkSession
-    absent = score(spark.createDataFrame([(fv.MISSING_PAGE_TEXT,)], "content string"), model).first()
-    label = F.coalesce("emotion_detection", F.lit(absent["emotion_detection"]))
+    label = F.coalesce("emotion_detection", F.lit(lookups.missing_label))
     return linked.select(*columns, label.alias("emotion_detection"))
 
 
-def message_analysis(messages: DataFrame, gazetteer: DataFrame, model: PipelineModel | None = None) -> DataFrame:
+def message_analysis(messages: DataFrame, gazetteer: DataFrame | Lookup, model: PipelineModel | None = None) -> DataFrame:
     """Cited cities of translated messages, with the sentiment of the message.
 
     A message is scored once, before its cities are exploded: the work stays linear in the text.

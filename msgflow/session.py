@@ -56,6 +56,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_by_key(df: DataFrame, label: str, key: str) -> DataFrame:
+    """`stage` into buckets of one key: a later join on the key does not shuffle this side."""
+    spark = df.sparkSession
+    path = work_path(spark, label)
+    name = f"staged_{path[-32:]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores on a table that arrives in fewer pieces than there are cores.
 

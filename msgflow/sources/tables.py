@@ -97,7 +97,7 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
 
     Read as one whole text, since the order of lines decides the vote ranges.
     """
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return parse_catalog(text.select(F.posexplode(F.split("value", r"\r?\n")).alias("p", "value")).select(F.col("p").cast("bigint").alias("pos"), "value"))
 
 

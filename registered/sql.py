@@ -24,8 +24,13 @@ def decode(x: str) -> str:
     return f"CASE WHEN contains({x}, '&') THEN array_to_string(list_transform({pieces}, lambda p: {one}), '') ELSE {x} END"
 
 
+def pattern(java: str) -> str:
+    """A pattern as SQL text; this engine's matcher has no possessive loops and needs none."""
+    return quoted(java.replace("*+", "*"))
+
+
 def markup(x: str) -> str:
-    return decode(f"regexp_replace({x}, {quoted(_text._MARKUP)}, '', 'g')")
+    return decode(f"regexp_replace({x}, {pattern(_text._MARKUP)}, '', 'g')")
 
 
 def letters(x: str) -> str:
@@ -40,9 +45,9 @@ def clean(x: str, has_markup: bool = True) -> str:
 
 def visible(x: str) -> str:
     page = f"replace(regexp_replace({x}, '(?is)(</html\\s*>)[^<]*\\z', '\\1'), '&nbsp;', ' ')"
-    nodes = f"list_filter(list_slice(string_split_regex({page}, {quoted(_text._INVISIBLE)}), 2, 1000000000), lambda n: n <> '')"
-    edge = quoted(f"^{_text.WHITESPACE}|{_text.WHITESPACE}$")
-    return decode(f"array_to_string(list_transform({nodes}, lambda n: regexp_replace(n, {edge}, '', 'g')), ' ')")
+    nodes = f"list_filter(list_slice(string_split_regex({page}, {pattern(_text._INVISIBLE)}), 2, 1000000000), lambda n: n <> '')"
+    edge = quoted(_text.WHITESPACE_CHARACTERS)
+    return decode(f"array_to_string(list_transform({nodes}, lambda n: trim(n, {edge})), ' ')")
 
 
 def links(x: str) -> str:

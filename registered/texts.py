@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from msgflow.functions import records, text, whois
 from msgflow.operators import enrich
-from msgflow.plans.enrichment import cited_urls, link_intelligence
+from msgflow.plans.enrichment import cited_urls, link_intelligence, link_lookups
 from registered import inputs, sql
 from registered.inputs import table
 
@@ -101,7 +101,8 @@ def whois_json(spark, sf):
 
 
 def links_unscored(spark, sf):
-    out = link_intelligence(inputs.linked_messages(spark, sf), table(spark, sf, "pages"), inputs.registry(spark, sf))
+    lookups = link_lookups(table(spark, sf, "pages"), inputs.registry(spark, sf))
+    out = link_intelligence(inputs.linked_messages(spark, sf), lookups)
     return out.withColumnRenamed("@timestamp", "timestamp")
 
 

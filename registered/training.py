@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from msgflow import fixed_values as fv
 from msgflow.functions import records
 from msgflow.operators import analytics, sampling, sentiment
-from msgflow.plans.enrichment import link_intelligence, message_analysis
+from msgflow.plans.enrichment import link_intelligence, link_lookups, message_analysis
 from msgflow.plans.preparation import clean_labelled, prepare_training
 from msgflow.session import work_path
 from msgflow.sources import sinks, tables
@@ -132,9 +132,8 @@ def sentiment_other_columns(spark, sf):
 
 
 def links_scored(spark, sf):
-    return link_intelligence(
-        inputs.linked_messages(spark, sf), table(spark, sf, "pages"), inputs.registry(spark, sf), fitted(spark, sf)
-    )
+    lookups = link_lookups(table(spark, sf, "pages"), inputs.registry(spark, sf), fitted(spark, sf))
+    return link_intelligence(inputs.linked_messages(spark, sf), lookups)
 
 
 def analysis_scored(spark, sf):

@@ -76,9 +76,8 @@ def test_link_intelligence_beyond_broadcast_size(spark, monkeypatch):
     """The path for large lookup tables gives the result of the path for small ones."""
 
     def run():
-        return enrichment.link_intelligence(
-            inputs.linked_messages(spark, SF), table(spark, SF, "pages"), inputs.registry(spark, SF), stage_urls=True
-        )
+        lookups = enrichment.link_lookups(table(spark, SF, "pages"), inputs.registry(spark, SF))
+        return enrichment.link_intelligence(inputs.linked_messages(spark, SF), lookups, stage_urls=True)
 
     small = rows(run())
     monkeypatch.setattr(enrich, "is_small", lambda df: False)

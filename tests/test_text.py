@@ -181,3 +181,15 @@ def test_visible_text_of_all_pages_equals_a_parser(spark):
 
     assert len(rows) == 250
     assert [squeeze(r["v"]) for r in rows] == [squeeze(parsed_text(r["html"])) for r in rows]
+
+
+def test_long_and_broken_input_is_processed(spark):
+    """Whole texts, without deep matcher stacks or quadratic work."""
+    many_slashes = "x.com" + "/a" * 50_000 + " end"
+    many_attributes = "<a " + "b=c " * 50_000 + ">t</a>"
+    no_close = "a <b x=1 " * 50_000
+    spaces = "<p>" + "a" + " " * 200_000 + "b</p>"
+    assert apply(spark, text.extract_urls, [many_slashes]) == [["https://x.com" + "/a" * 50_000]]
+    assert apply(spark, text.clean_text, [many_attributes]) == ["t"]
+    assert apply(spark, text.clean_text, [no_close]) == ["a b x " * 50_000]
+    assert apply(spark, text.visible_text, [spaces]) == ["a" + " " * 200_000 + "b"]
