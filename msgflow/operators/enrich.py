@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from msgflow import fixed_values as fv
 from msgflow.functions import geo, text, whois
 from msgflow.functions.records import page_key
-from msgflow.operators.skew import first_per_key, skew_join, without_copies
-from msgflow.session import is_small, stage, stage_by_key
+from msgflow.operators.lookup import Lookup
+from msgflow.operators.skew import first_per_key, without_copies
+from msgflow.session import is_small
 from msgflow.sources.tables import gazetteer_lookup
 
 
@@ -26,35 +25,6 @@ def explode_urls(sentences: DataFrame) -> DataFrame:
     return sentences.select("id", "channel", "`@timestamp`", "data", links)
 
 
-@dataclass
-class Lookup:
-    """A lookup table with one row per key, and whether it was measured to be small enough to broadcast."""
-
-    rows: DataFrame
-    key: str
-    small: bool
-
-    def staged(self, label: str) -> Lookup:
-        """The same lookup, computed once and written to the shared folder.
-
-        A large one is written in buckets of its key, so that joins on the key do not shuffle it.
-        """
-        rows = stage(self.rows, label) if self.small else stage_by_key(self.rows, label, self.key)
-        return Lookup(rows, self.key, self.small)
-
-    def join(self, facts: DataFrame, spread: list[str], how: str = "left", counted: DataFrame | None = None) -> DataFrame:
-        """Join facts on the key: broadcast when small, beyond that by key with hot keys split.
-
-        `counted` holds the same keys as the facts and is cheaper to count. A
-        micro-batch of a stream is bounded by its trigger and joins by key directly.
-        """
-        if self.small:
-            return facts.join(F.broadcast(self.rows), self.key, how)
-        if facts.isStreaming:
-            return facts.join(self.rows, self.key, how)
-        return skew_join(facts, self.rows, self.key, spread, how, counted)
-
-
 def page_lookup(pages: DataFrame) -> Lookup:
     """Cleaned visible text per page key; the smallest page id wins where pages share a key.
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from msgflow.functions import records
+from msgflow.operators.lookup import Lookup
+from msgflow.session import is_small
 
 
 def valid_messages(messages: DataFrame) -> DataFrame:
@@ -28,16 +30,12 @@ def matching_query(messages: DataFrame, query: str | None) -> DataFrame:
 
 
 def ingest_increment(messages: DataFrame, state: DataFrame) -> DataFrame:
-    """Valid messages past the stored id of their channel; every message of a channel without state.
-
-    State has one row per channel, so a plain left join serves: it is broadcast by
-    size, and split by AQE when a channel is hot.
-    """
+    """Valid messages past the stored id of their channel; every message of a channel without state."""
     marks = state.select("channel", F.col("last_id").alias("_last"))
     number = F.col("id").try_cast("bigint")
     return (
-        valid_messages(messages)
-        .join(marks, "channel", "left")
+        Lookup(marks, "channel", is_small(marks))
+        .join(valid_messages(messages), ["channel", "id"], counted=messages)
         .where(number > F.coalesce("_last", F.lit(-1)))
         .drop("_last")
     )

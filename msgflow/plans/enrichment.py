@@ -38,6 +38,10 @@ class LinkLookups:
     registry: Lookup
     missing_label: str | None
 
+    @property
+    def small(self) -> bool:
+        return self.pages.small and self.registry.small
+
     def staged(self) -> LinkLookups:
         """Computed once and written to the shared folder; for streams, which read them in every batch."""
         return LinkLookups(self.pages.staged("page-contents"), self.registry.staged("registrations"), self.missing_label)
@@ -53,17 +57,17 @@ def link_lookups(pages: DataFrame, registry: DataFrame, model: PipelineModel | N
     return LinkLookups(contents, whois_lookup(registry), missing["emotion_detection"])
 
 
-def link_intelligence(messages: DataFrame, lookups: LinkLookups, stage_urls: bool = False) -> DataFrame:
+def link_intelligence(messages: DataFrame, lookups: LinkLookups, stage_path: str | None = None) -> DataFrame:
     """Links of messages with page text, registration and sentiment of the page.
 
     Registrations are joined first, while rows are narrow; the page text is joined
-    last and crosses no further shuffle. `stage_urls` writes the extracted links to
-    the shared folder, so that counting their keys does not extract them again; use
-    it on large batches.
+    last and crosses no further shuffle. With a `stage_path` in shared storage the
+    extracted links are written there first (overwriting it), so that counting their
+    keys for a large lookup does not extract them again.
     """
     urls = cited_urls(messages)
-    if stage_urls and not urls.isStreaming:
-        urls = stage(urls, "cited-urls")
+    if stage_path and not lookups.small:
+        urls = stage(urls, "cited-urls", stage_path)
     linked = enrich_pages(enrich_whois(urls, lookups.registry), lookups.pages, counted=urls)
     columns = ["id", "channel", "`@timestamp`", "content", "url", "whois"]
     if lookups.missing_label is None:

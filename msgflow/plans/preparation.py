@@ -9,6 +9,8 @@ from msgflow import fixed_values as fv
 from msgflow.functions import records, text
 from msgflow.operators import pages as channel_pages
 from msgflow.operators import sampling, state
+from msgflow.operators.lookup import Lookup
+from msgflow.session import is_small
 from msgflow.sources import messages as feeds
 from msgflow.sources import sinks, tables
 
@@ -37,9 +39,10 @@ def prepare_training(raw: DataFrame, key: str, cleaned_path: str, sample_path: s
     sinks.write_csv(training_sample(written, key, fraction), sample_path)
 
 
-def build_gazetteer(spark: SparkSession, documents_path: str, cleaned_path: str, limit: int = fv.GAZETTEER_LIMIT) -> DataFrame:
-    """City documents to the cleaned gazetteer table, written as CSV and returned."""
-    cities = tables.first_cities(tables.read_gazetteer_documents(spark, documents_path), limit)
+def build_gazetteer(spark: SparkSession, documents_path: str, cleaned_path: str, limit: int | None = fv.GAZETTEER_LIMIT) -> DataFrame:
+    """City documents to the cleaned gazetteer table, written as CSV and returned. No limit takes all cities."""
+    cities = tables.read_gazetteer_documents(spark, documents_path)
+    cities = cities if limit is None else tables.first_cities(cities, limit)
     sinks.write_csv(tables.normalise_gazetteer(cities), cleaned_path)
     return tables.read_gazetteer(spark, [cleaned_path])
 
@@ -62,7 +65,8 @@ def ingest_channels(
         records.option_flag(F.col("translation")).alias("_translate"),
     )
     body = F.lower(F.coalesce(F.array_join("text", "\n"), F.lit("")))
-    found = found.join(options, "channel", "left").where(F.col("_query").isNull() | F.contains(body, F.col("_query")))
+    found = Lookup(options, "channel", is_small(options)).join(found, ["channel", "id"])
+    found = found.where(F.col("_query").isNull() | F.contains(body, F.col("_query")))
     if translations is not None:
         found = feeds.attach_translation(found, translations)
         wanted = F.when(F.col("_translate"), F.col("translation"))

@@ -44,15 +44,15 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/msgflow/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` once to the shared folder and read it back.
+def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write `df` once to the shared folder and read it back. A given path is overwritten.
 
     Used where a result feeds several branches: the input is scanned once, and
     a lost executor costs a re-read of the table, not the work behind it.
     """
     spark = df.sparkSession
-    path = work_path(spark, label)
-    df.write.parquet(path)
+    path = path or work_path(spark, label)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

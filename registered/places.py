@@ -29,13 +29,13 @@ def gazetteer_first(spark, sf):
 
 
 def gazetteer_build(spark, sf):
-    """Documents of at most 500 cities each, written, read, limited, normalised, written and read again."""
+    """Documents of at most 500 cities each, written, read, normalised, written and read again."""
     cities = inputs.gazetteer_raw(spark, sf)
     document = F.struct("pos", "name", "population", "location", "cityId")
     bounded = cities.groupBy(F.floor(F.col("pos") / 500).alias("part")).agg(F.array_sort(F.collect_list(document)).alias("results"))
     path = work_path(spark, "city-documents")
     bounded.select("results").write.json(path)
-    read = build_gazetteer(spark, path, work_path(spark, "gazetteer"), limit=1_000_000)
+    read = build_gazetteer(spark, path, work_path(spark, "gazetteer"), limit=None)
     return read.select("name", "population", "latitude", "longitude")
 
 
@@ -44,6 +44,15 @@ def wkt_point(spark, sf):
     return inputs.gazetteer(spark, sf).select("pos", "name", point.alias("location"))
 
 
+def wkt_points(spark, sf):
+    """Points of two places per row, one of them without coordinates on every third row; none on every fourth."""
+    place = F.struct("longitude", "latitude")
+    absent = F.struct("longitude", F.when(F.col("pos") % 3 != 0, F.col("latitude")).alias("latitude"))
+    listed = F.when(F.col("pos") % 4 != 0, F.array(place, absent)).otherwise(F.slice(F.array(place), 1, 0))
+    points = F.transform(geo.wkt_points(listed), lambda p: F.coalesce(p, F.lit("-")))
+    return inputs.gazetteer(spark, sf).select("pos", F.array_join(points, ";").alias("points"))
+
+
 def match_cities(spark, sf):
     messages = table(spark, sf, "documents").select("doc_id", text.clean_text(F.col("text")).alias("content"))
     return enrich.match_cities(messages, inputs.gazetteer(spark, sf), "content", " ").select("doc_id", "city", "location")
@@ -100,6 +109,7 @@ QUERIES = {
     "gazetteer_first": gazetteer_first,
     "gazetteer_build": gazetteer_build,
     "wkt_point": wkt_point,
+    "wkt_points": wkt_points,
     "match_cities": match_cities,
     "decode_translation": translation_decode,
     "message_analysis": analysis_unscored,
@@ -139,6 +149,8 @@ SQL = {
         FROM ({_GAZ}) ORDER BY pos LIMIT 1512""",
     "gazetteer_build": f"SELECT name, CAST(population AS VARCHAR) AS population, latitude, longitude FROM ({_GAZ})",
     "wkt_point": f"""SELECT pos, name, CASE WHEN pos % 5 <> 0 THEN 'POINT(' || longitude || ' ' || latitude || ')' END AS location FROM ({_GAZ})""",
+    "wkt_points": f"""SELECT pos, CASE WHEN pos % 4 <> 0 THEN p || ';' || CASE WHEN pos % 3 <> 0 THEN p ELSE '-' END END AS points
+        FROM (SELECT pos, 'POINT(' || longitude || ' ' || latitude || ')' AS p FROM ({_GAZ}))""",
     "match_cities": MATCHES_SQL,
     "decode_translation": f"SELECT id, channel, ts AS timestamp, 'deepl' AS service, translated AS text FROM ({inputs.LINKED_MESSAGES_SQL})",
     "message_analysis": ANALYSIS_SQL,

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from msgflow.operators import enrich, sampling, skew
 from msgflow.plans import enrichment
+from msgflow.session import work_path
 from registered import inputs
 from registered.inputs import table
 
@@ -77,7 +78,7 @@ def test_link_intelligence_beyond_broadcast_size(spark, monkeypatch):
 
     def run():
         lookups = enrichment.link_lookups(table(spark, SF, "pages"), inputs.registry(spark, SF))
-        return enrichment.link_intelligence(inputs.linked_messages(spark, SF), lookups, stage_urls=True)
+        return enrichment.link_intelligence(inputs.linked_messages(spark, SF), lookups, work_path(spark, "urls"))
 
     small = rows(run())
     monkeypatch.setattr(enrich, "is_small", lambda df: False)

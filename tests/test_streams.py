@@ -35,8 +35,8 @@ def test_scored_streams_equal_the_batch(spark, monkeypatch, small):
             feeds.encode_messages(messages.where(F.col("id").cast("bigint") % 2 == part)).write.mode("append").text(feed)
             stream = feeds.read_message_stream(spark, path=feed, per_trigger=3)
             jobs.wait_for(jobs.start_enrichment(stream, pages, registry, gazetteer, model, out, checkpoints, available_now=True))
-        links = spark.read.parquet(f"{out}/links")
-        cities = spark.read.parquet(f"{out}/citations")
+        links = jobs.read_output(spark, f"{out}/links")
+        cities = jobs.read_output(spark, f"{out}/citations")
         assert rows(links) == rows(link_intelligence(messages, link_lookups(pages, registry, model)))
         assert rows(cities) == rows(message_analysis(messages, gazetteer, model))
     finally:
