@@ -99,8 +99,13 @@ def letters_only(text: Column) -> Column:
 
 def clean_text(text: Column) -> Column:
     """Markup text without mentions and links, reduced by `letters_only`. Null stays null."""
-    removed = f"{fv.MENTION_PATTERN}|{fv.LINK_PATTERN}"
-    return letters_only(F.regexp_replace(markup_text(text), removed, ""))
+
+    def remove(bound: Column) -> Column:
+        may_hold = F.contains(bound, F.lit("@")) | F.contains(bound, F.lit("http"))
+        removed = F.regexp_replace(bound, f"{fv.MENTION_PATTERN}|{fv.LINK_PATTERN}", "")
+        return F.when(may_hold, removed).otherwise(bound)
+
+    return letters_only(let(markup_text(text), remove))
 
 
 def visible_text(html: Column) -> Column:
@@ -120,9 +125,12 @@ def visible_text(html: Column) -> Column:
 
 
 def extract_links(text: Column) -> Column:
-    """All links of a text in order, duplicates kept. Text without a dot cannot hold one."""
+    """All links of a text in order, duplicates kept.
+
+    A link needs a dot before a lower-case letter or a digit; text without one skips the pattern.
+    """
     found = F.regexp_extract_all(text, F.lit("(?U)" + fv.URL_PATTERN), F.lit(1))
-    return F.when(F.contains(text, F.lit(".")), found).otherwise(F.array().cast("array<string>"))
+    return F.when(F.rlike(text, F.lit(r"(?U)\.[a-z\d]")), found).otherwise(F.array().cast("array<string>"))
 
 
 def ensure_protocol(url: Column, protocol: str = "https") -> Column:
@@ -140,13 +148,14 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(text, WHITESPACE), lambda t: t != "")
 
 
-def place_tokens(text: Column, separator: str = WHITESPACE) -> Column:
+def fits_place(token: Column) -> Column:
+    """Length allows a place name."""
+    return F.length(token).between(fv.MIN_PLACE_LENGTH, fv.MAX_PLACE_LENGTH)
+
+
+def place_tokens(text: Column) -> Column:
     """Lower-cased tokens whose length allows a place name."""
-    fits = F.filter(
-        F.split(text, separator),
-        lambda t: F.length(t).between(fv.MIN_PLACE_LENGTH, fv.MAX_PLACE_LENGTH),
-    )
-    return F.transform(fits, F.lower)
+    return F.transform(F.filter(F.split(text, WHITESPACE), lambda t: fits_place(t)), F.lower)
 
 
 def keep_parts(parts: Column) -> Column:

@@ -87,11 +87,14 @@ def place_lookup(gazetteer: DataFrame) -> Lookup:
     return Lookup(rows, "city", is_small(gazetteer.select("name", "latitude", "longitude")))
 
 
-def match_cities(messages: DataFrame, gazetteer: DataFrame | Lookup, content: str, separator: str = text.WHITESPACE) -> DataFrame:
+def match_cities(messages: DataFrame, gazetteer: DataFrame | Lookup, content: str, cleaned: bool = False) -> DataFrame:
     """One row per token that names a city, with the city and its point. Repeats are kept.
 
-    Cleaned text holds no white space but single spaces, so its `separator` may be one.
+    `cleaned` text is in lower case and parted by single spaces, which saves most of the work per token.
     """
     lookup = gazetteer if isinstance(gazetteer, Lookup) else place_lookup(gazetteer)
-    tokens = messages.withColumn("city", F.explode(text.place_tokens(F.col(content), separator)))
+    parts = F.split(content, " " if cleaned else text.WHITESPACE)
+    tokens = messages.withColumn("city", F.explode(parts)).where(text.fits_place(F.col("city")))
+    if not cleaned:
+        tokens = tokens.withColumn("city", F.lower("city"))
     return lookup.join(tokens, messages.columns, "inner")

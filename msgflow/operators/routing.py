@@ -14,16 +14,22 @@ from msgflow.operators.skew import portable_hash
 _ANY = "*"
 
 
+def _known() -> Column:
+    return F.array(*[F.lit(code) for code in fv.KNOWN_LANGUAGES])
+
+
+def required_language_set(languages: Column) -> Column:
+    """Known languages among an array of them, in order of the known list; unknown ones are ignored."""
+    return F.array_intersect(_known(), languages)
+
+
 def required_languages(*languages: Column) -> Column:
-    """Known languages among the given ones, in order of the known list; unknown ones are ignored."""
-    known = F.array(*[F.lit(code) for code in fv.KNOWN_LANGUAGES])
-    return F.array_intersect(known, F.array(*languages))
+    return required_language_set(F.array(*languages))
 
 
 def unknown_languages(*languages: Column) -> Column:
     """The languages that `required_languages` ignores, for a warning."""
-    known = F.array(*[F.lit(code) for code in fv.KNOWN_LANGUAGES])
-    return F.array_except(F.array(*languages), known)
+    return F.array_except(F.array(*languages), _known())
 
 
 def supports(langs: Column, required: Column) -> Column:

@@ -41,6 +41,18 @@ def ingest_increment(messages: DataFrame, state: DataFrame) -> DataFrame:
     )
 
 
+def starting_state(config: DataFrame, state: DataFrame) -> DataFrame:
+    """Stored state, and for configured channels without one the id their options start from.
+
+    Method `all` starts after the configured id, any other one at the first id.
+    """
+    configured = F.when(F.lower("method") == "all", F.col("_first").cast("bigint")).otherwise(0)
+    options = config.select("channel", F.col("last_id").alias("_first"), "method")
+    return options.join(state, "channel", "full").select(
+        "channel", F.coalesce("last_id", configured).alias("last_id"), "transaction_id"
+    )
+
+
 def channel_marks(messages: DataFrame) -> DataFrame:
     """Largest id per channel. Partial maxima are taken before the shuffle."""
     return valid_messages(messages).groupBy("channel").agg(F.max(F.col("id").cast("bigint")).alias("max_id"))

@@ -88,4 +88,4 @@ def message_analysis(messages: DataFrame, gazetteer: DataFrame | Lookup, model:
     if model is not None:
         contents = score(contents, model)
         columns.append("emotion_detection")
-    return match_cities(contents, gazetteer, "content", " ").select(*columns, "city", "location")
+    return match_cities(contents, gazetteer, "content", cleaned=True).select(*columns, "city", "location")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from msgflow import fixed_values as fv
 from msgflow.functions import records, text
 from msgflow.operators import pages as channel_pages
-from msgflow.operators import sampling, state
+from msgflow.operators import routing, sampling, state
 from msgflow.operators.lookup import Lookup
 from msgflow.session import is_small
 from msgflow.sources import messages as feeds
@@ -47,14 +47,36 @@ def build_gazetteer(spark: SparkSession, documents_path: str, cleaned_path: str,
     return tables.read_gazetteer(spark, [cleaned_path])
 
 
+def translation_requests(messages: DataFrame, config: DataFrame, catalog: DataFrame, seed: int = fv.SPLIT_SEED) -> DataFrame:
+    """What to translate: messages with text of the channels that ask for it, each with a service, languages and one text.
+
+    The service is drawn by votes from those that know the channel's languages; with
+    several source languages the service is left to detect the one it meets.
+    """
+    sources = F.split(F.trim("translate_from"), r"\s+")
+    options = config.where(records.option_flag(F.col("translation"))).select(
+        "channel",
+        F.when(F.size(sources) == 1, F.get(sources, F.lit(0))).otherwise("auto").alias("source"),
+        F.col("translate_to").alias("target"),
+        routing.required_language_set(F.concat(sources, F.array("translate_to"))).alias("required"),
+    )
+    asked = messages.where(F.size("text") > 0).select("channel", "id", text.join_parts(F.col("text")).alias("text"))
+    asked = Lookup(options, "channel", is_small(options)).join(asked, ["channel", "id"], "inner")
+    keyed = asked.withColumn("_key", F.concat_ws("/", "channel", "id"))
+    return routing.route_weighted(keyed, catalog, "_key", seed).select("channel", "id", "service", "source", "target", "text")
+
+
 def ingest_channels(
     pages: DataFrame, state_table: DataFrame, translations: DataFrame | None = None, config: DataFrame | None = None
 ) -> DataFrame:
     """New messages of crawled channel pages, each once.
 
-    `config` (resolved channel options) limits channels with a keyword query to
-    messages that hold it, and keeps translations to the channels that ask for them.
+    `config` (resolved channel options) says where a channel without state starts,
+    limits channels with a keyword query to messages that hold it, and keeps
+    translations to the channels that ask for them.
     """
+    if config is not None:
+        state_table = state.starting_state(config, state_table)
     found = state.ingest_increment(channel_pages.parse_channel_pages(pages), state_table)
     found = found.dropDuplicates(["channel", "id"])
     if config is None:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from msgflow.fixed_values import SERVICE_CATALOG
+from msgflow.fixed_values import SERVICE_CATALOG, SPLIT_SEED
 from msgflow.functions import records
 from msgflow.operators import pages as channel_pages
 from msgflow.operators import routing, skew, state
-from msgflow.plans.preparation import ingest_channels
+from msgflow.plans.preparation import ingest_channels, translation_requests
 from msgflow.sources import tables
 from msgflow.sources.messages import attach_translation
 from registered import inputs
@@ -125,6 +125,17 @@ def ingest(spark, sf):
     return found.select("channel", "id", F.array_join("text", "|").alias("text"), F.get_json_object("translation", "$.service").alias("service"))
 
 
+def requests(spark, sf):
+    messages = channel_pages.parse_channel_pages(inputs.channel_pages(spark, sf))
+    config = tables.resolve_channel_config(inputs.channel_options(spark, sf))
+    return translation_requests(messages, config, tables.service_catalog(spark))
+
+
+def starting_state(spark, sf):
+    config = tables.resolve_channel_config(inputs.channel_options(spark, sf))
+    return state.starting_state(config, inputs.ingest_state(spark, sf)).select("channel", "last_id")
+
+
 def translations_attached(spark, sf):
     messages = inputs.document_messages(spark, sf).drop("translation")
     translations = messages.where(F.col("id").cast("bigint") % 2 == 0).select("channel", "id", F.lit("deepl").alias("service"), "text")
@@ -204,7 +215,9 @@ QUERIES = {
     "crawl_frontier": crawl_frontier,
     "ingest_increment": ingest_increment,
     "advance_state": advance_state,
+    "starting_state": starting_state,
     "ingest_channels": ingest,
+    "translation_requests": requests,
     "attach_translation": translations_attached,
     "required_languages": required_languages,
     "eligible_services": eligible_services,
@@ -222,6 +235,9 @@ _NUMBERED = """SELECT doc_id, text, CASE WHEN doc_id % 7 = 0 THEN 'x' || CAST(do
 _NEW = f"""SELECT m.*, s.last_id, s.transaction_id FROM ({_MESSAGES}) m LEFT JOIN ({inputs.INGEST_STATE_SQL}) s ON s.channel = m.channel
     WHERE CAST(m.id AS BIGINT) > coalesce(s.last_id, -1)"""
 
+_NEW_CONFIGURED = _NEW.replace("coalesce(s.last_id, -1)", "coalesce(s.last_id, 1)")
+_SLOT = f"CAST('0x' || substr(md5('{SPLIT_SEED}:' || channel || '/' || id), 1, 8) AS BIGINT) % 40"
+
 # Services that serve a document: those whose languages hold every required one.
 _LINES = [line.split() for line in SERVICE_CATALOG.splitlines()]
 _SERVICES = ", ".join(f"({pos}, '{line[0]}', {line[1]}, {line[2:]})" for pos, line in enumerate(_LINES))
@@ -281,7 +297,12 @@ SQL = {
         FULL JOIN ({inputs.INGEST_STATE_SQL}) s ON s.channel = n.channel""",
     "ingest_channels": f"""SELECT channel, id, array_to_string(parts, '|') AS text,
         CASE WHEN conv_id % 5 = 0 AND turn % 3 = 0 THEN 'bing' END AS service
-        FROM ({_NEW}) WHERE conv_id % 4 <> 0 OR contains(lower(array_to_string(parts, chr(10))), 'the la')""",
+        FROM ({_NEW_CONFIGURED}) WHERE conv_id % 4 <> 0 OR contains(lower(array_to_string(parts, chr(10))), 'the la')""",
+    "starting_state": f"""SELECT c.channel, coalesce(s.last_id, CAST(c.last_id AS BIGINT)) AS last_id
+        FROM ({inputs.CHANNEL_CONFIG_SQL}) c LEFT JOIN ({inputs.INGEST_STATE_SQL}) s ON s.channel = c.channel""",
+    "translation_requests": f"""SELECT channel, id, CASE WHEN {_SLOT} < 8 THEN 'google' WHEN {_SLOT} < 16 THEN 'bing' WHEN {_SLOT} < 23 THEN 'reverso'
+        WHEN {_SLOT} < 32 THEN 'deepl' ELSE 'itranslate' END AS service, 'uk' AS source, 'en' AS target, array_to_string(parts, chr(10)) AS text
+        FROM ({_MESSAGES}) WHERE conv_id % 5 = 0""",
     "attach_translation": """SELECT CAST(doc_id AS VARCHAR) AS id, source AS channel,
         CASE WHEN doc_id % 2 = 0 THEN '{"service":"deepl","text":' || to_json(string_split(text, chr(10)))::VARCHAR || '}' ELSE 'none' END AS translation
         FROM documents""",

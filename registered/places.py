@@ -55,7 +55,7 @@ def wkt_points(spark, sf):
 
 def match_cities(spark, sf):
     messages = table(spark, sf, "documents").select("doc_id", text.clean_text(F.col("text")).alias("content"))
-    return enrich.match_cities(messages, inputs.gazetteer(spark, sf), "content", " ").select("doc_id", "city", "location")
+    return enrich.match_cities(messages, inputs.gazetteer(spark, sf), "content", cleaned=True).select("doc_id", "city", "location")
 
 
 def translation_decode(spark, sf):

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from msgflow.functions import text
 from msgflow.operators import enrich, sampling, skew
 from msgflow.plans import enrichment
 from msgflow.session import work_path
@@ -97,6 +98,13 @@ def test_match_cities_beyond_broadcast_size(spark, monkeypatch):
     assert rows(enrich.match_cities(messages, inputs.gazetteer(spark, SF), "content").drop("content")) == small
 
 
+def test_cleaned_text_matches_alike(spark):
+    messages = table(spark, SF, "documents").select("doc_id", text.clean_text(F.col("text")).alias("content"))
+    gazetteer = inputs.gazetteer(spark, SF)
+    general, cleaned = (enrich.match_cities(messages, gazetteer, "content", c).drop("content") for c in (False, True))
+    assert rows(general) == rows(cleaned)
+
+
 def test_split_is_whole_disjoint_and_weighted(spark):
     df = spark.range(10_000)
     parts = sampling.split_rows(df, "id", [0.7, 0.2, 0.1])
