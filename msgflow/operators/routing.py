@@ -77,7 +77,9 @@ def eligible_services(requirements: DataFrame, catalog: DataFrame) -> DataFrame:
     )
 
 
-def route_weighted(messages: DataFrame, catalog: DataFrame, key: str, seed: int | None = None) -> DataFrame:
+def route_weighted(
+    messages: DataFrame, catalog: DataFrame, key: str, seed: int | None = None, requirements: DataFrame | None = None
+) -> DataFrame:
     """Add `service`, chosen with probability proportional to its votes.
 
     `messages` carries `required` (see `required_languages`) and a key. The slot of
@@ -85,8 +87,9 @@ def route_weighted(messages: DataFrame, catalog: DataFrame, key: str, seed: int
     seed, a hash of the key. The service whose range [lo, hi) holds the slot is
     taken: services without votes are never chosen, and a message that no service
     can serve gets null. Leave a failed service out of `catalog` to route around it.
+    `requirements` may name a smaller table that holds every `required` of the messages.
     """
-    ranged = cumulative_votes(eligible_services(messages, catalog), "required")
+    ranged = cumulative_votes(eligible_services(messages if requirements is None else requirements, catalog), "required")
     # one row per requirement, holding at most one range per service of the catalog
     routes = ranged.groupBy("required").agg(
         F.sum("vote").alias("_total"), F.array_sort(F.collect_list(F.struct("hi", "lo", "service"))).alias("_ranges")

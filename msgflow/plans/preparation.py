@@ -63,7 +63,7 @@ def translation_requests(messages: DataFrame, config: DataFrame, catalog: DataFr
     asked = messages.where(F.size("text") > 0).select("channel", "id", text.join_parts(F.col("text")).alias("text"))
     asked = Lookup(options, "channel", is_small(options)).join(asked, ["channel", "id"], "inner")
     keyed = asked.withColumn("_key", F.concat_ws("/", "channel", "id"))
-    return routing.route_weighted(keyed, catalog, "_key", seed).select("channel", "id", "service", "source", "target", "text")
+    return routing.route_weighted(keyed, catalog, "_key", seed, options).select("channel", "id", "service", "source", "target", "text")
 
 
 def ingest_channels(
