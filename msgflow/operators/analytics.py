@@ -18,8 +18,8 @@ def top_cited_places(citations: DataFrame, k: int = 10) -> DataFrame:
 
 
 def daily_volume(messages: DataFrame) -> DataFrame:
-    """Messages per channel and day (`data` is the post time)."""
-    day = F.to_date(F.col("data").cast("timestamp")).alias("day")
+    """Messages per channel and day. `data` is the post time; messages without a readable one count under a null day."""
+    day = F.to_date(F.col("data").try_cast("timestamp")).alias("day")
     return messages.groupBy("channel", day).agg(F.count("*").alias("n"))
 
 

@@ -162,7 +162,7 @@ def message_count(html: Column) -> Column:
 def page_ids(html: Column) -> Column:
     """Valid ids of a page as numbers, in page order."""
     ids = F.transform(_wraps(html), lambda w: post_id(w))
-    return F.transform(F.filter(ids, records.valid_id), lambda i: i.cast("bigint"))
+    return F.transform(F.filter(ids, records.valid_id), lambda i: i.try_cast("bigint"))
 
 
 def max_page_id(html: Column) -> Column:

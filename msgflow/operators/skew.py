@@ -61,6 +61,13 @@ def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(first).select(key, "_first.*")
 
 
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per combination of keys, the least by its other columns in order; the same one on every attempt."""
+    others = [F.col(f"`{c}`") for c in df.columns if c not in keys]
+    least = df.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_least"))
+    return least.select(*keys, "_least.*").select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def without_copies(df: DataFrame, key: str, order: str) -> DataFrame:
     """First row of every key, for wide rows that mostly have a key of their own.
 

@@ -55,7 +55,7 @@ def starting_state(config: DataFrame, state: DataFrame) -> DataFrame:
 
 def channel_marks(messages: DataFrame) -> DataFrame:
     """Largest id per channel. Partial maxima are taken before the shuffle."""
-    return valid_messages(messages).groupBy("channel").agg(F.max(F.col("id").cast("bigint")).alias("max_id"))
+    return valid_messages(messages).groupBy("channel").agg(F.max(F.col("id").try_cast("bigint")).alias("max_id"))
 
 
 def advance_state(state: DataFrame, messages: DataFrame) -> DataFrame:

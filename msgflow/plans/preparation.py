@@ -10,6 +10,7 @@ from msgflow.functions import records, text
 from msgflow.operators import pages as channel_pages
 from msgflow.operators import routing, sampling, state
 from msgflow.operators.lookup import Lookup
+from msgflow.operators.skew import one_per_key
 from msgflow.session import is_small
 from msgflow.sources import messages as feeds
 from msgflow.sources import sinks, tables
@@ -78,7 +79,7 @@ def ingest_channels(
     if config is not None:
         state_table = state.starting_state(config, state_table)
     found = state.ingest_increment(channel_pages.parse_channel_pages(pages), state_table)
-    found = found.dropDuplicates(["channel", "id"])
+    found = one_per_key(found, ["channel", "id"])
     if config is None:
         return found if translations is None else feeds.attach_translation(found, translations)
     options = config.select(

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from msgflow import schemas
-
-KNOWN_STARTS = ("latest", "earliest")
+from msgflow.operators.skew import one_per_key
 
 
 def read_message_stream(
@@ -99,7 +98,9 @@ def attach_translation(messages: DataFrame, translations: DataFrame) -> DataFram
 
     `translations` holds channel, id, service and text (array of lines); the
     result's `translation` is the JSON text of service and lines, null when there
-    is none. Both sides are keyed by message, so no key is hot.
+    is none. Copies of a translation are reduced to one before the join, which uses
+    the same partitioning.
     """
-    packed = translations.select("channel", "id", F.to_json(F.struct("service", "text")).alias("translation"))
+    packed = one_per_key(translations.select("channel", "id", "service", "text"), ["channel", "id"])
+    packed = packed.select("channel", "id", F.to_json(F.struct("service", "text")).alias("translation"))
     return messages.drop("translation").join(packed, ["channel", "id"], "left")

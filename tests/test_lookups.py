@@ -58,6 +58,20 @@ def test_cities_of_the_smoke_sentence(spark):
     assert sorted(got) == [("zolochiv", "POINT(24.9 49.8)"), ("zybiny", "POINT(30.0 50.1)"), ("zybiny", "POINT(30.0 50.1)")]
 
 
+@pytest.mark.parametrize("location,latitude,longitude", [
+    ("{'__type': 'GeoPoint', 'latitude': -33.90, 'longitude': 151}", "-33.9", "151.0"), ("50.45, 30.523400", "50.45", "30.5234"), ("0.0 0", "0.0", "0.0"), ("none", None, None),
+])
+def test_coordinates(spark, location, latitude, longitude):
+    frame = spark.createDataFrame([(location,)], "l string")
+    assert frame.select(geo.coordinate(F.col("l"), 1), geo.coordinate(F.col("l"), 2)).first() == (latitude, longitude)
+
+
+def test_daily_volume_with_unreadable_times(spark):
+    frame = spark.createDataFrame([("a", "2022-03-01T23:30:00+00:00"), ("a", "2022-03-01T01:00:00+00:00"), ("a", "soon"), ("a", None)], "channel string, data string")
+    got = {(str(r["day"]), r["n"]) for r in analytics.daily_volume(frame).collect()}
+    assert got == {("2022-03-01", 2), ("None", 2)}
+
+
 def test_wkt(spark):
     frame = spark.createDataFrame([("30.2", "50.1", [("1.0", "2.0"), ("3.0", None)]), (None, "1.0", [])], "lon string, lat string, p array<struct<longitude:string,latitude:string>>")
     got = frame.select(geo.wkt_point(F.col("lon"), F.col("lat")), geo.wkt_points(F.col("p"))).collect()

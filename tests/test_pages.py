@@ -1,5 +1,7 @@
 """Channel page markup, cases by hand."""
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from msgflow.functions import records
@@ -85,6 +87,17 @@ def test_options_and_counter(spark):
     assert [tuple(r) for r in got] == [(False, "False", 1), (False, "FALSE", 0), (True, "no", 4), (True, None, 1)]
 
 
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.lists(st.text(alphabet="abZ <>&;\"'/=#é☂19", max_size=12), max_size=4), min_size=1, max_size=60))
+def test_any_text_survives_render_and_parse(spark, messages):
+    given_rows = [(str(i), parts) for i, parts in enumerate(messages)]
+    frame = spark.createDataFrame(given_rows, "id string, text array<string>")
+    fixed = {c: F.lit(c) for c in ("channel", "authorName", "authorLink", "views", "data")}
+    html = frame.select(F.lit("c").alias("channel"), F.lit("u").alias("url"), pages.render_container({"id": F.col("id"), "text": F.col("text"), **fixed}).alias("html"))
+    got = {r["id"]: r["text"] for r in pages.parse_channel_pages(html).collect()}
+    assert got == {i: [p for p in parts if p not in ("", " ")] for i, parts in given_rows}
+
+
 def test_render_and_parse_round_trip(spark):
     message = {
         "channel": "c&d", "id": "3", "authorName": 'A "q" <b>', "authorLink": "https://t.me/x?a=1&b=2", "text": ["one & two", "<three>", "&amp;"],
