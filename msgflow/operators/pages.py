@@ -15,7 +15,7 @@ from msgflow.functions import records, text
 
 def _class(name: str) -> str:
     """An attribute list in which `name` is one of the classes."""
-    return rf"""[^>]*\bclass="(?:[^"]*\s)?{name}(?:\s[^"]*)?"[^>]*"""
+    return rf"""[^>]*?\bclass="(?:[^"]*\s)?{name}(?:\s[^"]*)?"[^>]*"""
 
 
 def _open(tags: str, name: str) -> str:
@@ -35,6 +35,11 @@ def _first(html: Column, pattern: str, group: int = 1) -> Column:
     return F.when(F.rlike(html, F.lit(pattern)), F.regexp_extract(html, pattern, group))
 
 
+def _first_tag(html: Column, tag: str) -> Column:
+    """First match of a pattern whose group 1 is a whole tag, null when there is none."""
+    return F.nullif(F.regexp_extract(html, "(?s)" + tag, 1), F.lit(""))
+
+
 def containers(html: Column) -> Column:
     """Markup of every message container of a page, in page order."""
     marker = rf"""<div\b[^>]*\bclass="{fv.CONTAINER_CLASSES}"[^>]*>"""
@@ -47,7 +52,7 @@ def _pieces(html: Column, marker: str) -> Column:
 
 def post_id(container: Column) -> Column:
     """Id text of a container, null when it has none."""
-    return records.message_id(_attribute(_first(container, f"({_open('div', fv.MESSAGE_CLASS)})"), "data-post"))
+    return records.message_id(_attribute(_first_tag(container, f"({_open('div', fv.MESSAGE_CLASS)})"), "data-post"))
 
 
 def author_name(container: Column) -> Column:
@@ -55,11 +60,11 @@ def author_name(container: Column) -> Column:
 
 
 def author_link(container: Column) -> Column:
-    return _attribute(_first(container, rf"{_open('div', fv.AUTHOR_CLASS)}.*?(<a\b[^>]*>)"), "href")
+    return _attribute(_first_tag(container, rf"{_open('div', fv.AUTHOR_CLASS)}.*?(<a\b[^>]*>)"), "href")
 
 
 def post_time(container: Column) -> Column:
-    return _attribute(_first(container, rf"{_open('a', fv.DATE_CLASS)}.*?(<time\b[^>]*>)"), "datetime")
+    return _attribute(_first_tag(container, rf"{_open('a', fv.DATE_CLASS)}.*?(<time\b[^>]*>)"), "datetime")
 
 
 def views(container: Column) -> Column:
@@ -125,7 +130,8 @@ def parse_channel_pages(pages: DataFrame, min_id: int | Column = 0) -> DataFrame
     """
     boxes = pages.select("channel", F.explode(containers(F.col("html"))).alias("_box"))
     boxes = boxes.withColumn("id", post_id(F.col("_box")))
-    kept = boxes.where(records.valid_id(F.col("id")) & (F.col("id").try_cast("bigint") >= min_id))
+    # an id that is no number compares as null and is dropped
+    kept = boxes.where(F.col("id").try_cast("bigint") >= F.greatest(F.lit(0), F.lit(min_id) if isinstance(min_id, int) else min_id))
     box = F.col("_box")
     found = kept.withColumn("_classes", relevant_classes(box))
 
