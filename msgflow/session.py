@@ -78,12 +78,18 @@ def spread(df: DataFrame) -> DataFrame:
 def is_small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 32 << 20) -> bool:
     """Measured check that a lookup side may be broadcast.
 
-    Reads at most `max_rows` + 1 rows and adds up the text they hold.
+    Fetches the sizes of a thousand rows, then of at most `max_rows` + 1. Spark takes
+    them from as few partitions as hold that many, so a large table is not scanned.
     """
     texts = [
         F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)).cast("bigint") for f in df.schema.fields
     ]
     width = sum(texts[1:], texts[0]) if texts else F.lit(0).cast("bigint")
-    sizes = df.select(width.alias("size")).limit(max_rows + 1)  # only sizes leave the scan
-    row = sizes.agg(F.count("*").alias("n"), F.sum("size").alias("size")).first()
-    return row["n"] <= max_rows and (row["size"] or 0) <= max_bytes
+    sizes = df.select(width.alias("size"))
+    for rows in (min(1_000, max_rows + 1), max_rows + 1):
+        found = sizes.take(rows)
+        if sum(row["size"] for row in found) > max_bytes:
+            return False
+        if len(found) < rows:
+            return True
+    return False

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from msgflow.functions import text
 from msgflow.operators import enrich, sampling, skew
 from msgflow.plans import enrichment
-from msgflow.session import work_path
+from msgflow.session import is_small, work_path
 from registered import inputs
 from registered.inputs import table
 
@@ -121,3 +121,11 @@ def test_split_is_whole_disjoint_and_weighted(spark):
 def test_sample_has_the_exact_size(spark, fraction, rows_wanted):
     sample = sampling.sample_exact(spark.range(999), "id", fraction)
     assert sample.count() == rows_wanted == sample.distinct().count()
+
+
+def test_size_check(spark):
+    wide = spark.range(50).select(F.repeat(F.lit("x"), 1_000).alias("v"))
+    assert is_small(wide) and is_small(wide, max_rows=50, max_bytes=50_000) and is_small(wide.limit(0))
+    assert not is_small(wide, max_rows=49) and not is_small(wide, max_bytes=49_999)
+    many = spark.range(5_000)
+    assert is_small(many, max_rows=5_000) and not is_small(many, max_rows=4_999)
