@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -13,8 +14,8 @@ from msgflow.session import configure
 
 # Rows and bytes of one Arrow batch: documents are long, so batches are kept small.
 BATCH_SETTINGS = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 
@@ -35,6 +36,15 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
 
 
+def release() -> None:
+    """Give freed memory back to the system: Python workers are reused and would keep their peak."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # no such call on this platform
+        pass
+
+
 def own_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Only the named columns, under fixed names, so that further columns cannot clash.
 
@@ -43,8 +53,8 @@ def own_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 
-def whole_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """Tables that hold only whole groups, from a stream sorted by a long `key`.
+def whole_groups(batches: Iterable[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
+    """Tables that hold only whole groups, from a stream sorted by long columns.
 
     The last group of a batch waits for the next one. Memory: a batch and one group.
     """
@@ -54,16 +64,16 @@ def whole_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Tab
         if batch.num_rows == 0:
             continue
         rows = pa.Table.from_batches([batch])
-        keys = rows.column(key).to_numpy()
-        if keys[-1] == last and keys[0] == last:
+        values = [rows.column(key).to_numpy() for key in keys]
+        first, final = tuple(v[0] for v in values), tuple(v[-1] for v in values)
+        if first == final == last:
             waiting.append(rows)
             continue
-        start = int(np.flatnonzero(keys == keys[-1])[0])
-        ready = [*waiting, rows.slice(0, start)]
-        whole = pa.concat_tables(ready)
-        if whole.num_rows:
-            yield whole.combine_chunks()
-        waiting, last = [rows.slice(start)], keys[-1]
+        start = max(int(bounds(v)[-2]) for v in values)
+        ready = pa.concat_tables([*waiting, rows.slice(0, start)])
+        if ready.num_rows:
+            yield ready.combine_chunks()
+        waiting, last = [rows.slice(start)], final
     if waiting:
         yield pa.concat_tables(waiting).combine_chunks()
 
@@ -118,5 +128,6 @@ def kept_rows(docs: DataFrame, good) -> DataFrame:
     def kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(good(batch.column(place)), pa.bool_()))
+            release()
 
     return docs.mapInArrow(kept, docs.schema)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgflow.llm import exact_dedup, language, packing, simhash, toxicity
+from msgflow.llm import chat_format, exact_dedup, katz, language, packing, pieces, simhash, toxicity, url_filter, vector_dedup
 from msgflow.llm.common import remainder, table
 
 
@@ -24,6 +24,19 @@ def held_out(modulus: int, value: int) -> Column:
     return F.coalesce(remainder(F.col("doc_id"), modulus) == value, F.lit(False)).alias("held_out")
 
 
+RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URLs are labelled by the documents of the same id: blocked when of low quality or toxic."""
+    pages = table(spark, sf_dir, "pages")
+    labels = table(spark, sf_dir, "labels").where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("page_id")).agg(
+        F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("blocked")
+    )
+    model = url_filter.train_model(pages.select("page_id", "url").join(labels, "page_id"))
+    return url_filter.judge_urls(pages, RULES, model)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -49,12 +62,36 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language_model(docs)).select("doc_id", held_out(4, 2), "lang_pred", "score")
 
 
+def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per chunk of every text: the number of ids, their checksum and that of the bytes they decode to, and the score."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.digest_pieces(pieces.encode_pieces(table(spark, sf_dir, "documents"), path), path)
+
+
+def op8_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = katz.score_texts(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 7) != 2)
+    return scored.select("doc_id", held_out(7, 2), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_chats(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op2_packing": op2_packing,
+    "op3_pieces": op3_pieces,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
     "op7_language": op7_language,
+    "op8_katz": op8_katz,
+    "op9_vector_dedup": op9_vector_dedup,
+    "op10_chat_format": op10_chat_format,
 }
 
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -64,4 +101,22 @@ SQL = {
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256({_FOLD}) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY {_FOLD})""",
+    "op10_chat_format": """
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+logs AS (
+  SELECT conv_id, list({'t': turn, 'r': role, 'x': text} ORDER BY turn, role, text) AS steps FROM
+    (SELECT conv_id, turn - min(turn) OVER (PARTITION BY conv_id) AS turn, role, text FROM rows) GROUP BY conv_id),
+kept AS (
+  SELECT a.conv_id FROM logs a WHERE NOT EXISTS (
+    SELECT 1 FROM logs b WHERE b.steps[1] = a.steps[1] AND b.conv_id <> a.conv_id AND b.steps[1:len(a.steps)] = a.steps
+      AND (len(b.steps) > len(a.steps) OR b.conv_id < a.conv_id))),
+made AS (
+  SELECT conv_id, turn, role, text,
+         '<|im_start|>' || replace(role, '<|', '< |') || chr(10) || replace(text, '<|', '< |') || '<|im_end|>' || chr(10) AS segment
+  FROM rows JOIN kept USING (conv_id))
+SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id, turn ORDER BY role, text) AS INTEGER) AS part,
+       CAST(coalesce(sum(length(segment)) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
+       segment
+FROM made""",
 }

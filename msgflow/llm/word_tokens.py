@@ -1,8 +1,7 @@
-"""Ids of a word-splitting tokenizer, each distinct word encoded once.
+"""Ids of texts whose words are encoded one by one, each distinct word once.
 
-The tokenizer never joins characters across a space or line feed, so a text's ids are those
-of its space-separated words in order. A batch is split and reduced to distinct words by
-Arrow; only words that the task has not met before reach the tokenizer.
+A batch is split and reduced to distinct words by Arrow; only words that the Python worker has
+not met before reach the tokenizer.
 """
 
 from __future__ import annotations
@@ -14,45 +13,38 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-CACHED_WORDS = 600_000  # the cache starts anew beyond this, so that memory stays bounded
+CACHED_WORDS = 250_000  # the cache starts anew beyond this, so that memory stays bounded
 _PLAIN = set("abcdefghijklmnopqrstuvwxyz")
-_GROUP_BYTES = 8 << 20  # text that is split at once
+_GROUP_BYTES = 2 << 20  # text that is split at once
 
 
-class WordTokenizer:
-    _shared: dict[str, WordTokenizer] = {}
+class WordCache:
+    """Splits texts into words and keeps the ids of words met before; what a word is and how it is encoded is up to the kind."""
+
+    _shared: dict[tuple, WordCache] = {}
 
     @classmethod
-    def shared(cls, path: str) -> WordTokenizer:
-        """One per Python worker and file."""
-        if path not in cls._shared:
-            cls._shared[path] = cls(path)
-        return cls._shared[path]
+    def shared(cls, path: str):
+        """One per Python worker, kind and file."""
+        if (cls, path) not in cls._shared:
+            cls._shared[cls, path] = cls(path)
+        return cls._shared[cls, path]
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self._reset()
 
+    def split(self, texts: pa.Array) -> pa.Array:
+        raise NotImplementedError
+
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        raise NotImplementedError
+
     def _reset(self) -> None:
         self.place: dict[str, int] = {}
         self.starts, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
     def _learn(self, words: list[str]) -> None:
-        model = self.tokenizer.model
-        found: list[list[int]] = []
-        rest: list[tuple[int, str]] = []
-        for i, word in enumerate(words):
-            # Plain letters are one unit for the model: no normalisation or splitting applies to them.
-            if word and _PLAIN.issuperset(word):
-                found.append([t.id for t in model.tokenize(word)])
-            elif len(word) > 1 and word[-1] in ".,;!?" and _PLAIN.issuperset(word[:-1]):
-                found.append([t.id for w in (word[:-1], word[-1]) for t in model.tokenize(w)])
-            else:
-                found.append([])
-                rest.append((i, word))
-        for (i, _), encoded in zip(rest, self.tokenizer.encode_batch_fast([w for _, w in rest], add_special_tokens=False)):
-            found[i] = encoded.ids
+        found = self.encode_words(words)
         if len(self.place) + len(words) > CACHED_WORDS:
             self._reset()
         first = len(self.place)
@@ -62,23 +54,22 @@ class WordTokenizer:
         self.ids = np.concatenate([self.ids, np.fromiter((x for ids in found for x in ids), np.uint32, int(lengths.sum()))])
 
     def _encode_group(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        # Folding A-Z before the tokenizer's own lower-casing changes nothing but the number of distinct words.
-        split = pc.split_pattern(pc.ascii_lower(pc.replace_substring(texts, "\n", " ")), " ")
+        split = self.split(texts)
         encoded = split.flatten().dictionary_encode()
         words = encoded.dictionary.to_pylist()
         unknown = [w for w in words if w not in self.place]
         if unknown:
             before = len(self.place)
             self._learn(unknown)
-            if len(self.place) < before:  # the cache began anew
+            if len(self.place) < before + len(unknown):  # the cache began anew
                 self._learn([w for w in words if w not in self.place])
         place = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
         used = place[encoded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
         begins, lengths = self.starts[used], self.starts[used + 1] - self.starts[used]
         ends = np.concatenate([[0], np.cumsum(lengths)])
         ids = self.ids[np.arange(ends[-1]) - np.repeat(ends[:-1] - begins, lengths)]
-        offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
-        cuts = ends[offsets]
+        offsets = split.offsets.to_numpy()
+        cuts = ends[offsets - offsets[0]]
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             yield ids[a:b]
 
@@ -94,3 +85,33 @@ class WordTokenizer:
             held += size
         if start < len(texts):
             yield from self._encode_group(texts.slice(start))
+
+
+class WordTokenizer(WordCache):
+    """A tokenizer that never joins characters across a space or line feed: a text's ids are those of its words in order."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+
+    def split(self, texts: pa.Array) -> pa.Array:
+        # Folding A-Z before the tokenizer's own lower-casing changes nothing but the number of distinct words.
+        return pc.split_pattern(pc.ascii_lower(pc.replace_substring(texts, "\n", " ")), " ")
+
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        model = self.tokenizer.model
+        found: list[list[int]] = []
+        rest: list[tuple[int, str]] = []
+        for i, word in enumerate(words):
+            # Plain letters are one unit for the model: no normalisation or splitting applies to them.
+            if word and _PLAIN.issuperset(word):
+                found.append([t.id for t in model.tokenize(word)])
+            elif len(word) > 1 and word[-1] in ".,;!?" and _PLAIN.issuperset(word[:-1]):
+                found.append([t.id for w in (word[:-1], word[-1]) for t in model.tokenize(w)])
+            else:
+                found.append([])
+                rest.append((i, word))
+        for (i, _), encoded in zip(rest, self.tokenizer.encode_batch_fast([w for _, w in rest], add_special_tokens=False)):
+            found[i] = encoded.ids
+        return found
