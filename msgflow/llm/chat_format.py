@@ -29,25 +29,29 @@ BLOCK = 4096  # positions scanned in one task
 START, END = "<|im_start|>", "<|im_end|>"  # the marks of the format; neutralised in texts
 
 
-def _scan(rows: DataFrame, value: Column, combine, name: str) -> DataFrame:
-    """Inclusive prefix of an associative, commutative sum over `position` within `conv`, one row per position.
+def _scan(rows: DataFrame, values: dict[str, tuple[str, bool]]) -> DataFrame:
+    """Inclusive prefixes of associative, commutative sums over `position` within `conv`, one row per position.
 
-    Three levels: inside a block, over the blocks of a block of blocks, and over those.
+    `values` maps the name of a prefix to its column and whether it is an exclusive-or (else
+    a sum). Three levels: inside a block, over the blocks of a block of blocks, and over those.
     """
-    first, second = F.floor(F.col("position") / BLOCK), F.floor(F.col("position") / (BLOCK * BLOCK))
-    base = rows.withColumn("_b1", first).withColumn("_b2", second).withColumn("_v", value)
+    sums = {name: (F.bit_xor if xor else F.sum) for name, (_, xor) in values.items()}
+    base = rows.withColumn("_b1", F.floor(F.col("position") / BLOCK)).withColumn("_b2", F.floor(F.col("position") / (BLOCK * BLOCK)))
+    sums1 = base.groupBy("conv", "_b2", "_b1").agg(*[sums[name](column).alias(name) for name, (column, _) in values.items()])
+    sums2 = sums1.groupBy("conv", "_b2").agg(*[sums[name](name).alias(name) for name in values])
     inside = Window.partitionBy("conv", "_b1").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
-    sums1 = base.groupBy("conv", "_b2", "_b1").agg(combine("_v").alias("_v"))
-    sums2 = sums1.groupBy("conv", "_b2").agg(combine("_v").alias("_v"))
     before1 = Window.partitionBy("conv", "_b2").orderBy("_b1").rowsBetween(Window.unboundedPreceding, -1)
     before2 = Window.partitionBy("conv").orderBy("_b2").rowsBetween(Window.unboundedPreceding, -1)
-    sums1 = sums1.select("conv", "_b1", combine("_v").over(before1).alias("_o1"))
-    sums2 = sums2.select("conv", "_b2", combine("_v").over(before2).alias("_o2"))
-    joined = base.withColumn("_in", combine("_v").over(inside)).join(sums1, ["conv", "_b1"]).join(sums2, ["conv", "_b2"])
-    zero = F.lit(0).cast("bigint")
-    parts = [F.col("_in"), F.coalesce("_o1", zero), F.coalesce("_o2", zero)]
-    total = parts[0].bitwiseXOR(parts[1]).bitwiseXOR(parts[2]) if combine is F.bit_xor else parts[0] + parts[1] + parts[2]
-    return joined.withColumn(name, total).drop("_b1", "_b2", "_v", "_in", "_o1", "_o2")
+    sums1 = sums1.select("conv", "_b1", *[sums[name](name).over(before1).alias(f"_1{name}") for name in values])
+    sums2 = sums2.select("conv", "_b2", *[sums[name](name).over(before2).alias(f"_2{name}") for name in values])
+    joined = base.withColumns({f"_0{name}": sums[name](column).over(inside) for name, (column, _) in values.items()})
+    joined = joined.join(sums1, ["conv", "_b1"]).join(sums2, ["conv", "_b2"])
+
+    def total(name: str, xor: bool) -> Column:
+        parts = [F.coalesce(F.col(f"_{level}{name}"), F.lit(0).cast("bigint")) for level in range(3)]
+        return parts[0].bitwiseXOR(parts[1]).bitwiseXOR(parts[2]) if xor else parts[0] + parts[1] + parts[2]
+
+    return joined.select(*rows.columns, *[total(name, xor).alias(name) for name, (_, xor) in values.items()])
 
 
 def turns(conversations: DataFrame, columns: dict[str, str] | None = None) -> DataFrame:
@@ -66,7 +70,7 @@ def maximal_conversations(rows: DataFrame) -> DataFrame:
     """Of `turns`, every conversation with whether it is kept: conv, conv_id, n_rows, copies, is_prefix and kept."""
     hashes = [F.bit_xor(F.xxhash64(F.lit(seed), "position", "role", "text", "n")).alias(f"h{seed}") for seed in (1, 2)]
     steps = rows.groupBy("conv", "position").agg(F.sum("n").alias("n"), *hashes, F.min("conv_id").alias("conv_id"))
-    prefixes = _scan(_scan(_scan(steps, F.col("h1"), F.bit_xor, "p1"), F.col("h2"), F.bit_xor, "p2"), F.col("n"), F.sum, "n_rows")
+    prefixes = _scan(stage(steps, "steps"), {"p1": ("h1", True), "p2": ("h2", True), "n_rows": ("n", False)})
     prefixes = stage(prefixes.select("conv", "conv_id", "position", "n_rows", "p1", "p2"), "prefixes")
     last = prefixes.groupBy("conv").agg(F.max_by(F.struct("conv_id", "position", "n_rows", "p1", "p2"), "position").alias("last")).select("conv", "last.*")
     key = ["position", "n_rows", "p1", "p2"]
@@ -87,8 +91,8 @@ def render(rows: DataFrame) -> DataFrame:
     named = F.replace(F.col("role"), F.lit("<|"), F.lit("< |"))
     segment = F.concat(F.lit(START), named, F.lit("\n"), neutral, F.lit(f"{END}\n"))
     made = rows.withColumn("segment", F.repeat(segment, F.col("n").cast("int"))).withColumn("size", F.char_length("segment").cast("bigint"))
-    steps = made.groupBy("conv", "position").agg(F.sum("size").alias("size"))
-    ends = _scan(steps, F.col("size"), F.sum, "end").select("conv", "position", (F.col("end") - F.col("size")).alias("before"))
+    steps = stage(made.groupBy("conv", "position").agg(F.sum("size").alias("size")), "sizes")
+    ends = _scan(steps, {"end": ("size", False)}).select("conv", "position", (F.col("end") - F.col("size")).alias("before"))
     among = Window.partitionBy("conv", "position").orderBy("role", "text")  # rows that share a turn
     own = F.coalesce(F.sum("size").over(among.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return made.withColumn("part", F.row_number().over(among)).withColumn("own", own).join(ends, ["conv", "position"]).select(
@@ -100,4 +104,4 @@ def format_chats(conversations: DataFrame, columns: dict[str, str] | None = None
     """Segments of all maximal conversations, each conversation once: conv_id, turn, part, start, segment."""
     rows = stage(turns(conversations, columns), "turns")
     kept = maximal_conversations(rows).where("kept").select("conv")
-    return render(rows.join(kept, "conv", "left_semi"))
+    return render(stage(rows.join(kept, "conv", "left_semi"), "kept"))
