@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from msgflow.llm.common import bytes_of, own_columns
+from msgflow.llm.common import bytes_of, own_columns, release
 from msgflow.session import stage
 
 FAN = 16  # runs that are merged at once
@@ -44,6 +44,7 @@ def _digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ],
             names=["uid", "doc_id", "slice", "digest", "n_bytes", "mark"],
         )
+        release()
 
 
 def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -24,16 +24,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from msgflow.llm.common import own_columns
+from msgflow.llm.common import own_columns, release
 
-TRAIN_CHARS = 24_000  # characters of labelled text per language
+TRAIN_CHARS = 16_000  # characters of labelled text per language
 TRAIN_ROWS = 400  # labelled texts per language that are read for it
-CLASSES = 64  # the most frequent characters; all others match nothing
+CLASSES = 48  # the most frequent characters; all others match nothing
 BLOCK = 512
 MAX_LANGUAGES = 256  # labels with the most rows; the tables grow with their number
 UNDETERMINED = "und"
 _SEED = 29
-_LANES = 24_000  # blocks parsed in step
+_LANES = 12_000  # blocks parsed in step
 _SPACE = re.compile(r"[\W\d_]+")
 
 
@@ -202,6 +202,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(languages, pa.string()), pa.array(score, pa.float64())],
                 names=["uid", "doc_id", "lang_pred", "score"],
             )
+            release()
 
     rows = own_columns(docs, {"doc_id": "doc_id", "text": "text"})
     rows = rows.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("bigint"), "text")

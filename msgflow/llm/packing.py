@@ -29,12 +29,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from msgflow.llm.common import own_columns
+from msgflow.llm.common import own_columns, release
 from msgflow.llm.word_tokens import WordTokenizer
 
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
-BUFFER_TOKENS = 1 << 20
+BUFFER_TOKENS = 1 << 19
 STEP_TOKENS = 1 << 16
 _PART_BITS = 40
 
@@ -176,6 +176,7 @@ def _packed(tokenizer: Callable[[], WordTokenizer], tiers, buffer_tokens, step_t
                     if windows:
                         yield out(windows)
                     full, buffered = [], packer.total
+                    release()
         windows = full + list(packer.windows(last=True))
         if windows:
             yield out(windows)

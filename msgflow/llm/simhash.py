@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from msgflow.llm.common import bounds, bytes_of, own_columns
+from msgflow.llm.common import bounds, bytes_of, own_columns, release
 from msgflow.llm.components import components
 from msgflow.session import stage
 
@@ -59,6 +59,7 @@ def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         found = np.array([fingerprint(text) for text in bytes_of(batch.column(2))], np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], names=["uid", "doc_id", "fp"])
+        release()
 
 
 def fingerprint_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -27,26 +27,28 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from msgflow.llm.common import bounded_sample, own_columns, spans_of
+from msgflow.llm.common import bounded_sample, own_columns, release, spans_of
 
 TRAIN_ROWS = 2_000  # of each label; further labelled rows are not read
 TRAIN_BYTES = 12 << 20  # of text that is trained on at most
 BUCKETS = 1 << 17
 SIZES = (3, 4, 5)
 WINDOW = 3
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"  # left out at both ends of a word
 DIMENSIONS = 16
-ROUNDS = 8
+ROUNDS = 10
+UPDATES = 150  # steps of 256 windows per round at least, however few labels there are
 _SEED = 17
-_LIMIT = 12 << 20  # bytes of text that are split at once
+_LIMIT = 2 << 20  # bytes of text that are split at once
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Words of all texts: place of each in the list of distinct words, that list, and the offsets of the texts."""
+    """Words of all texts: place of each in the list of distinct words, that list without punctuation at the ends, and the offsets of the texts."""
     folded = pc.utf8_lower(texts.cast(pa.large_string()).fill_null(""))
     split = pc.utf8_split_whitespace(folded)
     encoded = split.flatten().dictionary_encode()
     offsets = split.offsets.to_numpy()
-    return encoded.indices.to_numpy(), encoded.dictionary, offsets - offsets[0]
+    return encoded.indices.to_numpy(), pc.utf8_trim(encoded.dictionary, PUNCTUATION), offsets - offsets[0]
 
 
 def word_grams(words: pa.Array, buckets: int = BUCKETS, sizes: tuple[int, ...] = SIZES) -> tuple[np.ndarray, np.ndarray]:
@@ -108,11 +110,16 @@ class ToxicityModel:
         mean = (total[ends] - total[starts]) / np.maximum(number[ends] - number[starts], 1.0)
         return mean + self.bias, owners
 
+    def _worst(self, texts: pa.Array) -> np.ndarray:
+        scores, owners = self.window_scores(texts)
+        return np.maximum.reduceat(scores, owners[:-1])
+
     def score(self, texts: pa.Array) -> np.ndarray:
+        """Score of each text; texts are taken in groups of bounded size."""
         if self.constant is not None or len(texts) == 0:
             return np.full(len(texts), self.constant or 0.0)
-        scores, owners = self.window_scores(texts)
-        worst = np.maximum.reduceat(scores, owners[:-1])
+        rows = max(1, int(len(texts) * _LIMIT / max(1, texts.nbytes)))
+        worst = np.concatenate([self._worst(texts.slice(start, rows)) for start in range(0, len(texts), rows)])
         return 1.0 / (1.0 + np.exp(-np.clip(worst, -500, 500)))
 
 
@@ -206,7 +213,7 @@ def train_model(texts: list[str], toxic: list[int], rounds: int = ROUNDS, seed:
             negatives = np.unique(np.concatenate([worst[labels == 0], rng.permutation(clean)[: 2 * len(positives)]]))
         windows = np.concatenate([positives, negatives])
         target = np.concatenate([np.ones(len(positives), np.int64), np.zeros(len(negatives), np.int64)])
-        for _ in range(2 if turn == 0 else 4):
+        for _ in range(max(2 if turn == 0 else 4, -(-UPDATES * 256 // max(1, len(windows))))):
             shuffled = rng.permutation(len(windows))
             for start in range(0, len(shuffled), 256):
                 part = shuffled[start : start + 256]
@@ -238,11 +245,9 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = max(1, int(batch.num_rows * _LIMIT / max(1, batch.nbytes)))
-            for start in range(0, batch.num_rows, rows):
-                part = batch.slice(start, rows)
-                score = values.value.score(part.column(2))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(score, pa.float64())], names=["uid", "doc_id", "score"])
+            score = pa.array(values.value.score(batch.column(2)), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), score], names=["uid", "doc_id", "score"])
+            release()
 
     rows = own_columns(docs, {"doc_id": "doc_id", "text": "text"})
     rows = rows.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("bigint"), "text")
