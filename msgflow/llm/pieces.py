@@ -43,6 +43,16 @@ NONE = -(1 << 62)  # no such path
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
+_BASE, _ONE = np.uint64(0x9E3779B97F4A7C15), np.uint64(1)
+
+
+def _hash(piece: str) -> int:
+    value = 0
+    for c in piece:
+        value = (value * int(_BASE) + ord(c) + 1) % (1 << 64)
+    return value
+
+
 class PieceModel:
     """Pieces and scores of a model file."""
 
@@ -70,6 +80,16 @@ class PieceModel:
         for byte, i in self.byte_ids.items():
             self.scores[i] = 0 if 0x80 <= byte < 0xC0 else self.penalty
 
+        self.ascii_ids = np.array([self.byte_ids.get(code, -1) for code in range(128)] + [-1], np.int64)
+        # Hashes of all beginnings of pieces, sorted: id of the piece, or -1 where only longer pieces begin so.
+        begun = {piece[:n] for piece in self.pieces for n in range(1, len(piece) + 1)}
+        hashes = np.array([_hash(p) for p in begun], np.uint64)
+        order = np.argsort(hashes)
+        self.hashes = hashes[order]
+        if (self.hashes[1:] == self.hashes[:-1]).any():
+            raise ValueError("two beginnings of pieces share a hash")
+        self.begun = np.array([self.pieces.get(p, (0, -1))[1] for p in begun], np.int64)[order]
+
     @staticmethod
     @lru_cache(maxsize=2)
     def shared(path: str) -> PieceModel:
@@ -108,6 +128,63 @@ class PieceModel:
         """Ids of the best segmentation of a whole text."""
         return self.backtrace(text, self.forward(text, len(text) if limit is None else limit)[1])
 
+    def segment_many(self, texts: list[str]) -> list[list[int]]:
+        """`segment` of many short texts: texts of one length take every step together."""
+        result: list[list[int]] = [[]] * len(texts)
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        for n in np.unique(lengths).tolist():
+            places = np.flatnonzero(lengths == n)
+            if n > 48 or len(places) < 8:
+                for i in places.tolist():
+                    result[i] = self.segment(texts[i])
+                continue
+            points = np.frombuffer("".join([texts[i] for i in places.tolist()]).encode("utf-32-le"), np.uint32).reshape(-1, n)
+            for i, ids in zip(places.tolist(), self._segment_equal(points)):
+                result[i] = self.segment(texts[i]) if ids is None else ids
+        return result
+
+    def _segment_equal(self, points: np.ndarray) -> list[list[int] | None]:
+        """Ids of texts of one length; None where a character beyond ASCII has no piece."""
+        count, n = points.shape
+        best = np.full((n + 1, count), NONE, np.int64)
+        last = np.zeros((n + 1, count), np.int64)
+        piece = np.full((n + 1, count), -1, np.int64)
+        best[0] = 0
+        for i in range(n):
+            active, hashed = np.arange(count), np.zeros(count, np.uint64)
+            for size in range(1, min(self.reach, n - i) + 1):
+                hashed = hashed * _BASE + points[active, i + size - 1] + _ONE
+                spot = np.minimum(np.searchsorted(self.hashes, hashed), len(self.hashes) - 1)
+                known = self.hashes[spot] == hashed
+                ids = np.where(known, self.begun[spot], -1)
+                if size == 1:
+                    whole, score = active, np.where(ids >= 0, self.scores[ids], self.penalty)
+                    found = ids
+                else:
+                    is_piece = ids >= 0
+                    whole, found = active[is_piece], ids[is_piece]
+                    score = self.scores[found]
+                total = best[i, whole] + score
+                better = total > best[i + size, whole]
+                at = whole[better]
+                best[i + size, at], last[i + size, at], piece[i + size, at] = total[better], size, found[better]
+                active, hashed = active[known], hashed[known]
+                if not len(active):
+                    break
+        steps = np.full((n, count), -2, np.int64)  # ids in order of their last character, -2 where no piece ends
+        end = np.full(count, n)
+        rows = np.arange(count)
+        while (end > 0).any():
+            live = rows[end > 0]
+            at = end[live]
+            ids = piece[at, live]
+            unknown = ids < 0
+            code = points[live, at - 1].astype(np.int64)
+            bytes_of = self.ascii_ids[np.minimum(code, 128)]
+            steps[at - 1, live] = np.where(unknown, bytes_of, ids)
+            end[live] -= last[at, live]
+        return [None if -1 in column else [x for x in column if x >= 0] for column in steps.T.tolist()]
+
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of some ids; the space before a text's first word belongs to them."""
         return b"".join(map(self.text.__getitem__, ids.tolist()))
@@ -127,7 +204,7 @@ class PieceWords(WordCache):
         return pc.split_pattern(texts, " ")
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
-        return [self.model.segment(MARK + word) for word in words]
+        return self.model.segment_many([MARK + word for word in words])
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         # Runs of spaces are one unit with the word after them: such texts are split here.
@@ -138,7 +215,9 @@ class PieceWords(WordCache):
             if irregular:
                 text = texts[i].as_py()
                 units = _WORD.findall(MARK + text.replace(" ", MARK)) if text else []
-                ids = np.array([x for unit in units for x in self.model.segment(unit)], np.uint32)
+                distinct = list(dict.fromkeys(units))
+                known = dict(zip(distinct, self.model.segment_many(distinct)))
+                ids = np.array([x for unit in units for x in known[unit]], np.uint32)
             yield ids
 
 
@@ -147,8 +226,16 @@ def cuts(text: str) -> list[int]:
     return [m.start() + 1 for m in re.finditer(f"[^{MARK}](?={MARK})", text)]
 
 
-def transfer(model: PieceModel, body: str, ahead: str) -> np.ndarray:
+def _middle(words: PieceWords, text: str) -> np.ndarray:
+    """Ids of whole words, the first one with its mark."""
+    if not text:
+        return np.zeros(0, np.uint32)
+    return next(words.encode(pa.array([text[1:].replace(MARK, " ")], pa.large_string())))
+
+
+def transfer(words: PieceWords, body: str, ahead: str) -> np.ndarray:
     """Best sums of a chunk from each state at its start (row) to each state at its end (column)."""
+    model = words.model
     size, n = model.reach, len(body)
     matrix = np.full((size, size), NONE, np.int64)
     places = cuts(body)
@@ -160,7 +247,7 @@ def transfer(model: PieceModel, body: str, ahead: str) -> np.ndarray:
     for a in range(min(size, places[0] + 1)):
         best, _ = model.forward(body[a : places[0]], places[0] - a)
         head[a] = best[-1]
-    middle = sum(model.score(np.array(model.segment(word))) for word in _WORD.findall(body[places[0] : places[-1]]))
+    middle = model.score(_middle(words, body[places[0] : places[-1]]).astype(np.int64))
     tail = _ends(model, body[places[-1] :], ahead)
     both = (head[:, None] != NONE) & (tail[None, :] != NONE)
     return np.where(both, np.where(both, head[:, None], 0) + middle + np.where(both, tail[None, :], 0), NONE)
@@ -176,16 +263,15 @@ def _ends(model: PieceModel, body: str, ahead: str) -> np.ndarray:
     return ends
 
 
-def trace(model: PieceModel, body: str, ahead: str, begin: int, end: int) -> list[int]:
+def trace(words: PieceWords, body: str, ahead: str, begin: int, end: int) -> np.ndarray:
     """Ids of the pieces that begin in a chunk, given the states at both ends."""
+    model = words.model
     text, n = body[begin:] + ahead[:end], len(body) - begin
     places = [p for p in cuts(text) if p < n]
-    ids: list[int] = []
-    if places:
-        for unit in [text[: places[0]], *_WORD.findall(text[places[0] : places[-1]])]:
-            ids += model.segment(unit)
-        text, n = text[places[-1] :], n - places[-1]
-    return ids + model.segment(text, n)
+    if not places:
+        return np.array(model.segment(text, n), np.uint32)
+    head, tail = model.segment(text[: places[0]]), model.segment(text[places[-1] :], n - places[-1])
+    return np.concatenate([np.array(head, np.uint32), _middle(words, text[places[0] : places[-1]]), np.array(tail, np.uint32)])
 
 
 def combine(matrices: Iterable[np.ndarray]) -> np.ndarray:
@@ -243,7 +329,8 @@ def _rows(doc_id, chunk, chunks, start, n_chars, ids: list[np.ndarray], model: P
 
 def _chunked(path: str, chars: int):
     def chunked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel.shared(path)
+        words = PieceWords.shared(path)
+        model = words.model
         names = [f.split()[0] for f in _CHUNK.split(", ")]
         for batch in batches:
             for uid, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -251,7 +338,7 @@ def _chunked(path: str, chars: int):
                 number = -(-len(marked) // chars)
                 for k in range(number):
                     body, ahead = marked[k * chars : (k + 1) * chars], marked[(k + 1) * chars : (k + 1) * chars + model.reach - 1]
-                    row = [uid, doc_id, k, number, max(0, k * chars - 1), body, ahead, transfer(model, body, ahead).tobytes()]
+                    row = [uid, doc_id, k, number, max(0, k * chars - 1), body, ahead, transfer(words, body, ahead).tobytes()]
                     yield pa.RecordBatch.from_pylist([dict(zip(names, row))], schema=_CHUNK_ARROW)
             release()
 
@@ -294,14 +381,14 @@ def _placed(reach: int):
 
 def _traced(path: str):
     def traced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel.shared(path)
+        words = PieceWords.shared(path)
         for batch in batches:
             column = {name: batch.column(name) for name in batch.schema.names}
             each = zip(*(column[c].to_pylist() for c in ("body", "ahead", "begin", "end")))
-            ids = [np.array(trace(model, *row), np.uint32) for row in each]
+            ids = [trace(words, *row) for row in each]
             # The mark before a text is not one of its characters.
             lengths = pc.subtract(pc.utf8_length(column["body"]).cast(pa.int64()), pc.equal(column["node"], 0).cast(pa.int64()))
-            yield _rows(column["doc_id"], column["node"], column["chunks"], column["start"], lengths, ids, model)
+            yield _rows(column["doc_id"], column["node"], column["chunks"], column["start"], lengths, ids, words.model)
             release()
 
     return traced
