@@ -13,9 +13,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-CACHED_WORDS = 250_000  # the cache starts anew beyond this, so that memory stays bounded
+CACHED_WORDS = 600_000  # words kept, so that memory stays bounded; frequent ones are met early, the rest is encoded per group
 _PLAIN = set("abcdefghijklmnopqrstuvwxyz")
-_GROUP_BYTES = 2 << 20  # text that is split at once
+_GROUP_BYTES = 4 << 20  # text that is split at once
 
 
 class WordCache:
@@ -31,7 +31,8 @@ class WordCache:
         return cls._shared[cls, path]
 
     def __init__(self, path: str):
-        self._reset()
+        self.place: dict[str, int] = {}
+        self.starts, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
     def split(self, texts: pa.Array) -> pa.Array:
         raise NotImplementedError
@@ -39,39 +40,33 @@ class WordCache:
     def encode_words(self, words: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
-    def _reset(self) -> None:
-        self.place: dict[str, int] = {}
-        self.starts, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
-
-    def _learn(self, words: list[str]) -> None:
-        found = self.encode_words(words)
-        if len(self.place) + len(words) > CACHED_WORDS:
-            self._reset()
-        first = len(self.place)
-        self.place.update(zip(words, range(first, first + len(words))))
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        self.ids = np.concatenate([self.ids, np.fromiter((x for ids in found for x in ids), np.uint32, int(lengths.sum()))])
-
     def _encode_group(self, texts: pa.Array) -> Iterator[np.ndarray]:
         split = self.split(texts)
         encoded = split.flatten().dictionary_encode()
         words = encoded.dictionary.to_pylist()
-        unknown = [w for w in words if w not in self.place]
-        if unknown:
-            before = len(self.place)
-            self._learn(unknown)
-            if len(self.place) < before + len(unknown):  # the cache began anew
-                self._learn([w for w in words if w not in self.place])
-        place = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        place = np.fromiter((self.place.get(word, -1) for word in words), np.int64, len(words))
+        new = np.flatnonzero(place < 0)
+        starts, ids = self.starts, self.ids
+        if len(new):
+            unknown = [words[i] for i in new.tolist()]
+            found = self.encode_words(unknown)
+            first = len(self.place)
+            place[new] = np.arange(first, first + len(new))
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            starts = np.concatenate([starts, starts[-1] + np.cumsum(sizes)])
+            ids = np.concatenate([ids, np.fromiter((x for part in found for x in part), np.uint32, int(sizes.sum()))])
+            if first + len(new) <= CACHED_WORDS:
+                self.place.update(zip(unknown, range(first, first + len(new))))
+                self.starts, self.ids = starts, ids
         used = place[encoded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
-        begins, lengths = self.starts[used], self.starts[used + 1] - self.starts[used]
+        begins = starts[used]
+        lengths = starts[used + 1] - begins
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.ids[np.arange(ends[-1]) - np.repeat(ends[:-1] - begins, lengths)]
+        flat = ids[np.arange(ends[-1]) + np.repeat(begins - ends[:-1], lengths)]
         offsets = split.offsets.to_numpy()
         cuts = ends[offsets - offsets[0]]
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            yield ids[a:b]
+            yield flat[a:b]
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids of every text as uint32; null is empty. Texts are taken in groups of bounded size, a longer one alone."""
