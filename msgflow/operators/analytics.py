@@ -24,11 +24,12 @@ def daily_volume(messages: DataFrame) -> DataFrame:
 
 
 def daily_volume_difference(messages: DataFrame) -> DataFrame:
-    """Change of the daily volume against the channel's previous day with messages.
+    """Change of the daily volume against the channel's previous day with messages; days without messages are passed over.
 
+    The null day is no day before another: it has no difference, and the first real day has none either.
     The window runs over one row per day, after the counts.
     """
-    by_day = Window.partitionBy("channel").orderBy("day")
+    by_day = Window.partitionBy("channel", F.col("day").isNull()).orderBy("day")
     return daily_volume(messages).withColumn("difference", F.col("n") - F.lag("n").over(by_day))
 
 

@@ -43,31 +43,27 @@ def sentiment_stages(input_col: str = "input", label_col: str = "label", partiti
     return Pipeline(stages=[tokeniser(input_col), stop_words(), vectors, regression])
 
 
+LEARNERS = 4  # tasks that learn word vectors, the same at every size and on every cluster
+
+
 @dataclass
 class Training:
     model: PipelineModel
     accuracy: float | None
 
 
-def _pieces(rows: int, rows_per_piece: int, most: int) -> int:
-    return max(1, min(most, rows // rows_per_piece))
-
-
-def fit(rows: DataFrame, input_col: str, label_col: str, partitions: int | None = None) -> PipelineModel:
+def fit(rows: DataFrame, input_col: str, label_col: str, partitions: int = LEARNERS) -> PipelineModel:
     """Fit the stages one after the other; the result is the model that fitting them as one would give.
 
-    Words are computed once for both learners. The regression passes over its
-    vectors up to a hundred times, so a small set is put into few partitions.
+    Words are computed once for both learners. `partitions` is the number of tasks
+    that learn word vectors and does not follow the size of the data or of the
+    cluster: one gives the exact sequential result.
     """
-    most = rows.sparkSession.sparkContext.defaultParallelism
     words_of, stops, vectors_of, regression = sentiment_stages(input_col, label_col).getStages()
     words = stops.transform(words_of.transform(spread(rows.select(input_col, label_col)))).persist()
     try:
-        count = words.count()
-        vectors_of = vectors_of.setNumPartitions(partitions or _pieces(count, 500, most)).fit(words)
-        vectors = vectors_of.transform(words).select("vector", label_col)
-        small = count < 10_000 * most
-        regression = regression.fit(vectors.coalesce(_pieces(count, 10_000, most)) if small else vectors)
+        vectors_of = vectors_of.setNumPartitions(partitions).fit(words)
+        regression = regression.fit(vectors_of.transform(words).select("vector", label_col))
     finally:
         words.unpersist()
     return PipelineModel([words_of, stops, vectors_of, regression])
@@ -75,7 +71,7 @@ def fit(rows: DataFrame, input_col: str, label_col: str, partitions: int | None
 
 def train(
     labelled: DataFrame, key: str, input_col: str = "content", label_col: str = "label",
-    weights: list[float] | None = None, partitions: int | None = None,
+    weights: list[float] | None = None, partitions: int = LEARNERS,
 ) -> Training:
     """Drop rows with nulls, split, fit on the first part, report accuracy on the third if it has weight."""
     weights = fv.SPLIT_WEIGHTS if weights is None else weights

@@ -78,13 +78,17 @@ def without_copies(df: DataFrame, key: str, order: str) -> DataFrame:
     keyed = df.where(F.col(key).isNotNull())
     firsts = (
         keyed.groupBy(key).agg(F.min(order).alias("_first"), F.count("*").alias("_copies"))
-        .where(F.col("_copies") > 1).drop("_copies")
+        .where(F.col("_copies") > 1).drop("_copies").withColumn("_many", F.lit(True))
     )
     if is_small(firsts):
         marked = keyed.join(F.broadcast(firsts), key, "left")
     else:
         marked = skew_join(keyed, firsts, key, [order])
-    return marked.where(F.col("_first").isNull() | (F.col(order) == F.col("_first"))).drop("_first")
+    marked = marked.withColumn("_single", F.col("_many").isNull()).drop("_many")
+    # Keys without copies have no entry. Of the others only the first rows go on, and rows that tie are reduced to one.
+    single = marked.where(F.col("_first").isNull() & F.col("_single")).drop("_first", "_single")
+    tied = marked.where(~F.col("_single") & F.col(order).eqNullSafe(F.col("_first"))).drop("_first", "_single")
+    return single.unionByName(one_per_key(tied, [key]))
 
 
 def running_total(df: DataFrame, order: str, value: str, output: str, block: int = 100_000) -> DataFrame:

@@ -40,7 +40,7 @@ def prepare_training(raw: DataFrame, key: str, cleaned_path: str, sample_path: s
     sinks.write_csv(training_sample(written, key, fraction), sample_path)
 
 
-def build_gazetteer(spark: SparkSession, documents_path: str, cleaned_path: str, limit: int | None = fv.GAZETTEER_LIMIT) -> DataFrame:
+def build_gazetteer(spark: SparkSession, documents_path: str, cleaned_path: str, limit: int | None = None) -> DataFrame:
     """City documents to the cleaned gazetteer table, written as CSV and returned. No limit takes all cities."""
     cities = tables.read_gazetteer_documents(spark, documents_path)
     cities = cities if limit is None else tables.first_cities(cities, limit)
