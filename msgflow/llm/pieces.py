@@ -24,6 +24,7 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,10 @@ from msgflow.session import stage
 CHUNK_CHARS = 16_384  # longer texts are cut
 FAN = 64  # neighbouring matrices combined at once
 MARK = "▁"  # stands for a space
+_STEPPED, _TOGETHER = 48, 8_192  # longer words are segmented alone; so many shorter ones at once
+_BLOCK = 64  # chunks whose words are looked up at once
 NONE = -(1 << 62)  # no such path
+_CUT = re.compile(f"[^{MARK}](?={MARK})")
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -129,37 +133,45 @@ class PieceModel:
         return self.backtrace(text, self.forward(text, len(text) if limit is None else limit)[1])
 
     def segment_many(self, texts: list[str]) -> list[list[int]]:
-        """`segment` of many short texts: texts of one length take every step together."""
+        """`segment` of many short texts, which take every step together."""
         result: list[list[int]] = [[]] * len(texts)
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-        for n in np.unique(lengths).tolist():
-            places = np.flatnonzero(lengths == n)
-            if n > 48 or len(places) < 8:
-                for i in places.tolist():
-                    result[i] = self.segment(texts[i])
-                continue
-            points = np.frombuffer("".join([texts[i] for i in places.tolist()]).encode("utf-32-le"), np.uint32).reshape(-1, n)
-            for i, ids in zip(places.tolist(), self._segment_equal(points)):
+        for i in np.flatnonzero(lengths > _STEPPED).tolist():
+            result[i] = self.segment(texts[i])
+        places = np.flatnonzero((lengths > 0) & (lengths <= _STEPPED))
+        places = places[np.argsort(-lengths[places], kind="stable")]
+        for begin in range(0, len(places), _TOGETHER):
+            some = places[begin : begin + _TOGETHER]
+            for i, ids in zip(some.tolist(), self._segment_together([texts[i] for i in some.tolist()], lengths[some])):
                 result[i] = self.segment(texts[i]) if ids is None else ids
         return result
 
-    def _segment_equal(self, points: np.ndarray) -> list[list[int] | None]:
-        """Ids of texts of one length; None where a character beyond ASCII has no piece."""
-        count, n = points.shape
+    def _segment_together(self, texts: list[str], lengths: np.ndarray) -> list[list[int] | None]:
+        """Ids of texts in order of falling length; None where a character beyond ASCII has no piece."""
+        count, n = len(texts), int(lengths[0])
+        filled = np.arange(n) < lengths[:, None]
+        points = np.zeros((count, n), np.uint64)
+        points[filled] = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+        points = np.ascontiguousarray(points.T)
+        longer = np.searchsorted(-lengths, -np.arange(n), "left")  # so many texts are longer than i
         best = np.full((n + 1, count), NONE, np.int64)
-        last = np.zeros((n + 1, count), np.int64)
-        piece = np.full((n + 1, count), -1, np.int64)
+        last = np.zeros((n + 1, count), np.int32)
+        piece = np.full((n + 1, count), -1, np.int32)
         best[0] = 0
+        top = len(self.hashes) - 1
         for i in range(n):
-            active, hashed = np.arange(count), np.zeros(count, np.uint64)
+            active, hashed = np.arange(longer[i]), np.zeros(longer[i], np.uint64)
             for size in range(1, min(self.reach, n - i) + 1):
-                hashed = hashed * _BASE + points[active, i + size - 1] + _ONE
-                spot = np.minimum(np.searchsorted(self.hashes, hashed), len(self.hashes) - 1)
+                if size > 1:  # a text that ends here has no longer piece
+                    inside = np.searchsorted(active, longer[i + size - 1])
+                    active, hashed = active[:inside], hashed[:inside]
+                hashed = hashed * _BASE + points[i + size - 1, active] + _ONE
+                spot = np.minimum(np.searchsorted(self.hashes, hashed), top)
                 known = self.hashes[spot] == hashed
                 ids = np.where(known, self.begun[spot], -1)
                 if size == 1:
-                    whole, score = active, np.where(ids >= 0, self.scores[ids], self.penalty)
-                    found = ids
+                    whole, found = active, ids
+                    score = np.where(ids >= 0, self.scores[ids], self.penalty)
                 else:
                     is_piece = ids >= 0
                     whole, found = active[is_piece], ids[is_piece]
@@ -171,18 +183,14 @@ class PieceModel:
                 active, hashed = active[known], hashed[known]
                 if not len(active):
                     break
-        steps = np.full((n, count), -2, np.int64)  # ids in order of their last character, -2 where no piece ends
-        end = np.full(count, n)
-        rows = np.arange(count)
-        while (end > 0).any():
-            live = rows[end > 0]
-            at = end[live]
-            ids = piece[at, live]
-            unknown = ids < 0
-            code = points[live, at - 1].astype(np.int64)
-            bytes_of = self.ascii_ids[np.minimum(code, 128)]
-            steps[at - 1, live] = np.where(unknown, bytes_of, ids)
-            end[live] -= last[at, live]
+        steps = np.full((n, count), -2, np.int32)  # ids in order of their last character, -2 where no piece ends
+        live, end = np.arange(count), lengths.copy()
+        while len(live):
+            ids = piece[end, live]
+            code = points[end - 1, live].astype(np.int64)
+            steps[end - 1, live] = np.where(ids < 0, self.ascii_ids[np.minimum(code, 128)], ids)
+            end = end - last[end, live]
+            live, end = live[end > 0], end[end > 0]
         return [None if -1 in column else [x for x in column if x >= 0] for column in steps.T.tolist()]
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -221,36 +229,41 @@ class PieceWords(WordCache):
             yield ids
 
 
-def cuts(text: str) -> list[int]:
-    """Positions where every segmentation has a boundary: before a space mark that follows something else."""
-    return [m.start() + 1 for m in re.finditer(f"[^{MARK}](?={MARK})", text)]
+def outer_cuts(text: str, limit: int | None = None) -> tuple[int, int] | None:
+    """First and last position up to `limit` where every segmentation has a boundary: before a space mark that follows something else."""
+    last = len(text[: text.rfind(MARK, 0, limit) + 1].rstrip(MARK))
+    return (_CUT.search(text).start() + 1, last) if last else None
 
 
-def _middle(words: PieceWords, text: str) -> np.ndarray:
-    """Ids of whole words, the first one with its mark."""
-    if not text:
-        return np.zeros(0, np.uint32)
-    return next(words.encode(pa.array([text[1:].replace(MARK, " ")], pa.large_string())))
+def _middles(words: PieceWords, texts: list[str]) -> list[np.ndarray]:
+    """Ids of whole words, the first one of a text with its mark."""
+    return list(words.encode(pa.array([text[1:].replace(MARK, " ") for text in texts], pa.large_string())))
 
 
-def transfer(words: PieceWords, body: str, ahead: str) -> np.ndarray:
-    """Best sums of a chunk from each state at its start (row) to each state at its end (column)."""
+def transfers(words: PieceWords, chunks: list[tuple[str, str]]) -> list[np.ndarray]:
+    """For chunks and what follows each: best sums from each state at its start (row) to each state at its end (column)."""
     model = words.model
-    size, n = model.reach, len(body)
-    matrix = np.full((size, size), NONE, np.int64)
-    places = cuts(body)
-    if not places:
-        for a in range(min(size, n + 1)):
-            matrix[a] = _ends(model, body[a:], ahead)
-        return matrix
-    head = np.full(size, NONE, np.int64)
-    for a in range(min(size, places[0] + 1)):
-        best, _ = model.forward(body[a : places[0]], places[0] - a)
-        head[a] = best[-1]
-    middle = model.score(_middle(words, body[places[0] : places[-1]]).astype(np.int64))
-    tail = _ends(model, body[places[-1] :], ahead)
-    both = (head[:, None] != NONE) & (tail[None, :] != NONE)
-    return np.where(both, np.where(both, head[:, None], 0) + middle + np.where(both, tail[None, :], 0), NONE)
+    size = model.reach
+    outer = [outer_cuts(body) for body, _ in chunks]
+    middles = _middles(words, [body[slice(*cut)] if cut else "" for (body, _), cut in zip(chunks, outer)])
+    made = []
+    for (body, ahead), cut, middle in zip(chunks, outer, middles):
+        matrix = np.full((size, size), NONE, np.int64)
+        made.append(matrix)
+        if not cut:
+            for a in range(min(size, len(body) + 1)):
+                matrix[a] = _ends(model, body[a:], ahead)
+            continue
+        first, last = cut
+        head = np.full(size, NONE, np.int64)
+        for a in range(min(size, first + 1)):
+            best, _ = model.forward(body[a:first], first - a)
+            head[a] = best[-1]
+        tail = _ends(model, body[last:], ahead)
+        both = (head[:, None] != NONE) & (tail[None, :] != NONE)
+        whole = model.score(middle.astype(np.int64))
+        matrix[:] = np.where(both, np.where(both, head[:, None], 0) + whole + np.where(both, tail[None, :], 0), NONE)
+    return made
 
 
 def _ends(model: PieceModel, body: str, ahead: str) -> np.ndarray:
@@ -263,15 +276,20 @@ def _ends(model: PieceModel, body: str, ahead: str) -> np.ndarray:
     return ends
 
 
-def trace(words: PieceWords, body: str, ahead: str, begin: int, end: int) -> np.ndarray:
-    """Ids of the pieces that begin in a chunk, given the states at both ends."""
+def traces(words: PieceWords, chunks: list[tuple[str, str, int, int]]) -> list[np.ndarray]:
+    """For chunks, what follows each and the states at both its ends: ids of the pieces that begin in it."""
     model = words.model
-    text, n = body[begin:] + ahead[:end], len(body) - begin
-    places = [p for p in cuts(text) if p < n]
-    if not places:
-        return np.array(model.segment(text, n), np.uint32)
-    head, tail = model.segment(text[: places[0]]), model.segment(text[places[-1] :], n - places[-1])
-    return np.concatenate([np.array(head, np.uint32), _middle(words, text[places[0] : places[-1]]), np.array(tail, np.uint32)])
+    texts = [(body[begin:] + ahead[:end], len(body) - begin) for body, ahead, begin, end in chunks]
+    outer = [outer_cuts(text, n) for text, n in texts]
+    middles = _middles(words, [text[slice(*cut)] if cut else "" for (text, _), cut in zip(texts, outer)])
+    found = []
+    for (text, n), cut, middle in zip(texts, outer, middles):
+        if not cut:
+            found.append(np.array(model.segment(text, n), np.uint32))
+            continue
+        head, tail = model.segment(text[: cut[0]]), model.segment(text[cut[1] :], n - cut[1])
+        found.append(np.concatenate([np.array(head, np.uint32), middle, np.array(tail, np.uint32)]))
+    return found
 
 
 def combine(matrices: Iterable[np.ndarray]) -> np.ndarray:
@@ -328,18 +346,24 @@ def _rows(doc_id, chunk, chunks, start, n_chars, ids: list[np.ndarray], model: P
 
 
 def _chunked(path: str, chars: int):
+    names = [f.split()[0] for f in _CHUNK.split(", ")]
+
+    def chunks_of(batch: pa.RecordBatch, reach: int) -> Iterator[tuple]:
+        for uid, doc_id, text in zip(*(batch.column(i) for i in range(3))):
+            marked = MARK + text.as_py().replace(" ", MARK)
+            number = -(-len(marked) // chars)
+            for k in range(number):
+                body, ahead = marked[k * chars : (k + 1) * chars], marked[(k + 1) * chars : (k + 1) * chars + reach - 1]
+                yield uid.as_py(), doc_id.as_py(), k, number, max(0, k * chars - 1), body, ahead
+
     def chunked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = PieceWords.shared(path)
-        model = words.model
-        names = [f.split()[0] for f in _CHUNK.split(", ")]
         for batch in batches:
-            for uid, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                marked = MARK + text.replace(" ", MARK)
-                number = -(-len(marked) // chars)
-                for k in range(number):
-                    body, ahead = marked[k * chars : (k + 1) * chars], marked[(k + 1) * chars : (k + 1) * chars + model.reach - 1]
-                    row = [uid, doc_id, k, number, max(0, k * chars - 1), body, ahead, transfer(words, body, ahead).tobytes()]
-                    yield pa.RecordBatch.from_pylist([dict(zip(names, row))], schema=_CHUNK_ARROW)
+            rows = chunks_of(batch, words.model.reach)
+            while block := list(islice(rows, _BLOCK)):
+                made = transfers(words, [row[-2:] for row in block])
+                columns = [*zip(*block), [matrix.tobytes() for matrix in made]]
+                yield pa.RecordBatch.from_pydict(dict(zip(names, columns)), schema=_CHUNK_ARROW)
             release()
 
     return chunked
@@ -385,7 +409,9 @@ def _traced(path: str):
         for batch in batches:
             column = {name: batch.column(name) for name in batch.schema.names}
             each = zip(*(column[c].to_pylist() for c in ("body", "ahead", "begin", "end")))
-            ids = [trace(words, *row) for row in each]
+            ids = []
+            while block := list(islice(each, _BLOCK)):
+                ids += traces(words, block)
             # The mark before a text is not one of its characters.
             lengths = pc.subtract(pc.utf8_length(column["body"]).cast(pa.int64()), pc.equal(column["node"], 0).cast(pa.int64()))
             yield _rows(column["doc_id"], column["node"], column["chunks"], column["start"], lengths, ids, words.model)

@@ -7,6 +7,7 @@ not met before reach the tokenizer.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,15 @@ _PLAIN = set("abcdefghijklmnopqrstuvwxyz")
 _GROUP_BYTES = 4 << 20  # text that is split at once
 
 
+def _with_room(values: np.ndarray, used: int, needed: int) -> np.ndarray:
+    """The array, or one of twice the size with the used part of it."""
+    if needed <= len(values):
+        return values
+    grown = np.zeros(max(needed, 2 * len(values)), values.dtype)
+    grown[:used] = values[:used]
+    return grown
+
+
 class WordCache:
     """Splits texts into words and keeps the ids of words met before; what a word is and how it is encoded is up to the kind."""
 
@@ -32,7 +42,8 @@ class WordCache:
 
     def __init__(self, path: str):
         self.place: dict[str, int] = {}
-        self.starts, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        # Ids of word i are ids[starts[i]:starts[i + 1]]. Both arrays have room to spare; words that are not kept stand behind the kept ones for a while.
+        self.starts, self.ids = np.zeros(1 << 10, np.int64), np.zeros(1 << 12, np.uint32)
 
     def split(self, texts: pa.Array) -> pa.Array:
         raise NotImplementedError
@@ -40,24 +51,30 @@ class WordCache:
     def encode_words(self, words: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
+    def _append(self, first: int, found: list[list[int]]) -> None:
+        """Puts the ids of some words behind those of the first ones."""
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        begin = int(self.starts[first])
+        ends = begin + np.cumsum(sizes)
+        end = int(ends[-1])
+        self.starts = _with_room(self.starts, first + 1, first + 1 + len(found))
+        self.ids = _with_room(self.ids, begin, end)
+        self.starts[first + 1 : first + 1 + len(found)] = ends
+        self.ids[begin:end] = np.fromiter(chain.from_iterable(found), np.uint32, end - begin)
+
     def _encode_group(self, texts: pa.Array) -> Iterator[np.ndarray]:
         split = self.split(texts)
         encoded = split.flatten().dictionary_encode()
         words = encoded.dictionary.to_pylist()
         place = np.fromiter((self.place.get(word, -1) for word in words), np.int64, len(words))
         new = np.flatnonzero(place < 0)
-        starts, ids = self.starts, self.ids
         if len(new):
             unknown = [words[i] for i in new.tolist()]
-            found = self.encode_words(unknown)
-            first = len(self.place)
-            place[new] = np.arange(first, first + len(new))
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            starts = np.concatenate([starts, starts[-1] + np.cumsum(sizes)])
-            ids = np.concatenate([ids, np.fromiter((x for part in found for x in part), np.uint32, int(sizes.sum()))])
-            if first + len(new) <= CACHED_WORDS:
-                self.place.update(zip(unknown, range(first, first + len(new))))
-                self.starts, self.ids = starts, ids
+            first, last = len(self.place), len(self.place) + len(new)
+            place[new] = np.arange(first, last)
+            self._append(first, self.encode_words(unknown))
+            self.place.update(zip(unknown[: max(0, CACHED_WORDS - first)], range(first, last)))
+        starts, ids = self.starts, self.ids
         used = place[encoded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
         begins = starts[used]
         lengths = starts[used + 1] - begins
