@@ -43,23 +43,31 @@ _INVISIBLE = "(?is)" + "|".join(
 )
 # Character references and the text between them; the closing semicolon may be missing.
 _REFERENCE_PIECES = r"&#(?:[0-9]+|[xX][0-9A-Fa-f]+);?|&[A-Za-z][A-Za-z0-9.\-]*;?|[^&]+|&"
-_KNOWN_NAMES = sorted({name.rstrip(";") for name in html5})
-_ASCII_NAMES = {n.rstrip(";"): c for n, c in html5.items() if len(c) == 1 and " " < c <= "~"}
+_NAMES = {name.rstrip(";"): characters for name, characters in html5.items()}
+# What the numbers 128 to 159 stand for in pages: Windows characters where there are any.
+_WINDOWS = "".join(bytes([code]).decode("cp1252", "ignore") or chr(code) for code in range(128, 160))
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point, the replacement character where there is none."""
+    exists = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    return (
+        F.when(code.between(128, 159), F.substring(F.lit(_WINDOWS), (code - 127).cast("int"), F.lit(1)))
+        .when(exists, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        .otherwise("\ufffd")
+    )
 
 
 def _decode_name(name: Column) -> Column:
     hexadecimal = F.lower(F.substring(name, 2, 1)) == "x"
-    digits = F.when(hexadecimal, F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(F.substring(name, 2, 9))
-    code = digits.try_cast("bigint")
-    number = F.when(code.between(33, 126), F.char(code)).otherwise(" ")
-    ascii_name = F.str_to_map(F.lit("\n".join(f"{n}\t{c}" for n, c in sorted(_ASCII_NAMES.items()))), F.lit("\n"), F.lit("\t"))
-    known = F.array_contains(F.split(F.lit(" ".join(_KNOWN_NAMES)), " "), name)
+    # nine digits without leading zeros exceed every code point, so the rest of a longer number does not matter
+    digits = F.substring(F.ltrim(F.regexp_replace(name, "^#[xX]?", ""), F.lit("0")), 1, 9)
+    code = F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint")
+    names = F.str_to_map(F.lit("\x1e".join(f"{n}\x1f{c}" for n, c in sorted(_NAMES.items()))), F.lit("\x1e"), F.lit("\x1f"))
     return (
-        F.when(name == "amp", "&")
-        .when(name == "nbsp", " ")
-        .when(name == "", "&")
-        .when(F.startswith(name, F.lit("#")), number)
-        .otherwise(F.coalesce(F.try_element_at(ascii_name, name), F.when(known, " "), F.concat(F.lit("&"), name)))
+        F.when(name == "", "&")
+        .when(F.startswith(name, F.lit("#")), let(code, _character))
+        .otherwise(F.coalesce(F.try_element_at(names, name), F.concat(F.lit("&"), name)))
     )
 
 
@@ -68,7 +76,7 @@ def _decode_piece(piece: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    """Character references to characters; those outside ASCII become a space.
+    """Character references to characters, in and outside ASCII.
 
     Every reference is decoded once, a missing semicolon is forgiven, and an
     unknown name stays as text without its semicolon.

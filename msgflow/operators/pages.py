@@ -13,6 +13,10 @@ from msgflow import fixed_values as fv
 from msgflow.functions import records, text
 
 
+# A tag, or text up to the next one; a "<" that begins no tag is text.
+_MARKUP_PIECES = r"</?[A-Za-z!?][^>]*>|(?:[^<]|<(?![A-Za-z/!?]))[^<]*+(?:<(?![A-Za-z/!?])[^<]*+)*+|<"
+
+
 def _class(name: str) -> str:
     """An attribute list in which `name` is one of the classes."""
     return rf"""[^>]*?\bclass="(?:[^"]*\s)?{name}(?:\s[^"]*)?"[^>]*"""
@@ -55,16 +59,22 @@ def post_id(container: Column) -> Column:
     return records.message_id(_attribute(_first_tag(container, f"({_open('div', fv.MESSAGE_CLASS)})"), "data-post"))
 
 
+def _author(container: Column) -> Column:
+    """Markup of the author element; a search in it never reaches what follows."""
+    return _first(container, rf"{_open('div', fv.AUTHOR_CLASS)}(.*?)(?:</div\s*>|\z)")
+
+
 def author_name(container: Column) -> Column:
-    return text.markup_text(_first(container, rf"{_open('div', fv.AUTHOR_CLASS)}.*?<span\b[^>]*>(.*?)</span\s*>"))
+    return text.markup_text(_first(_author(container), r"<span\b[^>]*>(.*?)</span\s*>"))
 
 
 def author_link(container: Column) -> Column:
-    return _attribute(_first_tag(container, rf"{_open('div', fv.AUTHOR_CLASS)}.*?(<a\b[^>]*>)"), "href")
+    return _attribute(_first_tag(_author(container), r"(<a\b[^>]*>)"), "href")
 
 
 def post_time(container: Column) -> Column:
-    return _attribute(_first_tag(container, rf"{_open('a', fv.DATE_CLASS)}.*?(<time\b[^>]*>)"), "datetime")
+    date = _first(container, rf"{_open('a', fv.DATE_CLASS)}(.*?)(?:</a\s*>|\z)")
+    return _attribute(_first_tag(date, r"(<time\b[^>]*>)"), "datetime")
 
 
 def views(container: Column) -> Column:
@@ -74,31 +84,45 @@ def views(container: Column) -> Column:
 def text_parts(container: Column) -> Column:
     """Direct children of the text block: bare text as it is, an element as its whole text.
 
-    Pieces of markup are folded left to right with the nesting depth; a part ends
-    where the depth is back to zero.
+    Pieces of markup are folded left to right with the names of the open elements. A
+    closing tag ends the newest open element of its name and all inside it, and is
+    ignored when there is none; the `</div>` without one is the end of the block. Text
+    of elements still open there is a part as well.
     """
-    block = _first(container, rf"{_open('div', fv.TEXT_CLASS)}(.*?)</div\s*>")
-    pieces = F.regexp_extract_all(block, F.lit(r"<[^>]*>|[^<]+"), F.lit(0))
-    start = F.struct(
-        F.lit(0).alias("depth"), F.lit("").alias("open"), F.array().cast("array<string>").alias("parts")
-    )
+    pieces = F.regexp_extract_all(_first(container, rf"{_open('div', fv.TEXT_CLASS)}(.*)"), F.lit(_MARKUP_PIECES), F.lit(0))
+    none = F.array().cast("array<string>")
+    start = F.struct(none.alias("within"), F.lit("").alias("open"), none.alias("parts"), F.lit(False).alias("ended"))
 
     def fold(acc: Column, piece: Column) -> Column:
-        is_tag = F.startswith(piece, F.lit("<"))
+        name = F.lower(F.regexp_extract(piece, r"^</?([A-Za-z][^\s/>]*)", 1))
+        is_tag = F.rlike(piece, F.lit("^</?[A-Za-z!?]"))
+        closing = is_tag & F.startswith(piece, F.lit("</"))
         alone = F.rlike(piece, F.lit(r"(?i)^<(?:!|\?|(?:br|img|hr|wbr|input|source)\b)|/>$"))
-        closing = F.startswith(piece, F.lit("</"))
-        step = F.when(~is_tag | alone, 0).when(closing, -1).otherwise(1)
-        depth = F.greatest(acc["depth"] + step, F.lit(0))
-        grown = F.when(is_tag, acc["open"]).otherwise(F.concat(acc["open"], piece))
-        # a part is complete at depth zero: after bare text, or when an element closes
-        done = (depth == 0) & (~is_tag | closing)
-        return F.struct(
-            depth.alias("depth"),
-            F.when(done, F.lit("")).otherwise(grown).alias("open"),
-            F.when(done, F.concat(acc["parts"], F.array(grown))).otherwise(acc["parts"]).alias("parts"),
+        # position of the element a closing tag ends, counted from the newest; 0 for none
+        ended = F.array_position(F.reverse(acc["within"]), name).cast("int")
+        size = F.size(acc["within"])
+        within = (
+            F.when(closing & (ended > 0), F.slice(acc["within"], F.lit(1), size - ended))
+            .when(~is_tag | closing | alone, acc["within"])
+            .otherwise(F.concat(acc["within"], F.array(name)))
         )
+        grown = F.when(is_tag, acc["open"]).otherwise(F.concat(acc["open"], piece))
 
-    parts = F.aggregate(pieces, start, fold, lambda acc: acc["parts"])
+        def step(left: Column) -> Column:
+            # a part is complete outside all elements: after bare text, or when an element closes
+            done = (F.size(left) == 0) & (~is_tag | closing)
+            return F.struct(
+                left.alias("within"),
+                F.when(done, F.lit("")).otherwise(grown).alias("open"),
+                F.when(done, F.concat(acc["parts"], F.array(grown))).otherwise(acc["parts"]).alias("parts"),
+                F.lit(False).alias("ended"),
+            )
+
+        end = F.struct(acc["within"].alias("within"), acc["open"].alias("open"), acc["parts"].alias("parts"), F.lit(True).alias("ended"))
+        past = acc["ended"] | (closing & (name == "div") & (ended == 0))
+        return F.when(past, end).otherwise(text.let(within, step))
+
+    parts = F.aggregate(pieces, start, fold, lambda acc: F.concat(acc["parts"], F.array(acc["open"])))
     return text.keep_parts(F.transform(parts, text.decode_entities))
 
 

@@ -13,14 +13,16 @@ def quoted(value: str) -> str:
 
 
 def decode(x: str) -> str:
-    known = "[" + ", ".join(quoted(n) for n in sorted(name2codepoint)) + "]"
-    piece = "regexp_replace(p, '[&;]', '', 'g')"
+    names = sorted(name2codepoint)
+    codes = f"map([{', '.join(quoted(n) for n in names)}], [{', '.join(str(name2codepoint[n]) for n in names)}])"
+    name = "rtrim(substr(p, 2), ';')"
     one = (
-        f"CASE WHEN NOT starts_with(p, '&') THEN p WHEN {piece} = 'amp' THEN '&' WHEN {piece} = 'lt' THEN '<' "
-        f"WHEN {piece} = 'gt' THEN '>' WHEN {piece} = 'quot' THEN '\"' WHEN {piece} = '' THEN p "
-        f"WHEN list_contains({known}, {piece}) THEN ' ' ELSE '&' || {piece} END"
+        "CASE WHEN NOT starts_with(p, '&') OR p = '&' THEN p "
+        f"WHEN regexp_matches(p, '^&#[xX]') THEN chr(CAST('0x' || substr({name}, 3) AS INTEGER)) "
+        f"WHEN starts_with(p, '&#') THEN chr(CAST(substr({name}, 2) AS INTEGER)) "
+        f"WHEN {codes}[{name}] IS NULL THEN '&' || {name} ELSE chr({codes}[{name}]) END"
     )
-    pieces = r"regexp_extract_all({x}, '&[A-Za-z][A-Za-z0-9.\-]*;?|[^&]+|&')".format(x=x)
+    pieces = r"regexp_extract_all({x}, '&#[xX][0-9A-Fa-f]+;?|&#[0-9]+;?|&[A-Za-z][A-Za-z0-9.\-]*;?|[^&]+|&')".format(x=x)
     return f"CASE WHEN contains({x}, '&') THEN array_to_string(list_transform({pieces}, lambda p: {one}), '') ELSE {x} END"
 
 

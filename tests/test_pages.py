@@ -106,3 +106,20 @@ def test_render_and_parse_round_trip(spark):
     frame = spark.createDataFrame([tuple(message.values())], "channel string, id string, authorName string, authorLink string, text array<string>, images array<string>, videos array<string>, views string, data string")
     html = frame.select("channel", F.lit("u").alias("url"), pages.render_container({c: F.col(c) for c in message}).alias("html"))
     assert pages.parse_channel_pages(html).first().asDict() == message
+
+
+def test_text_blocks_with_inner_and_unclosed_elements(spark):
+    bodies = [
+        block('<div class="q">inner <b>x</b></div> after') + "<div>not text</div>",
+        block("first<br/><b>unclosed text"),
+        block("<b><i>one</b>two</i> three") + "tail",
+        block("a < b &lt; caf&eacute; &#1080;&#x438; x&nbsp;y"),
+    ]
+    got = parse(spark, *[wrap(b, f"c/{i}") for i, b in enumerate(bodies)])
+    assert [r["text"] for r in got] == [["inner x", " after"], ["first", "unclosed text"], ["one", "two", " three"], ["a < b < café ии x\u00a0y"]]
+
+
+def test_author_without_name_takes_nothing_from_behind(spark):
+    inner = '<div class="tgme_widget_message_author"></div><a href="https://x/y"><span class="tgme_widget_message_views">9K</span></a>'
+    [row] = parse(spark, wrap(inner))
+    assert (row["authorName"], row["authorLink"], row["views"]) == (None, None, "9K")

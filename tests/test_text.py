@@ -142,11 +142,11 @@ class VisibleNodes(HTMLParser):
 
     def handle_entityref(self, name):
         char = self.NAMES.get(name)
-        self.add(f"&{name}" if char is None else char if char.isascii() else " ")
+        self.add(f"&{name}" if char is None else char.replace("\xa0", " "))
 
     def handle_charref(self, name):
         code = int(name[1:], 16) if name[0] in "xX" else int(name)
-        self.add(chr(code) if 32 <= code <= 126 else " ")
+        self.add(chr(code))
 
 
 def parsed_text(page):
@@ -193,3 +193,9 @@ def test_long_and_broken_input_is_processed(spark):
     assert apply(spark, text.clean_text, [many_attributes]) == ["t"]
     assert apply(spark, text.clean_text, [no_close]) == ["a b x " * 50_000]
     assert apply(spark, text.visible_text, [spaces]) == ["a" + " " * 200_000 + "b"]
+
+
+def test_character_references_become_their_characters(spark):
+    given = ["caf&eacute; &#1080;&#x438;", "&#128;&#150;", "&#0;&#xD800;&#99999999999;", "&#0000065;&#x000041", "a&nbsp;b &unknown; & &amp;lt;", "&#128514;&fjlig;"]
+    want = ["café ии", "€–", "�" * 3, "AA", "a b &unknown & &lt;", "😂fj"]
+    assert apply(spark, text.decode_entities, given) == want
