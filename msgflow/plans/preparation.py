@@ -11,7 +11,7 @@ from msgflow.operators import pages as channel_pages
 from msgflow.operators import routing, sampling, state
 from msgflow.operators.lookup import Lookup
 from msgflow.operators.skew import one_per_key
-from msgflow.session import is_small
+from msgflow.session import is_small, stage
 from msgflow.sources import messages as feeds
 from msgflow.sources import sinks, tables
 
@@ -68,18 +68,28 @@ def translation_requests(messages: DataFrame, config: DataFrame, catalog: DataFr
 
 
 def ingest_channels(
-    pages: DataFrame, state_table: DataFrame, translations: DataFrame | None = None, config: DataFrame | None = None
+    pages: DataFrame, state_table: DataFrame, translations: DataFrame | None = None, config: DataFrame | None = None,
+    stored: DataFrame | None = None, stage_path: str | None = None,
 ) -> DataFrame:
     """New messages of crawled channel pages, each once.
 
+    New is what lies past the mark of its channel, or with the `stored` keys (channel,
+    number) what is not among them, so that pages may come in any order. The parsed
+    messages are then written to `stage_path` first.
+
     `config` (resolved channel options) says where a channel without state starts,
     limits channels with a keyword query to messages that hold it, and keeps
     translations to the channels that ask for them.
     """
     if config is not None:
-        state_table = state.starting_state(config, state_table)
-    found = state.ingest_increment(channel_pages.parse_channel_pages(pages), state_table)
-    found = one_per_key(found, ["channel", "id"])
+        state_table = state.starting_state(config, state_table if stored is None else state_table.limit(0))
+    parsed = channel_pages.parse_channel_pages(pages)
+    if stored is None:
+        found = one_per_key(state.ingest_increment(parsed, state_table), ["channel", "id"])
+    else:
+        found = state.valid_messages(parsed) if config is None else state.ingest_increment(parsed, state_table)
+        found = stage(one_per_key(found, ["channel", "id"]), "parsed", stage_path)
+        found = state.not_stored(found, stored)
     if config is None:
         return found if translations is None else feeds.attach_translation(found, translations)
     options = config.select(

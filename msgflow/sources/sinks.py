@@ -24,8 +24,11 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errori
 
 
 def ensure_table(spark: SparkSession, name: str, ddl: str, path: str | None = None) -> None:
-    """Create the target table unless it exists; an existing one is left as it is."""
-    place = f" LOCATION '{path}'" if path else ""
+    """Create the target table unless it exists; an existing one is left as it is.
+
+    A table over a folder has the rows of all files under it, so the folders of batches add no column.
+    """
+    place = f" OPTIONS (recursiveFileLookup 'true') LOCATION '{path}'" if path else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{place}")
 
 
@@ -101,14 +104,16 @@ def console_sink(rows: int = 20) -> Sink:
 
 def write_to_all(batch: DataFrame, batch_id: int, sinks: list[Sink]) -> None:
     """One batch to several sinks, computed once; an empty batch is not written."""
-    batch = batch.persist()
+    if len(sinks) > 1:
+        batch = batch.persist()
     try:
         if batch.isEmpty():
             return
         for sink in sinks:
             sink(batch, batch_id)
     finally:
-        batch.unpersist()
+        if len(sinks) > 1:
+            batch.unpersist()
 
 
 def fan_out(

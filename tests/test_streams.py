@@ -43,6 +43,24 @@ def test_scored_streams_equal_the_batch(spark, monkeypatch, small):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_output_survives_lookups_that_change_their_size(spark, monkeypatch):
+    """Small, large, then small lookups on one checkpoint: every row is read once, through the folder and the declared table."""
+    messages = inputs.linked_messages(spark, SF)
+    pages, registry, gazetteer = table(spark, SF, "pages"), inputs.registry(spark, SF), inputs.gazetteer(spark, SF)
+    feed, out, checkpoints = (work_path(spark, n) for n in ("feed", "out", "checkpoints"))
+    measured = enrich.is_small
+    for part in range(3):
+        monkeypatch.setattr(enrich, "is_small", (lambda df: False) if part == 1 else measured)
+        feeds.encode_messages(messages.where(F.col("id").cast("bigint") % 3 == part)).write.mode("append").text(feed)
+        stream = feeds.read_message_stream(spark, path=feed)
+        jobs.wait_for(jobs.start_enrichment(stream, pages, registry, gazetteer, None, out, checkpoints, available_now=True))
+    links = jobs.read_output(spark, f"{out}/links")
+    assert rows(links) == rows(link_intelligence(messages, link_lookups(pages, registry)))
+    jobs.output_tables(spark, out, f"t{out[-8:]}")
+    declared = spark.table(f"t{out[-8:]}_links")
+    assert "batch_id" not in declared.columns and declared.count() == links.count()
+
+
 def test_restart_without_new_data_adds_nothing(spark):
     feed, out, checkpoint = (work_path(spark, n) for n in ("feed", "out", "checkpoint"))
     feeds.encode_messages(inputs.document_messages(spark, SF)).write.text(feed)
