@@ -4,7 +4,8 @@ A rule is a host and a path prefix; it fits the host and its subdomains, and the
 that fits decides. All other URLs go to boosted trees over length, depth, digit share, entropy,
 parameter counts and statistics of the host's suffix (its last two labels). Suffix statistics
 are counts over all labelled URLs, held in a fixed number of hash buckets, so they stay bounded.
-The trees are fitted in numpy on a bounded sample of labelled URLs (`TRAIN_ROWS`).
+The trees are fitted in numpy on a bounded sample of labelled URLs (`TRAIN_ROWS`), each of which counts
+for as many labelled URLs as its label has for one in the sample: the share of blocks stays the true one.
 
 Results for odd input: null URLs and URLs without `://` have an empty host and path, meet no
 rule and are judged by the trees like others; repeated rows are judged alike; without labelled
@@ -125,14 +126,14 @@ class UrlModel:
         return 1 / (1 + np.exp(-z))
 
 
-def fit_trees(rows: np.ndarray, blocked: np.ndarray, model: UrlModel, trees: int = TREES, depth: int = DEPTH) -> UrlModel:
-    """Logistic boosting with histograms: gain of a split from sums of gradients and Hessians per bin."""
+def fit_trees(rows: np.ndarray, blocked: np.ndarray, model: UrlModel, weights: np.ndarray, trees: int = TREES, depth: int = DEPTH) -> UrlModel:
+    """Logistic boosting with histograms: gain of a split from sums of weighted gradients and Hessians per bin."""
     cuts = [np.unique(np.quantile(rows[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(rows.shape[1])]
     binned = np.stack([np.searchsorted(cuts[f], rows[:, f], side="left") for f in range(rows.shape[1])], axis=1)
     z = np.full(len(rows), model.bias)
     for _ in range(trees):
         p = 1 / (1 + np.exp(-z))
-        gradient, hessian = blocked - p, p * (1 - p)
+        gradient, hessian = weights * (blocked - p), weights * p * (1 - p)
         inner = 2**depth - 1
         feature, cut, leaf = np.full(inner, -1), np.zeros(inner), np.zeros(inner + 1)
         node = np.zeros(len(rows), np.int64)
@@ -166,8 +167,9 @@ def fit_trees(rows: np.ndarray, blocked: np.ndarray, model: UrlModel, trees: int
 
 
 def train_model(labelled: DataFrame, rows: int = TRAIN_ROWS) -> UrlModel:
-    """`labelled` has url and blocked (0 or 1); rows with a null in either are left out."""
-    known = labelled.where("url IS NOT NULL AND blocked IN (0, 1)").select("url", F.col("blocked").cast("int").alias("blocked"))
+    """`labelled` has url and blocked (0 or 1); rows with a null in either are left out. The sample is drawn by page_id, or by URL without it."""
+    key = F.col("page_id" if "page_id" in labelled.columns else "url").alias("key")
+    known = labelled.where("url IS NOT NULL AND blocked IN (0, 1)").select("url", F.col("blocked").cast("int").alias("blocked"), key)
     known = known.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url"))).withColumn("bucket", suffix_bucket(F.col("host")))
     known = known.withColumn("half", F.pmod(F.xxhash64(F.lit(_SEED), "url"), F.lit(2)).cast("int"))
     model = UrlModel(0.0)
@@ -177,14 +179,16 @@ def train_model(labelled: DataFrame, rows: int = TRAIN_ROWS) -> UrlModel:
     if blocked in (0, total):
         model.bias = 30.0 if blocked else -30.0
         return model
-    sample = bounded_sample(known.where("blocked = 0"), "url", rows, _SEED).unionByName(bounded_sample(known.where("blocked = 1"), "url", rows, _SEED))
+    sample = bounded_sample(known.where("blocked = 0"), "key", rows, _SEED).unionByName(bounded_sample(known.where("blocked = 1"), "key", rows, _SEED))
+    sample = sample.drop("key")
     found = sorted((tuple(r) for r in sample.toLocalIterator()), key=lambda r: (r[0], r[1]))
     labels = np.array([r[1] for r in found], np.float64)
     features = np.array([lexical(r[0], r[2], r[3]) for r in found], np.float64)
     features = np.concatenate([features, model.suffix_features(np.array([r[4] for r in found]), np.array([r[5] for r in found]))], axis=1)
-    # Both labels are sampled alike when neither exceeds the bound; beyond that the bias is that of all labelled rows.
+    # All weights are one when neither label exceeds the bound; beyond that they restore the share of each label, with a mean of one.
+    weights = np.where(labels == 1, blocked / max(1.0, labels.sum()), (total - blocked) / max(1.0, (1 - labels).sum()))
     model.bias = float(np.log(blocked / (total - blocked)))
-    return fit_trees(features, labels, model)
+    return fit_trees(features, labels, model, weights * len(weights) / weights.sum())
 
 
 def judge_urls(pages: DataFrame, rules: dict[str, str], model: UrlModel, id_col: str = "page_id", url_col: str = "url") -> DataFrame:

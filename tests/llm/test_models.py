@@ -187,3 +187,20 @@ def test_trees_learn_from_labelled_urls(spark):
     assert np.isfinite([r["score"] for r in found]).all()
     nothing = url_filter.train_model(spark.createDataFrame([], "url string, blocked int"))
     assert {r["verdict"] for r in url_filter.judge_urls(spark.createDataFrame(test, "page_id bigint, url string"), {}, nothing).collect()} == {"allow"}
+
+
+def test_trees_keep_the_share_of_blocks_on_a_small_sample(spark):
+    rng = random.Random(12)
+
+    def url():
+        return f"http://{''.join(rng.choices('abcdefgh', k=8))}.com/{''.join(rng.choices('xyz/', k=12))}"
+
+    rows = [(i, url(), int(rng.random() < 0.2)) for i in range(12_000)]  # no signal: the share is all there is to learn
+    labelled = spark.createDataFrame(rows, "page_id bigint, url string, blocked int")
+    test = spark.createDataFrame([(i, url()) for i in range(1000)], "page_id bigint, url string")
+    shares = {}
+    for bound in (20_000, 1000):
+        found = url_filter.judge_urls(test, {}, url_filter.train_model(labelled, bound)).collect()
+        shares[bound] = sum(r["verdict"] == "block" for r in found) / len(found)
+        assert abs(np.mean([r["score"] for r in found]) - 0.2) < 0.05
+    assert abs(shares[20_000] - shares[1000]) < 0.05
