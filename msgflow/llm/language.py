@@ -8,6 +8,10 @@ training length, per character, estimates the cross entropy; the lowest wins.
 Texts are parsed in blocks of `BLOCK` characters, each of which starts a new phrase, all blocks of a
 batch and all languages in step. Whole texts are parsed; a long one is only more blocks.
 
+Every character of every sample has a class of its own, whatever the number of alphabets. The
+transitions lie in one array, rows of states pushed into each other's gaps, so memory grows with
+the length of the samples and not with the number of different characters.
+
 Results for odd input: null text and text without a letter is `und` with score 0; equal
 entropies go to the language that sorts first; without any labelled text everything is `und`;
 repeated rows get equal results; an empty table gives an empty result; further columns are ignored.
@@ -28,12 +32,12 @@ from msgflow.llm.common import own_columns, release
 
 TRAIN_CHARS = 16_000  # characters of labelled text per language
 TRAIN_ROWS = 400  # labelled texts per language that are read for it
-CLASSES = 48  # the most frequent characters; all others match nothing
 BLOCK = 512
 MAX_LANGUAGES = 256  # labels with the most rows; the tables grow with their number
 UNDETERMINED = "und"
 _SEED = 29
 _LANES = 12_000  # blocks parsed in step
+_REACH = 512  # places before the end of those taken where a row of several transitions may begin
 _SPACE = re.compile(r"[\W\d_]+")
 
 
@@ -72,20 +76,64 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
     return step
 
 
+def packed_rows(steps: list[dict[int, int]], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the transitions of an automaton: the start of each state's row, and owner (-1 for none) and target of each place.
+
+    The transition of a state with a class lies at start + class. Rows overlap where no two transitions
+    share a place; states with most transitions are placed first and near the end, those with one fill all gaps.
+    """
+    total = sum(map(len, steps))
+    room = 2 * total + 2 * width + 2
+    owner, target, start = np.full(room, -1, np.int32), np.zeros(room, np.int32), np.zeros(len(steps), np.int64)
+    top = width  # end of the places taken
+    for state in sorted((s for s in range(len(steps)) if len(steps[s]) > 1), key=lambda s: -len(steps[s])):
+        codes = np.fromiter(steps[state], np.int64)
+        at, tried = max(width, top - _REACH) - int(codes.min()), _REACH
+        while True:
+            if at + tried + width > len(owner):
+                owner = np.concatenate([owner, np.full(len(owner) + tried, -1, np.int32)])
+                target = np.concatenate([target, np.zeros(len(owner) - len(target), np.int32)])
+            free = np.flatnonzero((owner[at + np.arange(tried)[:, None] + codes] < 0).all(axis=1))
+            if len(free):
+                break
+            at += tried
+        start[state] = at + free[0]
+        owner[start[state] + codes], target[start[state] + codes] = state, np.fromiter(steps[state].values(), np.int32)
+        top = max(top, int(start[state] + codes.max()) + 1)
+    single = [s for s in range(len(steps)) if len(steps[s]) == 1]
+    places = width + np.flatnonzero(owner[width:] < 0)
+    if len(places) < len(single):
+        more = len(single) - len(places)
+        places = np.concatenate([places, np.arange(len(owner), len(owner) + more)])
+        owner, target = np.concatenate([owner, np.full(more, -1, np.int32)]), np.concatenate([target, np.zeros(more, np.int32)])
+    places = places[: len(single)]
+    start[single] = places - np.array([next(iter(steps[s])) for s in single], np.int64)
+    owner[places] = single
+    target[places] = [next(iter(steps[s].values())) for s in single]
+    end = max(int(np.flatnonzero(owner >= 0)[-1]) + 1 if total else 0, int(start.max(initial=0))) + width  # any class may be looked up in any row
+    grown = max(0, end - len(owner))
+    return start, np.concatenate([owner, np.full(grown, -1, np.int32)])[:end], np.concatenate([target, np.zeros(grown, np.int32)])[:end]
+
+
 @dataclass
 class LanguageModel:
-    """Automata of all languages in one table: row = state, column = character class, 0 = no transition."""
+    """Automata of all languages in one array of transitions (`packed_rows`); states are numbered through, 0 = none."""
 
     languages: list[str]
-    classes: np.ndarray  # class of each code point below the length; class 0 matches nothing
-    table: np.ndarray
+    points: np.ndarray  # code points of all samples, sorted; the class is the place, from 1; class 0 matches nothing
+    start: np.ndarray  # of each state
+    owner: np.ndarray
+    target: np.ndarray
     roots: np.ndarray
+    first: np.ndarray  # states after the first character, by language and class
     weights: np.ndarray  # logarithm of the training length
 
     def codes(self, text: str) -> np.ndarray:
-        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        known = points < len(self.classes)
-        return np.where(known, self.classes[np.where(known, points, 0)], 0).astype(np.uint8)
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        if not len(self.points):
+            return np.zeros(len(points), np.uint32)
+        spot = np.minimum(np.searchsorted(self.points, points), len(self.points) - 1)
+        return np.where(self.points[spot] == points, spot + 1, 0).astype(np.uint16 if len(self.points) < 1 << 16 else np.uint32)
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases of each coded text in each language."""
@@ -100,25 +148,23 @@ class LanguageModel:
 
     def _parse(self, lanes: list[np.ndarray]) -> np.ndarray:
         lengths = np.array([len(lane) for lane in lanes])
-        matrix = np.zeros((int(lengths[0]), len(lanes)), np.uint8)
+        matrix = np.zeros((int(lengths[0]), len(lanes)), lanes[0].dtype)
         for i, lane in enumerate(lanes):
             matrix[: len(lane), i] = lane
         counts = np.zeros((len(self.languages), len(lanes)), np.int32)
-        width = self.table.shape[1]
-        table = self.table.ravel()
-        root = (self.roots * width)[:, None]
-        state = np.repeat(root, len(lanes), axis=1)  # rows of the table, as places in it
+        root = self.roots[:, None]
+        state = np.repeat(root, len(lanes), axis=1)
         active = np.searchsorted(-lengths, -np.arange(len(matrix)), side="left")
         for j in range(len(matrix)):
             n = int(active[j])
-            column = matrix[j, :n].astype(np.int64)
+            column = matrix[j, :n].astype(np.int32)
             now = state[:, :n]
-            following = table[now + column]
+            place = self.start[now] + column
+            following = np.where(self.owner[place] == now, self.target[place], 0)
             fresh = (following == 0) | (now == root)  # a phrase begins here
             counts[:, :n] += fresh
-            restart = table[root + column]
-            following = np.where(following == 0, restart, following)
-            state[:, :n] = np.where(following == 0, root, following.astype(np.int64) * width)
+            following = np.where(following == 0, self.first[:, column], following)
+            state[:, :n] = np.where(following == 0, root, following)
         return counts.T
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -127,7 +173,7 @@ class LanguageModel:
         letters = np.array([any(c.isalpha() for c in t) for t in clean], bool)
         if not self.languages:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts))
-        counts = self.phrases([self.codes(t) if ok else np.zeros(0, np.uint8) for t, ok in zip(clean, letters)])
+        counts = self.phrases([self.codes(t) if ok else np.zeros(0, np.uint16) for t, ok in zip(clean, letters)])
         cost = counts * self.weights
         order = np.argsort(cost, axis=1, kind="stable")
         rows = np.arange(len(texts))
@@ -140,23 +186,24 @@ class LanguageModel:
 def train_model(samples: dict[str, str]) -> LanguageModel:
     """Automata from one normalised text per language."""
     languages = sorted(samples)
-    points, counts = np.unique(np.frombuffer("".join(samples.values()).encode("utf-32-le"), np.uint32), return_counts=True)
-    frequent = np.sort(points[np.lexsort((points, -counts))][: CLASSES - 1])
-    classes = np.zeros(int(frequent[-1]) + 1 if len(frequent) else 1, np.uint8)
-    classes[frequent] = np.arange(1, len(frequent) + 1)
-    model = LanguageModel(languages, classes, np.zeros((1, CLASSES), np.int32), np.zeros(0, np.int64), np.zeros(0))
-    tables, roots, base = [model.table], [], 1  # row 0 stays unused: 0 means no transition
-    for language in languages:
-        automaton = suffix_automaton(model.codes(samples[language]).tolist())
-        rows = np.zeros((len(automaton), CLASSES), np.int32)
-        for state, step in enumerate(automaton):
-            for code, target in step.items():
-                if code:
-                    rows[state, code] = base + target
-        tables.append(rows)
+    points = np.unique(np.frombuffer("".join(samples.values()).encode("utf-32-le", "surrogatepass"), np.uint32))
+    none = np.zeros(0, np.int32)
+    model = LanguageModel(languages, points, none, none, none, none, np.zeros((len(languages), len(points) + 1), np.int32), np.zeros(0))
+    starts, owners, targets, roots = [np.zeros(1, np.int64)], [none], [none], []  # state 0 stays unused
+    states = places = 0
+    for k, language in enumerate(languages):
+        steps = suffix_automaton(model.codes(samples[language]).tolist())
+        start, owner, target = packed_rows(steps, len(points) + 1)
+        base = states + 1
+        starts.append(start + places)
+        owners.append(np.where(owner < 0, -1, owner + base).astype(np.int32))
+        targets.append(target + np.int32(base))
         roots.append(base)
-        base += len(automaton)
-    model.table, model.roots = np.concatenate(tables), np.array(roots, np.int64)
+        for code, state in steps[0].items():
+            model.first[k, code] = base + state
+        states, places = states + len(steps), places + len(owner)
+    model.start, model.owner, model.target = np.concatenate(starts).astype(np.int32), np.concatenate(owners), np.concatenate(targets)
+    model.roots = np.array(roots, np.int32)
     model.weights = np.array([np.log2(max(2, len(samples[k]))) for k in languages])
     return model
 

@@ -60,6 +60,25 @@ def test_phrases_equal_brute_force():
     assert found.tolist() == [[phrases(t, samples[k]) for k in model.languages] for t in texts]
 
 
+def test_languages_of_many_alphabets():
+    rng = random.Random(9)
+
+    def speaker(letters):  # own frequent words over an alphabet
+        words = ["".join(rng.choices(letters, k=rng.randint(1, 5))) for _ in range(150)]
+        return lambda n: " ".join(rng.choices(words, k=n))
+
+    latin, accents, cyrillic = "abcdefghijklmnopqrstuvwxyz", "àâäçèéêëîïñòóôöùúûüßœæåøšž", "абвгдежзийклмнопрстуфхцчшщъыьэюяіїєґ"
+    chinese, hangul = ([chr(first + i) for i in range(1500)] for first in (0x4E00, 0xAC00))
+    alphabets = {"l1": latin, "l2": latin + accents, "c1": cyrillic, "c2": cyrillic, "z1": chinese, "z2": chinese, "h1": hangul, "h2": hangul, "x": [chr(0x20000 + i) for i in range(200)]}
+    speakers = {k: speaker(v) for k, v in alphabets.items()}
+    samples = {k: language.normalised(speak(3000))[:4000] for k, speak in speakers.items()}
+    model = language.train_model(samples)
+    texts = [(k, language.normalised(speak(12))) for k, speak in speakers.items() for _ in range(5)] + [("", "".join(rng.choices("абв 一丁丂q", k=700)))]
+    assert [found for found, (k, _) in zip(model.predict([t for _, t in texts])[0], texts) if k] == [k for k, _ in texts if k]
+    assert model.phrases([model.codes(t) for _, t in texts]).tolist() == [[phrases(t, samples[k]) for k in model.languages] for _, t in texts]
+    assert model.owner.nbytes + model.target.nbytes < 3_000_000  # grows with the samples, not with the alphabets
+
+
 def test_language_of_odd_texts(spark):
     docs = [(i, "the cat and the dog were there with them " * 3 + str(i), "en") for i in range(30)]
     docs += [(100 + i, "der hund und die katze waren nicht da " * 3 + str(i), "de") for i in range(30)]
