@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgflow.llm import chat_format, exact_dedup, katz, language, packing, pieces, simhash, toxicity, url_filter, vector_dedup
+from msgflow.llm import chat_format, exact_dedup, katz, language, packing, pieces, simhash, token_files, toxicity, url_filter, vector_dedup
 from msgflow.llm.common import remainder, table
+from msgflow.session import work_path
 
 
 def toxicity_model(docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel:
@@ -81,6 +82,13 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    folder = work_path(spark, "token-ids")
+    token_files.write_token_files(docs, folder, lambda: public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_files.read_token_files(spark, folder)
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_packing": op2_packing,
@@ -92,6 +100,7 @@ QUERIES = {
     "op8_katz": op8_katz,
     "op9_vector_dedup": op9_vector_dedup,
     "op10_chat_format": op10_chat_format,
+    "op11_token_files": op11_token_files,
 }
 
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
