@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgflow.llm import chat_format, exact_dedup, katz, language, packing, pieces, simhash, token_files, toxicity, url_filter, vector_dedup
+from msgflow.llm import chat_format, exact_dedup, katz, language, packing, periodic_runs, pieces, simhash, token_files, toxicity, url_filter, vector_dedup
 from msgflow.llm.common import remainder, table
 from msgflow.session import work_path
 
@@ -89,6 +92,22 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder)
 
 
+def repeated_words(doc_id: int | None, n: int) -> np.ndarray | None:
+    """For a tenth of the documents, by their id: from some word on, the words repeat with a period."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or n == 0:
+        return None
+    g = h // 10
+    first = g % n
+    period = 1 + (n - first) // (3 + g % 8)
+    words = np.arange(n)
+    return np.where(words < first, words, first + (words - first) % period)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest_runs(periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), order_of=repeated_words))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_packing": op2_packing,
@@ -101,6 +120,7 @@ QUERIES = {
     "op9_vector_dedup": op9_vector_dedup,
     "op10_chat_format": op10_chat_format,
     "op11_token_files": op11_token_files,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
