@@ -53,6 +53,19 @@ def _index(offsets: np.ndarray, doc_ids: list[int | None], width: int) -> bytes:
     return head.tobytes() + offsets.astype("<u8").tobytes() + ids.tobytes() + bytes(d is not None for d in doc_ids)
 
 
+def grouped(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Batches joined until they hold about `size` bytes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if held and sum(b.nbytes for b in held) + batch.nbytes > size:
+            yield pa.Table.from_batches(held)
+            held = []
+        if batch.num_rows:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _written(folder: str, tokenizer_path: Callable[[], str], end_id: int):
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = ByteTokenizer.shared(tokenizer_path())
@@ -62,16 +75,14 @@ def _written(folder: str, tokenizer_path: Callable[[], str], end_id: int):
         name, sink = f"ids-{part:06d}-{uuid.uuid4().hex}", None
         lengths: list[np.ndarray] = []
         doc_ids: list[int | None] = []
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for rows in grouped(batches, tokens.GROUP_BYTES):
             sink = sink or files.open_output_stream(f"{root}/{name}.bin")
             sizes = []
-            for ids in tokens.encode(batch.column(1)):
+            for ids in tokens.encode(rows.column(1).combine_chunks()):
                 sink.write(np.append(ids, np.uint32(end_id)).astype(kind).tobytes())
                 sizes.append(len(ids) + 1)
             lengths.append(np.array(sizes, np.int64))
-            doc_ids += batch.column(0).to_pylist()
+            doc_ids += rows.column(0).to_pylist()
             release()
         if sink is None:
             return

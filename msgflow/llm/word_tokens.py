@@ -16,7 +16,6 @@ from tokenizers import Tokenizer
 
 CACHED_WORDS = 600_000  # words kept, so that memory stays bounded; frequent ones are met early, the rest is encoded per group
 _PLAIN = set("abcdefghijklmnopqrstuvwxyz")
-_GROUP_BYTES = 4 << 20  # text that is split at once
 
 
 def _with_room(values: np.ndarray, used: int, needed: int) -> np.ndarray:
@@ -32,6 +31,7 @@ class WordCache:
     """Splits texts into words and keeps the ids of words met before; what a word is and how it is encoded is up to the kind."""
 
     _shared: dict[tuple, WordCache] = {}
+    GROUP_BYTES = 4 << 20  # text that is split at once
 
     @classmethod
     def shared(cls, path: str):
@@ -91,7 +91,7 @@ class WordCache:
         sizes = pc.binary_length(texts).to_numpy()
         start, held = 0, 0
         for i, size in enumerate(sizes.tolist()):
-            if held and held + size > _GROUP_BYTES:
+            if held and held + size > self.GROUP_BYTES:
                 yield from self._encode_group(texts.slice(start, i - start))
                 start, held = i, 0
             held += size
