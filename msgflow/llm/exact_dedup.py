@@ -47,14 +47,20 @@ def _digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
 
 
-def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: a row id that holds the run (partition) above 33 bits, the digest of the folded text, its length and a second hash."""
-    rows = own_columns(docs, {"doc_id": id_col, "text": text_col})
-    rows = rows.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("bigint"), "text")
+def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", uid_col: str | None = None) -> DataFrame:
+    """One row per document: a row id that holds the run (partition) above 33 bits, the digest of the folded text, its length and a second hash.
+
+    `uid_col` names a column of such row ids, where rows have them.
+    """
+    rows = own_columns(docs, {"doc_id": id_col, "text": text_col} | ({"uid": uid_col} if uid_col else {}))
+    uid = F.col("uid") if uid_col else F.monotonically_increasing_id().alias("uid")
+    rows = rows.select(uid, F.col("doc_id").cast("bigint"), "text")
     return rows.mapInArrow(_digest, _LEAF)
 
 
-def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest", fan: int = FAN) -> DataFrame:
+def exact_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest", fan: int = FAN, uid_col: str | None = None,
+) -> DataFrame:
     """Every document with the row that stays for its text.
 
     Texts are equal when identical after lower-casing A-Z. Returns uid, doc_id, digest,
@@ -62,7 +68,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     pick = {"largest": F.max, "smallest": F.min}[keep]
     # Staged once: row ids and runs must not change between the way up and the way down.
-    leaves = stage(digest_rows(docs, id_col, text_col), "digests")
+    leaves = stage(digest_rows(docs, id_col, text_col, uid_col), "digests")
     leaves = leaves.withColumn("run", F.shiftright("uid", _RUN_BITS))
     runs = (leaves.agg(F.max("run")).first()[0] or 0) + 1
 

@@ -62,10 +62,11 @@ def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         release()
 
 
-def fingerprint_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """uid, doc_id and fp (the 64 bits as a long) of every document."""
-    rows = own_columns(docs, {"doc_id": id_col, "text": text_col})
-    rows = rows.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("bigint"), "text")
+def fingerprint_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", uid_col: str | None = None) -> DataFrame:
+    """uid (taken from `uid_col`, where rows have a number), doc_id and fp (the 64 bits as a long) of every document."""
+    rows = own_columns(docs, {"doc_id": id_col, "text": text_col} | ({"uid": uid_col} if uid_col else {}))
+    uid = F.col("uid") if uid_col else F.monotonically_increasing_id().alias("uid")
+    rows = rows.select(uid, F.col("doc_id").cast("bigint"), "text")
     return rows.mapInArrow(_fingerprints, "uid bigint, doc_id bigint, fp bigint")
 
 
@@ -178,12 +179,12 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
     return met.where("b IS NOT NULL").unionByName(stars)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", uid_col: str | None = None) -> DataFrame:
     """Every document with its fingerprint and the smallest id reachable by links: uid, doc_id, fp, component_id, keep_uid.
 
     `keep_uid` is the row to keep for the component: the first row of the smallest id.
     """
-    rows = stage(fingerprint_rows(docs, id_col, text_col), "fingerprints")
+    rows = stage(fingerprint_rows(docs, id_col, text_col, uid_col), "fingerprints")
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "uid")).alias("least")
     distinct = stage(rows.groupBy("fp").agg(smallest), "distinct")
     roots = components(fingerprint_links(distinct))

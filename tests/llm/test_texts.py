@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from msgflow.llm import chat_format, near_copies, packing, pieces, queries
+from msgflow.llm import chat_format, packing, pieces, queries
 from tests.compare import connect, difference
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -177,45 +177,29 @@ def test_pipeline_keeps_one_clean_document_of_each(spark, tmp_path):
         assert function(spark, before.where("false"), str(tmp_path)).count() == 0
 
 
-@pytest.mark.parametrize("rounds", [0, 8])
-def test_near_copies_equal_brute_force(spark, tmp_path, rounds):
-    rng = random.Random(8)
-    words = [f"w{i}" for i in range(400)]
-    texts = [None, "", "one two", "One  two", "one two three"]
-    line = rng.choices(words, k=15)
-
-    def edited(source, edits):
-        copy = list(source)
-        for _ in range(edits):
-            copy[rng.randrange(len(copy))] = rng.choice(words)
-        return copy
-
-    for size, edits in ((3, 2), (6, 3), (90, 2), (12, 8)):  # one group crowds its shingles, one is at the threshold
-        source = rng.choices(words, k=120)
-        texts += [" ".join(edited(source, rng.randint(0, edits))) for _ in range(size)]
-    texts += [" ".join([*rng.choices(words, k=20), *line]) for _ in range(80)]  # a common line makes no copies
-    rows = list(enumerate(texts))
-    rng.shuffle(rows)
-
-    def shingles(text):
-        found = (text or "").lower().split()
-        return {tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))}
-
-    kept = []
-    for i, text in sorted(rows):
-        own = shingles(text)
-        if not any(5 * len(own & other) >= 4 * len(own | other) for _, other in kept):
-            kept.append((i, own))
-    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5).write.parquet(f"{tmp_path}/docs")
-    docs = spark.read.parquet(f"{tmp_path}/docs")
-    gone = near_copies.near_copies(docs, rounds=rounds)
-    numbered = docs.withColumn("uid", F.monotonically_increasing_id())
-    assert sorted(r["doc_id"] for r in numbered.join(gone, "uid", "left_anti").collect()) == [i for i, _ in kept]
-    assert sorted(r["doc_id"] for r in corpus_pipeline.near_stage(spark, docs, "").collect()) == [i for i, _ in kept]
-    assert near_copies.near_copies(docs.where("false")).count() == 0
+@pytest.mark.parametrize("stage", ["exact_dedup", "simhash"])
+def test_stages_drop_the_same_rows_however_files_are_split(spark, tmp_path, stage):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["an", "be", "co", "di"], k=30)) for _ in range(60)] + ["hot text"] * 40 + [None, "", ""]
+    rows = [(i // 2 if i % 5 else None, t, "row", i, "rowfile") for i, t in enumerate(texts * 3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, row string, uid int, rowfile string")
+    docs.repartition(6).write.parquet(f"{tmp_path}/docs")
+    function, found = dict(corpus_pipeline.STAGES)[stage], []
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("134217728", "3000"):
+        made = function(spark, spark.read.parquet(f"{tmp_path}/docs"), "")  # verdicts are ready, rows are not yet read
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000" if size != "3000" else "134217728")
+        assert made.columns == docs.columns
+        found.append(sorted(made.collect(), key=lambda r: r["uid"]))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    kept = [[(r["doc_id"], r["text"]) for r in rows] for rows in found]
+    assert sorted(kept[0], key=str) == sorted(kept[1], key=str)
+    assert sorted({(t or "").lower() for t in texts}) == sorted((r["text"] or "").lower() for r in found[0])
+    assert all(r["row"] == "row" and r["rowfile"] == "rowfile" for r in found[0])
 
 
 def test_registered(spark):
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= names
