@@ -10,51 +10,62 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgflow.llm import exact_dedup, language, near_copies, packing, queries
+from msgflow.llm import exact_dedup, language, packing, queries, rows, simhash
 from msgflow.llm.common import kept_rows, prepare
 from msgflow.session import stage
 
 
-def _where(docs: DataFrame, judged: DataFrame, good) -> DataFrame:
-    """Documents whose judgement is good. Judgements carry the row id that `docs` gets here again.
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the classifier calls toxic.
 
-    `docs` is a stored table, so rows have the same ids in both reads.
+    Null and empty texts are scored like others; equal rows share their verdict; without labels nothing
+    is known to be toxic; an empty table stays empty; further columns go through unchanged.
     """
-    kept = judged.where(good).select("uid")
-    numbered = docs.withColumn("_uid", F.monotonically_increasing_id())
-    return numbered.join(kept, numbered["_uid"] == kept["uid"], "left_semi").drop("_uid")
-
-
-def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the classifier calls toxic."""
     prepare(spark)
     model = spark.sparkContext.broadcast(queries.toxicity_model(docs, sf_dir))
     return kept_rows(docs, lambda texts: model.value.score(texts) < 0.5)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: no text, or no letter in it."""
+    """Drops documents without a language: null and empty texts and those without a letter, or all when no label is known.
+
+    Equal rows share their verdict; texts are read whole; an empty table stays empty; further columns go through unchanged.
+    """
     prepare(spark)
     model = spark.sparkContext.broadcast(queries.language_model(docs))
     return kept_rows(docs, lambda texts: [found != language.UNDETERMINED for found in model.value.predict(texts.to_pylist())[0]])
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each text."""
+    """Keeps one document of each text: the one with the largest id, of equal ids one of them.
+
+    A null text equals an empty one; null ids come last; an empty table stays empty; further
+    columns, whatever their names, go through unchanged.
+    """
     prepare(spark)
-    return _where(docs, exact_dedup.exact_duplicates(docs), F.col("kept"))
+    numbered, number = rows.numbered(docs)
+    judged = exact_dedup.exact_duplicates(numbered, uid_col=number)
+    return rows.without(numbered, number, judged.where(~F.col("kept")).select("uid"))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that share four fifths of their shingles of five words with a kept one of smaller id."""
+    """Keeps one document of each group of fingerprints linked within two bits: the one with the smallest id.
+
+    Texts without words (null and empty ones too) share a fingerprint, so one of them stays; a null id
+    is kept only in a group without ids; an empty table stays empty; further columns go through unchanged.
+    """
     prepare(spark)
-    gone = near_copies.near_copies(docs)
-    numbered = docs.withColumn("_uid", F.monotonically_increasing_id())
-    return numbered.join(gone, numbered["_uid"] == gone["uid"], "left_anti").drop("_uid")
+    numbered, number = rows.numbered(docs)
+    found = simhash.near_duplicates(numbered, uid_col=number)
+    return rows.without(numbered, number, found.where(F.col("uid") != F.col("keep_uid")).select("uid"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the kept documents in sequences."""
+    """Pieces of the kept documents in sequences.
+
+    A null or empty text is the end id alone; null, equal and repeated ids are packed like others; long texts
+    are cut into several pieces; an empty table gives no pieces; further columns are ignored.
+    """
     prepare(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
