@@ -25,6 +25,7 @@ _ASCII_VISIBLE[0x21:0x7F] = True
 # Letters that the tokenizer's split never parts from each other, and marks that stand alone after them.
 _LETTERS = {chr(c) for c in range(0x250) if chr(c).isalpha()}
 _MARKS = set(".,;:!?")
+_CALL_WORDS = 5_000  # words of one call of the library, whose results are large objects
 
 
 def _byte_names() -> dict[int, str]:
@@ -38,7 +39,7 @@ _NAMES = _byte_names()
 
 
 class ByteTokenizer(WordCache):
-    GROUP_BYTES = 8 << 20
+    CACHED = 400_000  # words kept; this kind runs beside a sort of texts
 
     def __init__(self, path: str):
         super().__init__(path)
@@ -82,6 +83,8 @@ class ByteTokenizer(WordCache):
             else:
                 found.append([])
                 rest.append(i)
-        for i, encoded in zip(rest, self.tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)):
-            found[i] = encoded.ids
+        for start in range(0, len(rest), _CALL_WORDS):
+            part = rest[start : start + _CALL_WORDS]
+            for i, encoded in zip(part, self.tokenizer.encode_batch_fast([words[i] for i in part], add_special_tokens=False)):
+                found[i] = encoded.ids
         return found

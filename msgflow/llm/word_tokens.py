@@ -32,6 +32,7 @@ class WordCache:
 
     _shared: dict[tuple, WordCache] = {}
     GROUP_BYTES = 4 << 20  # text that is split at once
+    CACHED = CACHED_WORDS
 
     @classmethod
     def shared(cls, path: str):
@@ -73,7 +74,7 @@ class WordCache:
             first, last = len(self.place), len(self.place) + len(new)
             place[new] = np.arange(first, last)
             self._append(first, self.encode_words(unknown))
-            self.place.update(zip(unknown[: max(0, CACHED_WORDS - first)], range(first, last)))
+            self.place.update(zip(unknown[: max(0, self.CACHED - first)], range(first, last)))
         starts, ids = self.starts, self.ids
         used = place[encoded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
         begins = starts[used]
