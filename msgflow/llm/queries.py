@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgflow.llm import chat_format, exact_dedup, katz, language, packing, periodic_runs, pieces, simhash, token_files, toxicity, url_filter, vector_dedup
+from msgflow.llm import chat_format, exact_dedup, katz, language, packing, periodic_runs, pieces, prefix_trie, simhash, token_files, toxicity, url_filter, vector_dedup
 from msgflow.llm.common import remainder, table
 from msgflow.session import work_path
 
@@ -108,6 +108,13 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest_runs(periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), order_of=repeated_words))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations are rebuilt: up to three turns of the conversation whose id is the next lower multiple of twenty come first."""
+    turns, stretches = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    base, head = F.col("conv") - F.col("conv") % 20, F.crc32(F.col("conv").cast("string").cast("binary")) % 4
+    return prefix_trie.prefix_trie(prefix_trie.prefixes(turns, stretches, base, head, longest_head=3))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_packing": op2_packing,
@@ -121,6 +128,7 @@ QUERIES = {
     "op10_chat_format": op10_chat_format,
     "op11_token_files": op11_token_files,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -148,4 +156,31 @@ SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id, turn ORDER B
        CAST(coalesce(sum(length(segment)) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
        segment
 FROM made""",
+    "op13_prefix_trie": r"""
+WITH numbers AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 'x': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS steps
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+sums AS (
+  SELECT conv_id, steps, conv_id - conv_id % 20 AS base, xor(4294967295::UBIGINT, list_reduce(
+    list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), list_transform(range(8), lambda i: i::UBIGINT)),
+      lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END))) AS crc
+  FROM numbers),
+made AS (
+  SELECT a.conv_id, list_concat(coalesce(b.steps[1:(a.crc % 4)::BIGINT], []), a.steps[(a.crc % 4)::BIGINT + 1:]) AS steps
+  FROM sums a LEFT JOIN numbers b ON b.conv_id = a.base),
+prefixes AS (SELECT conv_id, d, steps[1:d] AS prefix, len(steps) AS size FROM (SELECT *, unnest(range(len(steps) + 1)) AS d FROM made)),
+nodes AS (
+  SELECT prefix, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(CASE WHEN size = d THEN conv_id::VARCHAR END, ',' ORDER BY conv_id) AS ends,
+         (count(*) - 1) * coalesce(len(regexp_extract_all(any_value(prefix[d].x), '[^\x20\x09-\x0D]+')), 0) AS saved
+  FROM prefixes GROUP BY prefix, d),
+children AS (SELECT prefix[1:depth - 1] AS prefix, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+counted AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (prefix, depth)),
+below AS (
+  SELECT prefix[1:k] AS prefix, k AS depth, sum(CAST(n_children = 0 AS BIGINT)) AS leaves, sum(saved) AS total
+  FROM (SELECT *, unnest(range(depth + 1)) AS k FROM counted) GROUP BY ALL)
+SELECT a.conv_id, a.depth, up.conv_id AS parent_conv_id, a.n_convs, a.n_children, CAST(leaves AS BIGINT) AS n_leaves,
+       CAST(total AS BIGINT) AS saved_tokens, sha256(coalesce(a.ends, '')) AS ends_sha256
+FROM counted a JOIN below USING (prefix, depth) LEFT JOIN nodes up ON up.depth = a.depth - 1 AND up.prefix = a.prefix[1:a.depth - 1]""",
 }
