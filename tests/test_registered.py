@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from registered import catalog
 from tests.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.all_queries(), catalog.all_sql()
 SCORED = {"sentiment_score", "sentiment_accuracy", "sentiment_other_columns", "link_intelligence_scored", "message_analysis_scored", "stream_scored"}
 
 
@@ -26,4 +27,4 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, connection, name):
-    assert difference(QUERIES[name](spark, SF), connection, SQL[name]) is None
+    assert difference(entry.queries()[name](spark, SF), connection, SQL[name]) is None
