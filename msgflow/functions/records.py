@@ -29,15 +29,14 @@ def option_text(value: Column) -> Column:
 
 
 def channel_url(address: Column) -> Column:
-    """Canonical preview address of a channel; null for anything that is not a channel address."""
-    host = fv.CHANNEL_HOST
-    path = F.when(F.contains(address, F.lit(f"{host}/s/")), address).otherwise(
-        F.replace(address, F.lit(".me/"), F.lit(".me/s/"))
-    )
-    full = F.when(F.contains(path, F.lit(f"://{host}")), path).otherwise(
-        F.replace(path, F.lit(host), F.lit(f"https://{host}"))
-    )
-    return F.when(F.contains(address, F.lit(f"{host}/")), full)
+    """Canonical preview address of a channel; null for anything that is not a channel address.
+
+    An address is an optional scheme (https without one), the channel host, and a path, whose
+    leading preview step is optional. Only the part before the path is looked at for the host.
+    """
+    parts = rf"^(?:([A-Za-z][A-Za-z0-9+.-]*)://)?(?:www\.)?{fv.CHANNEL_HOST.replace('.', '[.]')}/(?:s/)?(.+)$"
+    scheme, path = (F.regexp_extract(address, parts, n) for n in (1, 2))
+    return F.when(path != "", F.concat(F.coalesce(F.nullif(scheme, F.lit("")), F.lit("https")), F.lit(f"://{fv.CHANNEL_HOST}/s/"), path))
 
 
 def channel_name(url: Column) -> Column:

@@ -10,7 +10,7 @@ from msgflow.functions import geo, text, whois
 from msgflow.functions.records import page_key
 from msgflow.operators.lookup import Lookup
 from msgflow.operators.skew import first_per_key, without_copies
-from msgflow.session import is_small
+from msgflow.session import is_small, stage
 from msgflow.sources.tables import gazetteer_lookup
 
 
@@ -87,14 +87,27 @@ def place_lookup(gazetteer: DataFrame) -> Lookup:
     return Lookup(rows, "city", is_small(gazetteer.select("name", "latitude", "longitude")))
 
 
-def match_cities(messages: DataFrame, gazetteer: DataFrame | Lookup, content: str, cleaned: bool = False) -> DataFrame:
+def match_cities(
+    messages: DataFrame, gazetteer: DataFrame | Lookup, content: str, cleaned: bool = False, stage_path: str | None = None
+) -> DataFrame:
     """One row per token that names a city, with the city and its point. Repeats are kept.
 
     `cleaned` text is in lower case and parted by single spaces, which saves most of the work per token.
+
+    With a gazetteer beyond broadcast size the join has two phases: messages are written once with a number (to
+    `stage_path`, which is overwritten, where one is given), only (number, token) goes to the gazetteer, and what
+    is found comes back by number. So a text is moved once, whatever the number of its tokens.
     """
     lookup = gazetteer if isinstance(gazetteer, Lookup) else place_lookup(gazetteer)
     parts = F.split(content, " " if cleaned else text.WHITESPACE)
-    tokens = messages.withColumn("city", F.explode(parts)).where(text.fits_place(F.col("city")))
+    numbered, columns = messages, [F.col(f"`{c}`") for c in messages.columns]
+    if not lookup.small and not messages.isStreaming:
+        numbered = stage(messages.withColumn("_message", F.monotonically_increasing_id()), "numbered-messages", stage_path)
+        columns = [F.col("_message")]
+    tokens = numbered.select(*columns, F.explode(parts).alias("city")).where(text.fits_place(F.col("city")))
     if not cleaned:
         tokens = tokens.withColumn("city", F.lower("city"))
-    return lookup.join(tokens, messages.columns, "inner")
+    if lookup.small or messages.isStreaming:
+        return lookup.join(tokens, messages.columns, "inner")
+    found = lookup.join(tokens, ["_message"], "inner")
+    return numbered.join(found, "_message").drop("_message")

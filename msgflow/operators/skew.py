@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from msgflow.session import is_small
+from msgflow.session import discard, is_small, stage, work_path
 
 # A key is hot when it holds more than this share of all rows, so there are fewer
 # than 1 / HOT_SHARE hot keys: the broadcast list of them is bounded by that.
 HOT_SHARE = 0.005
 _NULL_SALTS = 1024
+# A batch with at most so many keys names them all to the lookup it is joined with.
+FEW_KEYS, FEW_BYTES = 20_000, 4 << 20
 
 
 def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
@@ -21,6 +23,23 @@ def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     return counts.where(F.col("n") > limit).select(key, F.ceil(F.col("n") / limit).cast("int").alias("_salts"))
 
 
+def frequent_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> tuple[list, list | None]:
+    """Keys above the share of all rows, fewer than 1 / share, and all keys where those are few (else None).
+
+    Keys are counted exactly, in one pass with map-side combine. Only what is returned reaches the driver:
+    both lists are bounded, so they may stand in a plan.
+    """
+    spark = facts.sparkSession
+    path = work_path(spark, "key-counts")
+    counts = stage(facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")), "key-counts", path)
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = sorted(row[0] for row in counts.where(F.col("n") > total * share).select(key).collect())
+    few = is_small(counts.select(key), FEW_KEYS, FEW_BYTES)
+    keys = sorted(row[0] for row in counts.select(key).collect()) if few else None
+    discard(spark, path)
+    return hot, keys
+
+
 def skew_join(
     facts: DataFrame, dim: DataFrame, key: str, spread: list[str], how: str = "left",
     counted: DataFrame | None = None, share: float = HOT_SHARE,

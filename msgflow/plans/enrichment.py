@@ -76,10 +76,13 @@ def link_intelligence(messages: DataFrame, lookups: LinkLookups, stage_path: str
     return linked.select(*columns, label.alias("emotion_detection"))
 
 
-def message_analysis(messages: DataFrame, gazetteer: DataFrame | Lookup, model: PipelineModel | None = None) -> DataFrame:
+def message_analysis(
+    messages: DataFrame, gazetteer: DataFrame | Lookup, model: PipelineModel | None = None, stage_path: str | None = None
+) -> DataFrame:
     """Cited cities of translated messages, with the sentiment of the message.
 
-    A message is scored once, before its cities are exploded: the work stays linear in the text.
+    A message is scored once, before its cities are exploded: the work stays linear in the text. With a gazetteer
+    beyond broadcast size the scored messages are written to `stage_path` first.
     """
     contents = decode_translation(messages).select(
         "id", "channel", "timestamp", text.clean_text(F.col("text")).alias("content")
@@ -88,4 +91,4 @@ def message_analysis(messages: DataFrame, gazetteer: DataFrame | Lookup, model:
     if model is not None:
         contents = score(contents, model)
         columns.append("emotion_detection")
-    return match_cities(contents, gazetteer, "content", cleaned=True).select(*columns, "city", "location")
+    return match_cities(contents, gazetteer, "content", cleaned=True, stage_path=stage_path).select(*columns, "city", "location")

@@ -56,6 +56,12 @@ def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a work table that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stage_by_key(df: DataFrame, label: str, key: str) -> DataFrame:
     """`stage` into buckets of one key: a later join on the key does not shuffle this side."""
     spark = df.sparkSession
@@ -67,12 +73,20 @@ def stage_by_key(df: DataFrame, label: str, key: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table that arrives in fewer pieces than there are cores.
+    """Use all cores on a table that lies in fewer files, and fewer splits of them, than there are cores.
 
-    For text work on small files. A large table is scanned in more pieces than that and is left as it is.
+    For text work on small files: only the names and sizes of a few files are looked at. A large table is left as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.isStreaming or df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores, files = spark.sparkContext.defaultParallelism, df.inputFiles()
+    if not files or len(files) >= cores:
+        return df
+    places = [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file)) for file in files]
+    sizes = [p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).getLen() for p in places]
+    split = 128 << 20  # Spark's default size of a split
+    return df if sum(-(-size // split) for size in sizes) >= cores else df.repartition(cores)
 
 
 def is_small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 32 << 20) -> bool:

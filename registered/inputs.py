@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from msgflow.functions import text, whois
+from msgflow.operators.lookup import Lookup
 from msgflow.session import spread
 
 
@@ -17,6 +18,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spread(rows) if name in TEXT_TABLES else rows
 
 
+def large(lookup: Lookup, label: str) -> Lookup:
+    """A lookup treated as one beyond broadcast size: in buckets of its key."""
+    return Lookup(lookup.rows, lookup.key, False).staged(label)
+
+
 def day_text(n: Column) -> Column:
     return F.concat(F.lit("2024-01-"), F.lpad((F.pmod(n, F.lit(28)) + 1).cast("string"), 2, "0"), F.lit("T00:00:00Z"))
 

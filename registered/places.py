@@ -58,6 +58,13 @@ def match_cities(spark, sf):
     return enrich.match_cities(messages, inputs.gazetteer(spark, sf), "content", cleaned=True).select("doc_id", "city", "location")
 
 
+def match_cities_large(spark, sf):
+    """The same matches with the gazetteer in buckets of its names."""
+    messages = table(spark, sf, "documents").select("doc_id", text.clean_text(F.col("text")).alias("content"))
+    places = inputs.large(enrich.place_lookup(inputs.gazetteer(spark, sf)), "places")
+    return enrich.match_cities(messages, places, "content", cleaned=True).select("doc_id", "city", "location")
+
+
 def translation_decode(spark, sf):
     return decode_translation(inputs.linked_messages(spark, sf))
 
@@ -111,6 +118,7 @@ QUERIES = {
     "wkt_point": wkt_point,
     "wkt_points": wkt_points,
     "match_cities": match_cities,
+    "match_cities_large": match_cities_large,
     "decode_translation": translation_decode,
     "message_analysis": analysis_unscored,
     "cited_places": cited_places,
@@ -152,6 +160,7 @@ SQL = {
     "wkt_points": f"""SELECT pos, CASE WHEN pos % 4 <> 0 THEN p || ';' || CASE WHEN pos % 3 <> 0 THEN p ELSE '-' END END AS points
         FROM (SELECT pos, 'POINT(' || longitude || ' ' || latitude || ')' AS p FROM ({_GAZ}))""",
     "match_cities": MATCHES_SQL,
+    "match_cities_large": MATCHES_SQL,
     "decode_translation": f"SELECT id, channel, ts AS timestamp, 'deepl' AS service, translated AS text FROM ({inputs.LINKED_MESSAGES_SQL})",
     "message_analysis": ANALYSIS_SQL,
     "cited_places": CITED_SQL,

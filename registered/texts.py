@@ -95,6 +95,16 @@ def enrich_whois(spark, sf):
     return enrich.enrich_whois(urls, inputs.registry(spark, sf), as_json=False)
 
 
+def enrich_pages_large(spark, sf):
+    urls = cited_urls(inputs.linked_messages(spark, sf)).withColumnRenamed("@timestamp", "timestamp")
+    return enrich.enrich_pages(urls, inputs.large(enrich.page_lookup(table(spark, sf, "pages")), "page-contents"))
+
+
+def enrich_whois_large(spark, sf):
+    urls = cited_urls(inputs.linked_messages(spark, sf)).withColumnRenamed("@timestamp", "timestamp")
+    return enrich.enrich_whois(urls, inputs.large(enrich.whois_lookup(inputs.registry(spark, sf)), "registrations"), as_json=False)
+
+
 def whois_json(spark, sf):
     urls = table(spark, sf, "pages").select("page_id", "url")
     return enrich.enrich_whois(urls, inputs.registry(spark, sf)).select("page_id", "whois")
@@ -122,6 +132,8 @@ QUERIES = {
     "explode_urls": explode_urls,
     "enrich_pages": enrich_pages,
     "enrich_whois": enrich_whois,
+    "enrich_pages_large": enrich_pages_large,
+    "enrich_whois_large": enrich_whois_large,
     "whois_json": whois_json,
     "link_intelligence": links_unscored,
 }
@@ -201,3 +213,4 @@ SQL = {
         FROM pages p LEFT JOIN ({REGISTRY_SQL}) r ON r.domain = {sql.domain('p.url')}""",
     "link_intelligence": LINKS_SQL,
 }
+SQL["enrich_pages_large"], SQL["enrich_whois_large"] = SQL["enrich_pages"], SQL["enrich_whois"]

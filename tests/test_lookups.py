@@ -47,15 +47,14 @@ def test_page_lookup_and_fallback(spark):
     assert got == {"https://a.com/x": "first ", "https://b.com": "null", "https://c.com": "null", "https://d.com": "null"}
 
 
-def test_cities_of_the_smoke_sentence(spark):
+def test_cities_match_in_any_case_and_the_first_of_a_name_wins(spark):
     raw = spark.createDataFrame(
-        [(0, "Zybiny", 10, "{'latitude': 50.10, 'longitude': 30}", 1), (1, "Zolochiv", 5, "{'latitude': 49.8, 'longitude': 24.9}", 2), (2, "zybiny", 1, "{'latitude': 1.5, 'longitude': 2.5}", 3)],
+        [(5, "LIMA", 1, "9.5 8.5", 1), (2, "Lima", 10, "{'latitude': -12.040, 'longitude': -77}", 2), (3, "Rom", 1, "1 2", 3), (4, "Oslo", 5, "59.9 10.7", 4)],
         "pos bigint, name string, population bigint, location string, cityId bigint",
     )
-    gazetteer = tables.normalise_gazetteer(raw)
-    text = spark.createDataFrame([("ciao questa non ZybIny è una zlynka città zolochiv zybiny",)], "t string")
-    got = [(r["city"], r["location"]) for r in enrich.match_cities(text, gazetteer, "t").collect()]
-    assert sorted(got) == [("zolochiv", "POINT(24.9 49.8)"), ("zybiny", "POINT(30.0 50.1)"), ("zybiny", "POINT(30.0 50.1)")]
+    text = spark.createDataFrame([("lima Rom OSLO, Lima\tnothing",)], "t string")
+    got = [(r["city"], r["location"]) for r in enrich.match_cities(text, tables.normalise_gazetteer(raw), "t").collect()]
+    assert sorted(got) == [("lima", "POINT(-77.0 -12.04)")] * 2
 
 
 @pytest.mark.parametrize("location,latitude,longitude", [

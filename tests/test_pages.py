@@ -72,13 +72,13 @@ def test_page_summary(spark):
 
 
 def test_channel_addresses(spark):
-    given = ["t.me/abc", "https://t.me/s/abc", "https://t.me/abc", "x.org", "t.me/s/abc"]
+    given = ["t.me/abc", "https://t.me/s/abc", "https://t.me/abc", "x.org", "t.me/s/abc", "https://www.t.me/abc", "http://t.me/a?u=t.me/b", "not.me/abc", "https://x.org/t.me/abc", "t.me/", None]
     frame = spark.createDataFrame(list(enumerate(given)), "i int, a string")
     url = records.channel_url(F.col("a"))
     got = frame.select("i", url.alias("u"), records.channel_name(url).alias("n")).orderBy("i").collect()
     full = "https://t.me/s/abc"
-    assert [r["u"] for r in got] == [full, full, full, None, full]
-    assert [r["n"] for r in got] == ["abc", "abc", "abc", None, "abc"]
+    assert [r["u"] for r in got] == [full, full, full, None, full, full, "http://t.me/s/a?u=t.me/b", None, None, None, None]
+    assert [r["n"] for r in got] == ["abc", "abc", "abc", None, "abc", "abc", "a?u=t.me/b", None, None, None, None]
 
 
 def test_options_and_counter(spark):

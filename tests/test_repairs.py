@@ -8,7 +8,7 @@ from msgflow.operators import analytics, skew
 
 @pytest.mark.parametrize("small", [True, False])
 def test_one_row_per_key_on_ties(spark, monkeypatch, small):
-    monkeypatch.setattr(skew, "is_small", lambda df: small)
+    monkeypatch.setattr(skew, "is_small", lambda *_: small)
     rows = [("a", 1, "x"), ("a", 1, "y"), ("a", 2, "z"), ("b", None, "n"), ("c", None, "p"), ("c", None, "o"), ("d", 4, "w"), (None, 1, "q")]
     found = skew.without_copies(spark.createDataFrame(rows, "key string, id int, text string"), "key", "id").collect()
     assert sorted(tuple(r) for r in found) == [("a", 1, "x"), ("b", None, "n"), ("c", None, "o"), ("d", 4, "w")]

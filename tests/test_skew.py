@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from msgflow.functions import text
 from msgflow.operators import enrich, sampling, skew
+from msgflow.operators.lookup import Lookup
 from msgflow.plans import enrichment
 from msgflow.session import is_small, work_path
 from registered import inputs
@@ -57,11 +58,62 @@ def test_hot_key_is_spread_over_tasks(spark, facts, dim):
     assert len(sizes) == 8 and max(sizes) < 2 * 30_000 / 8
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("few", [True, False])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_bucketed_join_is_the_plain_join_and_leaves_the_lookup_in_place(spark, facts, dim, monkeypatch, how, few):
+    if not few:
+        monkeypatch.setattr(skew, "FEW_KEYS", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        lookup = Lookup(dim, "key", False).staged("dim")
+        joined = lookup.join(facts, ["id"], how)
+        plan = plan_of(joined)
+        # Everything below the exchange is the facts' side; the lookup's scans stand below none.
+        bucketed = [line for line in plan.splitlines() if "FileScan" in line and "Bucketed: true" in line]
+        assert len(bucketed) >= 1 and plan.count("Exchange hashpartitioning") == 1
+        assert rows(joined) == rows(facts.join(dim, "key", how))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 2 * sum(sizes) / 8
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_bucketed_join_of_a_stretch_without_known_keys(spark, dim):
+    lookup = Lookup(dim, "key", False).staged("dim")
+    facts = spark.createDataFrame([(1, None), (2, "absent")], "id bigint, key string")
+    assert rows(lookup.join(facts, ["id"])) == rows(facts.join(dim, "key", "left"))
+    assert lookup.join(facts.where("false"), ["id"]).count() == 0
+
+
+def test_texts_do_not_travel_with_their_tokens(spark, monkeypatch):
+    words = [f"word{chr(97 + i)}" for i in range(20)]
+    rows_ = [(i, " ".join(words[(i + j) % 20] for j in range(60)), "x") for i in range(300)]
+    messages = spark.createDataFrame(rows_, "n bigint, content string, city_code string")
+    gazetteer = spark.createDataFrame([(i, w, "1.0", "2.0") for i, w in enumerate(words[::3])], "pos bigint, name string, latitude string, longitude string")
+    places = enrich.place_lookup(gazetteer)
+    seen = []
+
+    def join(self, facts, *rest, plain=Lookup.join, **named):
+        seen.append(facts.columns)
+        return plain(self, facts, *rest, **named)
+
+    monkeypatch.setattr(Lookup, "join", join)
+    large = enrich.match_cities(messages, Lookup(places.rows, "city", False).staged("places"), "content", cleaned=True)
+    assert seen == [["_message", "city"]]
+    assert rows(large) == rows(enrich.match_cities(messages, gazetteer, "content", cleaned=True))
+
+
 def test_first_per_key_and_without_copies(spark, facts, monkeypatch):
     wanted = rows(facts.where("key is not null").groupBy("key").agg(F.min("id").alias("id")))
     assert rows(skew.first_per_key(facts, "key", "id")) == wanted
     assert rows(skew.without_copies(facts, "key", "id")) == wanted
-    monkeypatch.setattr(skew, "is_small", lambda df: False)
+    monkeypatch.setattr(skew, "is_small", lambda *_: False)
     assert rows(skew.without_copies(facts, "key", "id")) == wanted
 
 
@@ -82,8 +134,8 @@ def test_link_intelligence_beyond_broadcast_size(spark, monkeypatch):
         return enrichment.link_intelligence(inputs.linked_messages(spark, SF), lookups, work_path(spark, "urls"))
 
     small = rows(run())
-    monkeypatch.setattr(enrich, "is_small", lambda df: False)
-    monkeypatch.setattr(skew, "is_small", lambda df: False)
+    monkeypatch.setattr(enrich, "is_small", lambda *_: False)
+    monkeypatch.setattr(skew, "is_small", lambda *_: False)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         assert rows(run()) == small
@@ -94,7 +146,7 @@ def test_link_intelligence_beyond_broadcast_size(spark, monkeypatch):
 def test_match_cities_beyond_broadcast_size(spark, monkeypatch):
     messages = table(spark, SF, "documents").select("doc_id", F.lower("text").alias("content"))
     small = rows(enrich.match_cities(messages, inputs.gazetteer(spark, SF), "content").drop("content"))
-    monkeypatch.setattr(enrich, "is_small", lambda df: False)
+    monkeypatch.setattr(enrich, "is_small", lambda *_: False)
     assert rows(enrich.match_cities(messages, inputs.gazetteer(spark, SF), "content").drop("content")) == small
 
 

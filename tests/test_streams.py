@@ -24,7 +24,7 @@ def rows(df):
 def test_scored_streams_equal_the_batch(spark, monkeypatch, small):
     """Two runs over a growing feed, in small and in bucketed lookups, give the batch result of the whole feed."""
     if not small:
-        monkeypatch.setattr(enrich, "is_small", lambda df: False)
+        monkeypatch.setattr(enrich, "is_small", lambda *_: False)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         model = training.fitted(spark, SF)
@@ -50,7 +50,7 @@ def test_output_survives_lookups_that_change_their_size(spark, monkeypatch):
     feed, out, checkpoints = (work_path(spark, n) for n in ("feed", "out", "checkpoints"))
     measured = enrich.is_small
     for part in range(3):
-        monkeypatch.setattr(enrich, "is_small", (lambda df: False) if part == 1 else measured)
+        monkeypatch.setattr(enrich, "is_small", (lambda *_: False) if part == 1 else measured)
         feeds.encode_messages(messages.where(F.col("id").cast("bigint") % 3 == part)).write.mode("append").text(feed)
         stream = feeds.read_message_stream(spark, path=feed)
         jobs.wait_for(jobs.start_enrichment(stream, pages, registry, gazetteer, None, out, checkpoints, available_now=True))
