@@ -44,21 +44,11 @@ def ingest_increment(messages: DataFrame, state: DataFrame) -> DataFrame:
 def not_stored(messages: DataFrame, keys: DataFrame) -> DataFrame:
     """Messages whose (channel, id) is not among the stored keys (channel, number), whatever their order.
 
-    Stored keys are cut to the channels and id ranges of the messages before they are joined.
-    `messages` is read three times, so it should be a stored table.
+    The join is on both columns, so a channel with very many messages is spread over all tasks.
     """
-    number = F.col("id").try_cast("bigint")
-    ranges = messages.groupBy("channel").agg(F.min(number).alias("_from"), F.max(number).alias("_to"))
-    least, most = messages.agg(F.min(number), F.max(number)).first()
-    if least is None:
-        return messages
-    near = Lookup(ranges, "channel", is_small(ranges)).join(
-        keys.where(F.col("number").between(least, most)), ["channel", "number"], "inner"
-    )
-    near = near.where(F.col("number").between(F.col("_from"), F.col("_to"))).select("channel", "number")
-    numbered = messages.withColumn("_number", number)
-    same = numbered["channel"].eqNullSafe(near["channel"]) & (numbered["_number"] == near["number"])
-    return numbered.join(near, same, "left_anti").drop("_number")
+    numbered = messages.withColumn("_number", F.col("id").try_cast("bigint"))
+    same = numbered["channel"].eqNullSafe(keys["channel"]) & (numbered["_number"] == keys["number"])
+    return numbered.join(keys, same, "left_anti").drop("_number")
 
 
 def starting_state(config: DataFrame, state: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,13 +71,13 @@ def translation_requests(messages: DataFrame, config: DataFrame, catalog: DataFr
 
 def ingest_channels(
     pages: DataFrame, state_table: DataFrame, translations: DataFrame | None = None, config: DataFrame | None = None,
-    stored: DataFrame | None = None, stage_path: str | None = None,
+    stored: Callable[[DataFrame], DataFrame] | None = None, stage_path: str | None = None,
 ) -> DataFrame:
     """New messages of crawled channel pages, each once.
 
-    New is what lies past the mark of its channel, or with the `stored` keys (channel,
-    number) what is not among them, so that pages may come in any order. The parsed
-    messages are then written to `stage_path` first.
+    New is what lies past the mark of its channel, or with `stored` what is not among the stored keys
+    (channel, number), so that pages may come in any order. The parsed messages are then written to
+    `stage_path` first, and `stored` is asked for the keys they may meet.
 
     `config` (resolved channel options) says where a channel without state starts,
     limits channels with a keyword query to messages that hold it, and keeps
@@ -89,7 +91,7 @@ def ingest_channels(
     else:
         found = state.valid_messages(parsed) if config is None else state.ingest_increment(parsed, state_table)
         found = stage(one_per_key(found, ["channel", "id"]), "parsed", stage_path)
-        found = state.not_stored(found, stored)
+        found = state.not_stored(found, stored(found))
     if config is None:
         return found if translations is None else feeds.attach_translation(found, translations)
     options = config.select(

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from msgflow.sources.batches import BatchTable
 from msgflow.sources.messages import to_json_value
 
 Sink = Callable[[DataFrame, int], None]
@@ -26,7 +28,8 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errori
 def ensure_table(spark: SparkSession, name: str, ddl: str, path: str | None = None) -> None:
     """Create the target table unless it exists; an existing one is left as it is.
 
-    A table over a folder has the rows of all files under it, so the folders of batches add no column.
+    A table over a folder has the rows of all files under it. What is written batch by batch is read through its
+    manifest instead: see `BatchTable.publish`.
     """
     place = f" OPTIONS (recursiveFileLookup 'true') LOCATION '{path}'" if path else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{place}")
@@ -57,10 +60,12 @@ def _start(writer, available_now: bool, every: str | None) -> StreamingQuery:
 
 
 def table_sink(path: str) -> Sink:
-    """Batch sink: one folder per batch id, overwritten when the batch is replayed."""
+    """Batch sink: a `BatchTable`. A replayed batch is not written again, and folders are merged as they become many."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        table = BatchTable(batch.sparkSession, path)
+        table.append(batch, batch_id)
+        table.compact()
 
     return write
 
@@ -74,22 +79,57 @@ def json_sink(path: str) -> Sink:
     return write
 
 
-def kafka_sink(servers: str, topic: str) -> Sink:
-    """Batch sink: JSON values to a Kafka topic (needs the Kafka connector on the classpath)."""
+def with_key(df: DataFrame, key: list[str], name: str) -> DataFrame:
+    """`df` with a text column that names the row: its key columns, each with its length in front, so that no two keys read alike."""
+    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0")) for c in key]
+    named = F.concat(*[F.concat(F.length(part).cast("string"), F.lit(":"), part) for part in parts])
+    return df.withColumn(name, F.sha2(named, 256))
+
+
+def once(sink: Sink, log: str) -> Sink:
+    """A sink that is not called again for a batch it has finished.
+
+    Finished batches are noted in the folder `log`, one empty file each. A batch whose write was cut short is written
+    again as a whole, so the sink behind should name its rows by a key.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        to_json_value(batch).write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+        spark = batch.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{log}/{batch_id}")
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not files.exists(place):
+            sink(batch, batch_id)
+            files.create(place, True).close()
 
     return write
 
 
-def index_sink(resource: str, options: dict[str, str] | None = None, data_source: str = "es") -> Sink:
-    """Batch sink: a search index (needs the index connector on the classpath)."""
+def kafka_sink(servers: str, topic: str, key: list[str], log: str, data_source: str = "kafka") -> Sink:
+    """Batch sink: JSON values to a Kafka topic (needs the Kafka connector on the classpath).
+
+    Records carry the row's key, so that a compacted topic and its readers keep one of each; a finished
+    batch is not sent again.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.format(data_source).mode("append").options(**(options or {})).save(resource)
+        value = F.to_json(F.struct(*[F.col(f"`{c}`") for c in batch.columns])).alias("value")
+        records = with_key(batch, key, "_key").select(F.col("_key").alias("key"), value)
+        records.write.format(data_source).mode("append").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
-    return write
+    return once(write, log)
+
+
+def index_sink(resource: str, key: list[str], log: str, options: dict[str, str] | None = None, data_source: str = "es") -> Sink:
+    """Batch sink: a search index (needs the index connector on the classpath).
+
+    A row's document is named by its key (column `_key`, which is not stored), so that writing it again replaces it.
+    """
+    named = {"es.mapping.id": "_key", "es.mapping.exclude": "_key", "es.write.operation": "index"}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with_key(batch, key, "_key").write.format(data_source).mode("append").options(**named, **(options or {})).save(resource)
+
+    return once(write, log)
 
 
 def console_sink(rows: int = 20) -> Sink:

@@ -79,7 +79,7 @@ def test_replayed_batch_overwrites_itself(spark):
     for _ in range(2):
         sinks.write_to_all(batch, 0, written)
     sinks.write_to_all(batch.limit(0), 1, written)
-    assert spark.read.parquet(f"{out}/table").count() == spark.read.text(f"{out}/json").count() == 2
+    assert jobs.read_output(spark, f"{out}/table").count() == spark.read.text(f"{out}/json").count() == 2
 
 
 def test_malformed_and_missing_envelopes(spark):
@@ -101,7 +101,7 @@ def ingest_round(spark, arrivals, out, checkpoint, pages):
     pages.write.mode("append").parquet(arrivals)
     stream = spark.readStream.schema(schemas.CHANNEL_PAGE).parquet(arrivals)
     jobs.start_ingest(stream, out, checkpoint, available_now=True).awaitTermination()
-    return spark.read.parquet(f"{out}/messages"), {r["channel"]: (r["last_id"], r["transaction_id"]) for r in jobs.current_state(spark, out).collect()}
+    return jobs.read_output(spark, f"{out}/messages"), {r["channel"]: (r["last_id"], r["transaction_id"]) for r in jobs.current_state(spark, out).collect()}
 
 
 def test_ingest_keeps_marks_over_rounds(spark):
