@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from msgflow import fixed_values as fv
 from msgflow.functions import geo, text, whois
 from msgflow.functions.records import page_key
+from msgflow.operators.domains import with_domain
 from msgflow.operators.lookup import Lookup
 from msgflow.operators.skew import first_per_key, without_copies
 from msgflow.session import is_small, stage
@@ -65,14 +66,20 @@ def whois_columns() -> dict[str, Column]:
     return {name: whois.printed_field(name) for name in fv.WHOIS_FIELDS}
 
 
-def enrich_whois(urls: DataFrame, registry: DataFrame | Lookup, as_json: bool = True) -> DataFrame:
+def enrich_whois(urls: DataFrame, registry: DataFrame | Lookup, as_json: bool = True, suffixes: DataFrame | None = None) -> DataFrame:
     """Left join of links with the registration of their domain.
 
+    The domain follows the rules of `suffixes` (`suffix_rules`), or the built-in two-label suffixes.
+
     Adds the JSON text `whois`, or the printed fields one by one (prefix `whois_`).
     A domain is where links pile up: beyond broadcast size hot domains are split.
     """
     lookup = registry if isinstance(registry, Lookup) else whois_lookup(registry)
-    joined = lookup.join(urls.withColumn("_domain", whois.registered_domain(F.col("url"))), urls.columns)
+    if suffixes is None:
+        keyed = urls.withColumn("_domain", whois.registered_domain(F.col("url")))
+    else:
+        keyed = with_domain(urls, suffixes, "url", "_domain")
+    joined = lookup.join(keyed, urls.columns)
     fields = whois_columns()
     kept = [F.col(f"`{c}`") for c in urls.columns]
     if as_json:

@@ -37,6 +37,7 @@ class LinkLookups:
     pages: Lookup
     registry: Lookup
     missing_label: str | None
+    suffixes: DataFrame | None = None
 
     @property
     def small(self) -> bool:
@@ -44,17 +45,18 @@ class LinkLookups:
 
     def staged(self) -> LinkLookups:
         """Computed once and written to the shared folder; for streams, which read them in every batch."""
-        return LinkLookups(self.pages.staged("page-contents"), self.registry.staged("registrations"), self.missing_label)
+        suffixes = None if self.suffixes is None else stage(self.suffixes, "suffixes")
+        return LinkLookups(self.pages.staged("page-contents"), self.registry.staged("registrations"), self.missing_label, suffixes)
 
 
-def link_lookups(pages: DataFrame, registry: DataFrame, model: PipelineModel | None = None) -> LinkLookups:
-    """Lookups of the link query. With a model, a page is scored once, not once per citation."""
+def link_lookups(pages: DataFrame, registry: DataFrame, model: PipelineModel | None = None, suffixes: DataFrame | None = None) -> LinkLookups:
+    """Lookups of the link query. With a model, a page is scored once, not once per citation. `suffixes` are rules of public suffixes."""
     contents = page_lookup(pages)
     if model is None:
-        return LinkLookups(contents, whois_lookup(registry), None)
+        return LinkLookups(contents, whois_lookup(registry), None, suffixes)
     contents = Lookup(score(contents.rows, model), contents.key, contents.small)
     missing = score(pages.sparkSession.createDataFrame([(fv.MISSING_PAGE_TEXT,)], "content string"), model).first()
-    return LinkLookups(contents, whois_lookup(registry), missing["emotion_detection"])
+    return LinkLookups(contents, whois_lookup(registry), missing["emotion_detection"], suffixes)
 
 
 def link_intelligence(messages: DataFrame, lookups: LinkLookups, stage_path: str | None = None) -> DataFrame:
@@ -68,7 +70,7 @@ def link_intelligence(messages: DataFrame, lookups: LinkLookups, stage_path: str
     urls = cited_urls(messages)
     if stage_path and not lookups.small:
         urls = stage(urls, "cited-urls", stage_path)
-    linked = enrich_pages(enrich_whois(urls, lookups.registry), lookups.pages, counted=urls)
+    linked = enrich_pages(enrich_whois(urls, lookups.registry, suffixes=lookups.suffixes), lookups.pages, counted=urls)
     columns = ["id", "channel", "`@timestamp`", "content", "url", "whois"]
     if lookups.missing_label is None:
         return linked.select(*columns)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from msgflow import fixed_values as fv
 from msgflow import schemas
 from msgflow.functions import geo
+from msgflow.operators.domains import suffix_rules
 from msgflow.operators.skew import first_per_key
 
 
@@ -33,9 +34,21 @@ def read_raw_tweets(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_gazetteer_documents(spark: SparkSession, path: str) -> DataFrame:
-    """City rows from JSON documents (one per line), each with a `results` array. `pos` is file order inside a document."""
+    """City rows from JSON documents (one per line), each with a `results` array.
+
+    `pos` grows in source order over all documents: by path of the file, place in it, and place in the document.
+    It has gaps. Ranges of cities are sorted, each in a task of its own; documents are no unit of work.
+    """
     documents = spark.read.schema(schemas.GAZETTEER_DOCUMENT).json(path)
-    return documents.select(F.posexplode("results").alias("pos", "city")).select(F.col("pos").cast("bigint"), "city.*")
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line")]
+    cities = documents.select(*place, F.posexplode("results").alias("_index", "city"))
+    ordered = cities.sort("_file", "_block", "_line", "_index")
+    return ordered.select(F.monotonically_increasing_id().alias("pos"), "city.*")
+
+
+def read_suffixes(spark: SparkSession, path: str) -> DataFrame:
+    """Rules of public suffixes from a text file, one a line."""
+    return suffix_rules(spark.read.text(path))
 
 
 def normalise_gazetteer(cities: DataFrame) -> DataFrame:

@@ -39,6 +39,16 @@ def gazetteer_build(spark, sf):
     return read.select("name", "population", "latitude", "longitude")
 
 
+def gazetteer_documents_first(spark, sf):
+    """The first 300 cities in source order, from many files of documents of at most 50 cities each."""
+    cities = inputs.gazetteer_raw(spark, sf)
+    document = F.struct("pos", "name", "population", "location", "cityId")
+    bounded = cities.groupBy(F.floor(F.col("pos") / 50).alias("part")).agg(F.array_sort(F.collect_list(document)).alias("results"))
+    path = work_path(spark, "city-documents")
+    bounded.sort("part").select("results").write.json(path)
+    return tables.first_cities(tables.read_gazetteer_documents(spark, path), 300).select("name", "population", "cityId")
+
+
 def wkt_point(spark, sf):
     point = geo.wkt_point(F.col("longitude"), F.when(F.col("pos") % 5 != 0, F.col("latitude")))
     return inputs.gazetteer(spark, sf).select("pos", "name", point.alias("location"))
@@ -115,6 +125,7 @@ QUERIES = {
     "gazetteer_lookup": gazetteer_lookup,
     "gazetteer_first": gazetteer_first,
     "gazetteer_build": gazetteer_build,
+    "gazetteer_documents_first": gazetteer_documents_first,
     "wkt_point": wkt_point,
     "wkt_points": wkt_points,
     "match_cities": match_cities,
@@ -155,6 +166,8 @@ SQL = {
         FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY pos) AS r FROM ({_GAZ})) WHERE r = 1""",
     "gazetteer_first": f"""SELECT pos, upper(substr(name, 1, 1)) || substr(name, 2) AS name, population, pos AS "cityId"
         FROM ({_GAZ}) ORDER BY pos LIMIT 1512""",
+    "gazetteer_documents_first": f"""SELECT upper(substr(name, 1, 1)) || substr(name, 2) AS name, population, pos AS "cityId"
+        FROM ({_GAZ}) ORDER BY pos LIMIT 300""",
     "gazetteer_build": f"SELECT name, CAST(population AS VARCHAR) AS population, latitude, longitude FROM ({_GAZ})",
     "wkt_point": f"""SELECT pos, name, CASE WHEN pos % 5 <> 0 THEN 'POINT(' || longitude || ' ' || latitude || ')' END AS location FROM ({_GAZ})""",
     "wkt_points": f"""SELECT pos, CASE WHEN pos % 4 <> 0 THEN p || ';' || CASE WHEN pos % 3 <> 0 THEN p ELSE '-' END END AS points

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from msgflow.functions import records, text, whois
-from msgflow.operators import enrich
+from msgflow.operators import domains, enrich
 from msgflow.plans.enrichment import cited_urls, link_intelligence, link_lookups
 from registered import inputs, sql
 from registered.inputs import table
@@ -81,6 +81,19 @@ def page_domains(spark, sf):
     )
 
 
+def page_domains_by_rules(spark, sf):
+    """Domains by suffix rules of all kinds, made of the pages' own hosts: a top label, a longer suffix, a wildcard and exceptions to it."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    host = whois.host_of(F.col("url"))
+    top, two, three = (F.substring_index(host, ".", -k) for k in (1, 2, 3))
+    rules = F.array(
+        top, F.when(top == "org", two), F.when(top == "net", F.concat(F.lit("*."), two)),
+        F.when((top == "net") & F.startswith(three, F.lit("t")), F.concat(F.lit("!"), three)), F.lit("// a comment"),
+    )
+    lines = pages.select(F.explode(rules).alias("value")).where("value IS NOT NULL").distinct()
+    return domains.with_domain(pages, domains.suffix_rules(lines)).drop("url")
+
+
 def explode_urls(spark, sf):
     return cited_urls(inputs.linked_messages(spark, sf)).withColumnRenamed("@timestamp", "timestamp")
 
@@ -129,6 +142,7 @@ QUERIES = {
     "visible_text": visible_text,
     "page_text": page_text,
     "page_domains": page_domains,
+    "page_domains_by_rules": page_domains_by_rules,
     "explode_urls": explode_urls,
     "enrich_pages": enrich_pages,
     "enrich_whois": enrich_whois,
@@ -214,3 +228,7 @@ SQL = {
     "link_intelligence": LINKS_SQL,
 }
 SQL["enrich_pages_large"], SQL["enrich_whois_large"] = SQL["enrich_pages"], SQL["enrich_whois"]
+SQL["page_domains_by_rules"] = f"""
+  SELECT page_id, array_to_string(list_slice(labels, -least(len(labels), CASE labels[-1] WHEN 'org' THEN 3
+           WHEN 'net' THEN CASE WHEN starts_with(labels[-3], 't') THEN 3 ELSE 4 END ELSE 2 END), -1), '.') AS domain
+  FROM (SELECT page_id, string_split({_HOST}, '.') AS labels FROM pages)"""

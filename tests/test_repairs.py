@@ -1,9 +1,13 @@
 """Cases in which rows or values were wrong before."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
-from msgflow.operators import analytics, skew
+from msgflow import schemas
+from msgflow.operators import analytics, domains, enrich, skew
+from msgflow.sources import tables
 
 
 @pytest.mark.parametrize("small", [True, False])
@@ -18,3 +22,42 @@ def test_unreadable_days_are_no_day_before(spark):
     rows = [("c", "nonsense")] * 3 + [("c", "2024-01-01T00:00:00")] + [("c", "2024-01-03T00:00:00")] * 2
     found = analytics.daily_volume_difference(spark.createDataFrame(rows, "channel string, data string")).select(F.col("day").cast("string"), "n", "difference")
     assert {r["day"]: (r["n"], r["difference"]) for r in found.collect()} == {None: (3, None), "2024-01-01": (1, None), "2024-01-03": (2, 1)}
+
+
+def test_first_in_source_over_several_documents(spark, tmp_path):
+    """Files in order of their names, documents in order of their lines, cities in order of their lists."""
+    def line(*cities):
+        return json.dumps({"results": [{"name": n, "population": 1, "location": f"{{'latitude': {v}, 'longitude': 30.0}}", "cityId": 1} for n, v in cities]}) + "\n"
+
+    (tmp_path / "a.json").write_text(line(("Kyiv", 50.9), ("Lviv", 1.5)) + line(("Kyiv", 10.1), ("Odesa", 2.5)) + line())
+    (tmp_path / "b.json").write_text(line(("Lviv", 3.5), ("Dnipro", 4.5)) + line(("Dnipro", 5.5)))
+    cities = tables.read_gazetteer_documents(spark, str(tmp_path))
+    assert [r["name"] for r in tables.first_cities(cities, 4).collect()] == ["Kyiv", "Lviv", "Kyiv", "Odesa"]
+    found = {r["name"]: r["latitude"] for r in tables.gazetteer_lookup(tables.normalise_gazetteer(cities)).collect()}
+    assert found == {"kyiv": "50.9", "lviv": "1.5", "odesa": "2.5", "dnipro": "4.5"}
+
+
+RULES = ["// rules", "com", "mx", "com.mx  // with a comment", "*.ck", "!www.ck", "uk", "co.uk", "a.b.co.uk", "", "COM.AU", "*.kawasaki.jp", "!city.kawasaki.jp", "jp"]
+DOMAINS = {
+    "https://x.com.mx/p": "x.com.mx", "http://y.com.mx": "y.com.mx", "https://a.x.com.mx": "x.com.mx", "https://x.mx": "x.mx", "https://com.mx": "com.mx",
+    "https://a.b.c.ck": "b.c.ck", "https://c.ck": "c.ck", "https://d.www.ck": "www.ck", "https://www.ck": "www.ck", "https://z.a.b.co.uk": "z.a.b.co.uk", "https://b.co.uk": "b.co.uk",
+    "https://N.Com.Au": "n.com.au", "https://p.q.city.kawasaki.jp": "city.kawasaki.jp", "https://p.q.r.kawasaki.jp": "q.r.kawasaki.jp", "https://u.v.unknown": "v.unknown",
+    "https://10.20.30.40:8/x": "10.20.30.40", "https://localhost": "localhost", "https://user@s.t.com.": "t.com", "": None,
+}
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_domains_by_suffix_rules(spark, monkeypatch, small):
+    monkeypatch.setattr(domains, "is_small", lambda *_: small)
+    rules = domains.suffix_rules(spark.createDataFrame([(r,) for r in RULES], "value string"))
+    urls = spark.createDataFrame([(u,) for u in [*DOMAINS, None]], "url string")
+    assert {r["url"]: r["domain"] for r in domains.with_domain(urls, rules).collect()} == {**DOMAINS, None: None}
+    assert domains.with_domain(urls, rules.where("false")).where("url = 'https://x.com.mx/p'").first()["domain"] == "com.mx"
+
+
+def test_registrations_by_suffix_rules(spark):
+    registry = spark.createDataFrame([(d, [d], *[None] * 10) for d in ("x.com.mx", "com.mx")], schemas.WHOIS_REGISTRY)
+    urls = spark.createDataFrame([("https://w.x.com.mx/1",), ("https://y.com.mx",)], "url string")
+    rules = domains.suffix_rules(spark.createDataFrame([("com.mx",), ("mx",)], "value string"))
+    found = {r["url"]: r["whois_domain_name"] for r in enrich.enrich_whois(urls, registry, as_json=False, suffixes=rules).collect()}
+    assert found == {"https://w.x.com.mx/1": "x.com.mx", "https://y.com.mx": "None"}
