@@ -19,6 +19,11 @@ LINK_PATTERN = r"https?://[A-Za-z0-9./]+"
 # Dropped text parts, and the text of a page that could not be loaded.
 BLANK_PARTS = ["", " "]
 MISSING_PAGE_TEXT = "null"
+# Elements that have no content, current and obsolete ones.
+VOID_ELEMENTS = [
+    "area", "base", "basefont", "bgsound", "br", "col", "command", "embed", "frame", "hr", "image", "img", "input", "isindex",
+    "keygen", "link", "menuitem", "meta", "nextid", "param", "source", "spacer", "track", "wbr",
+]
 # Token length window for place names (both ends included).
 MIN_PLACE_LENGTH = 4
 MAX_PLACE_LENGTH = 10

@@ -116,22 +116,67 @@ def clean_text(text: Column) -> Column:
     return letters_only(let(markup_text(text), remove))
 
 
+# A whole piece of a page: what carries no text, a tag, or text up to the next one.
+_PIECES = "(?is)" + "|".join(
+    [_COMMENT, _block("script", True), _block("style", True), _DECLARATION, _TAG,
+     r"(?:[^<]|<(?![A-Za-z/!?]))[^<]*+(?:<(?![A-Za-z/!?])[^<]*+)*+", "<"]
+)
+# A page whose head holds only what heads hold, closed, and that has neither a head nor a title behind it, nor anything but text behind its end.
+_PLAIN_HEAD = (
+    r"(?is)\A\s*+(?:<!doctype[^>]*>\s*+)?<html\b[^>]*>\s*+<head\b[^>]*>(?:[^<]++|<!--.*?-->|<(?:meta|link|base)\b[^>]*>|"
+    r"<title\b[^>]*>[^<]*+</title\s*>|<style\b[^>]*>.*?</style\s*>|<script\b[^>]*>.*?</script\s*>)*+</head\s*>"
+)
+_LATE_HEAD = r"(?is)</head\s*>.*?<(?:head|title)\b|</html\s*>[^<]*+<"
+
+
 def visible_text(html: Column) -> Column:
     """Visible text nodes of a page, each stripped, joined with one space.
 
-    Text before the first tag and after the end of the document belongs to no
-    element and is not visible; neither is text in head, title, style, script or
-    comments.
+    A node is visible unless its own element is one of head, title, style, script or meta, or it lies outside
+    all elements. So text of an element inside the head is visible. Elements end where they are closed, or where one
+    around them is; a page with a plain head needs no look at the open elements.
     """
-    page = F.regexp_replace(html, r"(?is)(</html\s*>)[^<]*\z", "$1")
-    page = F.replace(page, F.lit("&nbsp;"), F.lit(" "))
-    # the first piece is the text before the first tag
-    inner = let(F.split(page, _INVISIBLE), lambda n: F.slice(n, F.lit(2), F.greatest(F.size(n) - 1, F.lit(0))))
-    nodes = F.filter(inner, lambda n: n != "")
+    page = F.replace(html, F.lit("&nbsp;"), F.lit(" "))
+    plain = F.rlike(page, F.lit(_PLAIN_HEAD)) & ~F.rlike(page, F.lit(_LATE_HEAD))
+    nodes = F.when(plain, _nodes_of_plain_page(page)).otherwise(_nodes_by_element(page))
     stripped = F.transform(nodes, lambda n: F.trim(n, F.lit(WHITESPACE_CHARACTERS)))
     return decode_entities(F.array_join(stripped, " "))
 
 
+def _nodes_of_plain_page(page: Column) -> Column:
+    ended = F.regexp_replace(page, r"(?is)(</html\s*>)[^<]*\z", "$1")
+    # the first piece is the text before the first tag
+    inner = let(F.split(ended, _INVISIBLE), lambda n: F.slice(n, F.lit(2), F.greatest(F.size(n) - 1, F.lit(0))))
+    return F.filter(inner, lambda n: n != "")
+
+
+def _nodes_by_element(page: Column) -> Column:
+    """Visible nodes by a fold over the pieces of the page with the names of the open elements."""
+    none = F.array().cast("array<string>")
+    start = F.struct(none.alias("open"), none.alias("nodes"))
+
+    def fold(acc: Column, piece: Column) -> Column:
+        name = F.lower(F.regexp_extract(piece, r"^</?([A-Za-z][^\s/>]*)", 1))
+        is_text = ~F.rlike(piece, F.lit("^<[A-Za-z/!?]"))
+        closing = F.startswith(piece, F.lit("</"))
+        # script and style come as whole pieces, with their text
+        alone = (name == "") | name.isin(*fv.VOID_ELEMENTS, "script", "style") | F.endswith(piece, F.lit("/>"))
+        # position of the element a closing tag ends, counted from the newest; 0 for none
+        ended = F.array_position(F.reverse(acc["open"]), name).cast("int")
+        size = F.size(acc["open"])
+        own = F.when(size > 0, F.element_at(acc["open"], -1)).otherwise(F.lit(""))
+        visible = is_text & (size > 0) & ~own.isin("head", "title", "meta")
+        within = (
+            F.when(~is_text & closing & (ended > 0), F.slice(acc["open"], F.lit(1), size - ended))
+            .when(is_text | closing | alone, acc["open"])
+            .otherwise(F.concat(acc["open"], F.array(name)))
+        )
+        nodes = F.when(visible, F.concat(acc["nodes"], F.array(piece))).otherwise(acc["nodes"])
+        return F.struct(within.alias("open"), nodes.alias("nodes"))
+
+    return F.aggregate(F.regexp_extract_all(page, F.lit(_PIECES), F.lit(0)), start, fold, lambda acc: acc["nodes"])
+
+
 def extract_links(text: Column) -> Column:
     """All links of a text in order, duplicates kept.
 

@@ -5,7 +5,15 @@ from __future__ import annotations
 from html.entities import name2codepoint
 
 from msgflow import fixed_values as fv
-from msgflow.functions import text as _text
+
+# Patterns of this module's own, for the markup that the given tables hold.
+_ANY_TAG = r"""</?[a-z](?:"[^"]*"|'[^']*'|[^'">])*>"""
+_NO_TEXT = r"<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+_FRAGMENT = rf"(?is){_NO_TEXT}|<template\b[^>]*>.*?</template\s*>|{_ANY_TAG}|<![a-z\[][^>]*>"
+_PAGE = rf"(?is){_NO_TEXT}|<head\b[^>]*>.*?</head\s*>|<title\b[^>]*>.*?</title\s*>|<![a-z][^>]*>\s*|{_ANY_TAG}"
+# White space of Unicode: controls, the space, the next line, and the separators.
+_BLANKS = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+_BLANK_CLASS = "[" + "".join(rf"\x{{{code:X}}}" for code in _BLANKS) + "]+"
 
 
 def quoted(value: str) -> str:
@@ -26,13 +34,8 @@ def decode(x: str) -> str:
     return f"CASE WHEN contains({x}, '&') THEN array_to_string(list_transform({pieces}, lambda p: {one}), '') ELSE {x} END"
 
 
-def pattern(java: str) -> str:
-    """A pattern as SQL text; this engine's matcher has no possessive loops and needs none."""
-    return quoted(java.replace("*+", "*"))
-
-
 def markup(x: str) -> str:
-    return decode(f"regexp_replace({x}, {pattern(_text._MARKUP)}, '', 'g')")
+    return decode(f"regexp_replace({x}, {quoted(_FRAGMENT)}, '', 'g')")
 
 
 def letters(x: str) -> str:
@@ -47,8 +50,8 @@ def clean(x: str, has_markup: bool = True) -> str:
 
 def visible(x: str) -> str:
     page = f"replace(regexp_replace({x}, '(?is)(</html\\s*>)[^<]*\\z', '\\1'), '&nbsp;', ' ')"
-    nodes = f"list_filter(list_slice(string_split_regex({page}, {pattern(_text._INVISIBLE)}), 2, 1000000000), lambda n: n <> '')"
-    edge = quoted(_text.WHITESPACE_CHARACTERS)
+    nodes = f"list_filter(list_slice(string_split_regex({page}, {quoted(_PAGE)}), 2, 1000000000), lambda n: n <> '')"
+    edge = ' || '.join(f'chr({code})' for code in _BLANKS)
     return decode(f"array_to_string(list_transform({nodes}, lambda n: trim(n, {edge})), ' ')")
 
 
@@ -70,7 +73,7 @@ def domain(x: str) -> str:
 
 
 def words(x: str) -> str:
-    return f"string_split_regex({x}, {quoted(_text.WHITESPACE)})"
+    return f"string_split_regex({x}, {quoted(_BLANK_CLASS)})"
 
 
 def place_words(x: str) -> str:

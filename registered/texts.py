@@ -69,6 +69,14 @@ def visible_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", text.visible_text(F.col("html")).alias("visible"))
 
 
+def visible_text_nested(spark, sf):
+    """Pages with an element inside the head, between texts of the head itself, and at the end a title that is never closed, with an element in it."""
+    number = F.col("page_id").cast("string")
+    inner = F.concat(F.lit("<head>lost<noscript>seen "), number, F.lit("</noscript>lost"))
+    html = F.concat(F.replace("html", F.lit("<head>"), inner), F.lit("<title>lost<i>kept "), number, F.lit("</i>lost"))
+    return table(spark, sf, "pages").select("page_id", text.visible_text(html).alias("visible"))
+
+
 def page_text(spark, sf):
     """Page text as the link query uses it: visible, then cleaned."""
     return table(spark, sf, "pages").select("page_id", text.clean_text(text.visible_text(F.col("html"))).alias("content"))
@@ -140,6 +148,7 @@ QUERIES = {
     "explode_sentences": explode_sentences,
     "text_parts": text_parts,
     "visible_text": visible_text,
+    "visible_text_nested": visible_text_nested,
     "page_text": page_text,
     "page_domains": page_domains,
     "page_domains_by_rules": page_domains_by_rules,
@@ -232,3 +241,6 @@ SQL["page_domains_by_rules"] = f"""
   SELECT page_id, array_to_string(list_slice(labels, -least(len(labels), CASE labels[-1] WHEN 'org' THEN 3
            WHEN 'net' THEN CASE WHEN starts_with(labels[-3], 't') THEN 3 ELSE 4 END ELSE 2 END), -1), '.') AS domain
   FROM (SELECT page_id, string_split({_HOST}, '.') AS labels FROM pages)"""
+SQL["visible_text_nested"] = f"""
+  SELECT page_id, 'seen ' || page_id || ' ' || CASE WHEN v = '' THEN '' ELSE v || ' ' END || 'kept ' || page_id AS visible
+  FROM (SELECT page_id, {sql.visible('html')} AS v FROM pages)"""

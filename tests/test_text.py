@@ -160,9 +160,26 @@ HTML = [
     "<div>one<script>if (a < b) '</p>'</script>two</div>",
     "<p>&nbsp;</p><p> a\tb </p>",
     '<a title="x > y">t</a>',
+    "<html><head><noscript>seen</noscript></head><body>b</body></html>",
+    "<html><head>lost<title>lost</title><div>one<p>two</div>lost</head>html<body>b</body></html>",
+    "<html><head><meta name=x><title>lost<b>in</b>lost</title>lost<body>b<p>c",  # a head that is never closed
+    "<html><head><title>never closed<body>lost?<p>seen</p></body></html>",
+    "<p>a</p>outside<p>b</p>outside",
+    "<html><head></head><body>x</body></html>after<p>seen</p>after",
+    "<html><head></head><body>x<title>lost</title><svg><title>lost<i>in</i></title>y</svg></body></html>",
+    "<div>a<br/>b<i/>c</i>d</span>e<SCRIPT>f</SCRIPT >g</DIV>h",
+    "<html><head><!-- <title> --><title>t</title></head><body>1 < 2<head>lost<b>x</b></head>z</body></html>",
 ]
 
 
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(
+    ["<html>", "</html>", "<head>", "</head>", "<body>", "</body>", "<title>", "</title>", "<p>", "</p>", "<b>", "</b>", "<br>", "<meta x=1>", "<i/>", "<!-- c -->", "<style>s</style>",
+     "<!DOCTYPE html>", "text", " t ", "\n", "&amp;"]), max_size=25).map("".join), min_size=1, max_size=120))
+def test_visible_text_of_any_nesting(spark, pages):
+    assert apply(spark, text.visible_text, pages) == [parsed_text(p) for p in pages]
+
+
 @pytest.mark.parametrize("page", HTML)
 def test_visible_text_cases(spark, page):
     assert apply(spark, text.visible_text, [page]) == [parsed_text(page)]
