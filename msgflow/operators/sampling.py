@@ -29,9 +29,9 @@ def split_rows(df: DataFrame, key: str, weights: list[float] | None = None, seed
 def sample_exact(df: DataFrame, key: str, fraction: float = fv.SAMPLE_FRACTION, seed: int = fv.SPLIT_SEED) -> DataFrame:
     """Random sample of exactly round(fraction * rows) rows, without replacement. `key` must be unique.
 
-    Rows are ordered by a hash of the key. One partial aggregation counts the rows
-    per hash bucket (at most 2 ** 16 rows); whole buckets below the cut are taken
-    as they are, and only the bucket that holds the cut is ranked.
+    Rows are ordered by a hash of the key. One partial aggregation counts the rows per hash bucket (at most
+    2 ** 16 rows), which fixes the bucket that holds the cut. A second pass takes the rows of the buckets up to
+    there; only those of the cut's own bucket are ranked, the others get numbers nobody looks at, in small groups.
     """
     hashed = df.withColumn("_hash", portable_hash(F.col(key), seed))
     bucket = F.shiftright("_hash", 32 - _BUCKET_BITS)
@@ -46,8 +46,6 @@ def sample_exact(df: DataFrame, key: str, fraction: float = fv.SAMPLE_FRACTION,
         .select("_bucket", "_rows", "_take")
     )
     placed = hashed.withColumn("_bucket", bucket).join(F.broadcast(marks), "_bucket")
-    whole = placed.where(F.col("_rows") <= F.col("_take"))
-    cut = placed.where(F.col("_rows") > F.col("_take"))
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash", key))
-    cut = cut.withColumn("_rank", rank).where(F.col("_rank") <= F.col("_take")).drop("_rank")
-    return whole.unionByName(cut).select(*[F.col(f"`{c}`") for c in df.columns])
+    taken = placed.withColumn("_rank", rank).where(F.col("_rank") <= F.col("_take"))
+    return taken.select(*[F.col(f"`{c}`") for c in df.columns])

@@ -29,20 +29,43 @@ def stop_words() -> StopWordsRemover:
     return StopWordsRemover(inputCol="tokens", outputCol="filtered_words", caseSensitive=False)
 
 
-def sentiment_stages(input_col: str = "input", label_col: str = "label", partitions: int = 1, seed: int = fv.SPLIT_SEED) -> Pipeline:
+MIN_COUNT = 5  # rarer words get no vector
+MAX_WORDS = 500_000  # words that get one, at most; about a kilobyte each on the driver and on every learner
+
+
+def sentiment_stages(
+    input_col: str = "input", label_col: str = "label", partitions: int = 1, seed: int = fv.SPLIT_SEED, min_count: int = MIN_COUNT
+) -> Pipeline:
     """Unfitted model: words, stop words, mean word vectors, logistic regression.
 
     `partitions` is how many tasks learn word vectors; one task is exact sequential
     training, more let the training set grow with the cluster.
     """
     vectors = Word2Vec(
-        inputCol="filtered_words", outputCol="vector", vectorSize=fv.VECTOR_SIZE, windowSize=5, minCount=5,
+        inputCol="filtered_words", outputCol="vector", vectorSize=fv.VECTOR_SIZE, windowSize=5, minCount=min_count,
         maxIter=1, numPartitions=partitions, seed=seed,
     )
     regression = LogisticRegression(featuresCol="vector", labelCol=label_col, maxIter=100, tol=1e-6, threshold=0.5)
     return Pipeline(stages=[tokeniser(input_col), stop_words(), vectors, regression])
 
 
+def least_count(words: DataFrame, column: str = "filtered_words", max_words: int = MAX_WORDS) -> int:
+    """The least count of a word, from `MIN_COUNT` on, such that at most `max_words` words reach it.
+
+    Words are counted exactly, with map-side combine; the driver gets one row per count, of which there are
+    fewer than the square root of twice the number of words in all texts.
+    """
+    counts = words.select(F.explode(column).alias("word")).groupBy("word").count()
+    sizes = counts.where(F.col("count") >= MIN_COUNT).groupBy("count").agg(F.count("*").alias("words")).orderBy(F.desc("count")).collect()
+    total, least = 0, None
+    for row in sizes:
+        total += row["words"]
+        if total > max_words:
+            break
+        least = row["count"]
+    return MIN_COUNT if total <= max_words else (sizes[0]["count"] + 1 if least is None else least)
+
+
 LEARNERS = 4  # tasks that learn word vectors, the same at every size and on every cluster
 
 
@@ -52,17 +75,18 @@ class Training:
     accuracy: float | None
 
 
-def fit(rows: DataFrame, input_col: str, label_col: str, partitions: int = LEARNERS) -> PipelineModel:
+def fit(rows: DataFrame, input_col: str, label_col: str, partitions: int = LEARNERS, max_words: int = MAX_WORDS) -> PipelineModel:
     """Fit the stages one after the other; the result is the model that fitting them as one would give.
 
     Words are computed once for both learners. `partitions` is the number of tasks
     that learn word vectors and does not follow the size of the data or of the
-    cluster: one gives the exact sequential result.
+    cluster: one gives the exact sequential result. The vocabulary is fixed before learning: the most
+    frequent words, `max_words` at most.
     """
     words_of, stops, vectors_of, regression = sentiment_stages(input_col, label_col).getStages()
     words = stops.transform(words_of.transform(spread(rows.select(input_col, label_col)))).persist()
     try:
-        vectors_of = vectors_of.setNumPartitions(partitions).fit(words)
+        vectors_of = vectors_of.setNumPartitions(partitions).setMinCount(least_count(words, max_words=max_words)).fit(words)
         regression = regression.fit(vectors_of.transform(words).select("vector", label_col))
     finally:
         words.unpersist()
@@ -71,12 +95,12 @@ def fit(rows: DataFrame, input_col: str, label_col: str, partitions: int = LEARN
 
 def train(
     labelled: DataFrame, key: str, input_col: str = "content", label_col: str = "label",
-    weights: list[float] | None = None, partitions: int = LEARNERS,
+    weights: list[float] | None = None, partitions: int = LEARNERS, max_words: int = MAX_WORDS,
 ) -> Training:
     """Drop rows with nulls, split, fit on the first part, report accuracy on the third if it has weight."""
     weights = fv.SPLIT_WEIGHTS if weights is None else weights
     fit_part, _, test_part = split_rows(labelled.dropna(), key, weights)
-    model = fit(fit_part, input_col, label_col, partitions)
+    model = fit(fit_part, input_col, label_col, partitions, max_words)
     reached = None
     if weights[2] > 0:
         reached = accuracy(model.transform(test_part), label_col).first()["accuracy"]

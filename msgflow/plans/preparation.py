@@ -13,7 +13,7 @@ from msgflow.operators import pages as channel_pages
 from msgflow.operators import routing, sampling, state
 from msgflow.operators.lookup import Lookup
 from msgflow.operators.skew import one_per_key
-from msgflow.session import is_small, stage
+from msgflow.session import discard, is_small, stage, work_path
 from msgflow.sources import messages as feeds
 from msgflow.sources import sinks, tables
 
@@ -34,12 +34,14 @@ def training_sample(
 
 
 def prepare_training(raw: DataFrame, key: str, cleaned_path: str, sample_path: str, fraction: float = fv.SAMPLE_FRACTION) -> None:
-    """Write the cleaned table and a sample of it as CSV. The sample is drawn from the written table."""
+    """Write the cleaned table and a sample of it as CSV. The sample is drawn from the written table, which is parsed once."""
     spark = raw.sparkSession
     cleaned = clean_labelled(raw).select(key, "content", "label")
     sinks.write_csv(cleaned, cleaned_path)
     written = spark.read.schema(cleaned.schema).option("header", True).option("escape", '"').csv(cleaned_path)
-    sinks.write_csv(training_sample(written, key, fraction), sample_path)
+    path = work_path(spark, "cleaned")
+    sinks.write_csv(training_sample(stage(written, "cleaned", path), key, fraction), sample_path)
+    discard(spark, path)
 
 
 def build_gazetteer(spark: SparkSession, documents_path: str, cleaned_path: str, limit: int | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from msgflow import schemas
-from msgflow.operators import analytics, domains, enrich, skew
+from msgflow.operators import analytics, domains, enrich, sampling, sentiment, skew
 from msgflow.sources import tables
 
 
@@ -61,3 +61,24 @@ def test_registrations_by_suffix_rules(spark):
     rules = domains.suffix_rules(spark.createDataFrame([("com.mx",), ("mx",)], "value string"))
     found = {r["url"]: r["whois_domain_name"] for r in enrich.enrich_whois(urls, registry, as_json=False, suffixes=rules).collect()}
     assert found == {"https://w.x.com.mx/1": "x.com.mx", "https://y.com.mx": "None"}
+
+
+def test_exact_sample_reads_its_input_twice(spark, tmp_path):
+    spark.range(5_000).withColumnRenamed("id", "n").write.parquet(f"{tmp_path}/t")
+    sample = sampling.sample_exact(spark.read.parquet(f"{tmp_path}/t"), "n", 0.13)
+    assert sample._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2
+    assert sample.count() == sample.distinct().count() == 650
+
+
+@pytest.mark.parametrize("max_words, expected", [(10, 5), (3, 5), (2, 7), (1, 9), (0, 10)])
+def test_vocabulary_has_a_ceiling(spark, max_words, expected):
+    words = ["a"] * 9 + ["b"] * 7 + ["c"] * 5 + ["d"] * 4
+    frame = spark.createDataFrame([(words[i::5],) for i in range(5)], "filtered_words array<string>")
+    assert sentiment.least_count(frame, max_words=max_words) == expected
+
+
+def test_training_with_a_small_vocabulary(spark):
+    good, bad = "happy sunny lovely bright day friends", "angry rainy awful dark night enemies"
+    labelled = spark.createDataFrame([(i, (good if i % 2 else bad) + " shared", i % 2) for i in range(60)], "id bigint, content string, label int")
+    done = sentiment.train(labelled, "id", max_words=5)
+    assert done.model.stages[2].getVectors().count() == 1  # thirteen words, of which twelve tie below the first
