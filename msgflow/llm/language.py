@@ -3,7 +3,8 @@
 For each language a suffix automaton is built from a bounded sample of labelled text. A text
 is parsed into phrases, each the longest match that the automaton still accepts; a language
 the text resembles needs few, long phrases. The number of phrases, times the logarithm of the
-training length, per character, estimates the cross entropy; the lowest wins.
+training length, per character, estimates the cross entropy; the lowest wins. That factor makes samples of
+different lengths comparable, so no language's sample depends on another's.
 
 Texts are parsed in blocks of `BLOCK` characters, each of which starts a new phrase, all blocks of a
 batch and all languages in step. Whole texts are parsed; a long one is only more blocks.
@@ -33,7 +34,7 @@ from msgflow.llm.common import own_columns, release
 TRAIN_CHARS = 16_000  # characters of labelled text per language
 TRAIN_ROWS = 400  # labelled texts per language that are read for it
 BLOCK = 512
-MAX_LANGUAGES = 256  # labels with the most rows; the tables grow with their number
+FLOOR_CHARS = 4_000  # shorter samples count as this long: a few characters must not make phrases cheap
 UNDETERMINED = "und"
 _SEED = 29
 _LANES = 12_000  # blocks parsed in step
@@ -204,43 +205,58 @@ def train_model(samples: dict[str, str]) -> LanguageModel:
         states, places = states + len(steps), places + len(owner)
     model.start, model.owner, model.target = np.concatenate(starts).astype(np.int32), np.concatenate(owners), np.concatenate(targets)
     model.roots = np.array(roots, np.int32)
-    model.weights = np.array([np.log2(max(2, len(samples[k]))) for k in languages])
+    model.weights = np.array([np.log2(max(FLOOR_CHARS, len(samples[k]))) for k in languages])
     return model
 
 
 def training_samples(docs: DataFrame, learn: Column, chars: int = TRAIN_CHARS, rows: int = TRAIN_ROWS) -> dict[str, str]:
-    """Per language the first `chars` characters of a sample of about `rows` labelled texts at most, drawn by a hash of the id.
+    """Per language about `chars` characters: equal stretches, from a hashed place on, of about `rows` labelled texts drawn by a hash of the id.
 
-    Labels are counted first, so each language's share of kept rows is known and no task ranks all rows.
+    Every label is learned. Labels are counted first, so each language's share of kept rows and the length of a stretch
+    are known, no task ranks all rows, and the driver gets at most four times `chars` a language.
     """
     known = own_columns(docs.where(learn), {"doc_id": "doc_id", "text": "text", "lang": "lang"}).where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = known.groupBy("lang").count().collect()
     if not counts:
         return {}
-    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, rows / r["count"])))])[F.col("lang")]
+    plan = docs.sparkSession.createDataFrame(
+        [(r["lang"], min(1.0, rows / r["count"]), -(-4 * chars // min(rows, r["count"]))) for r in counts], "lang string, share double, stretch int"
+    )
     spot = F.pmod(F.xxhash64(F.lit(_SEED), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    picked = known.where(share.isNotNull() & (spot < share)).select("lang", "doc_id", F.left("text", F.lit(chars)).alias("text"))
+    picked = known.join(F.broadcast(plan), "lang").where(spot < F.col("share"))  # one row per label
+    room = F.greatest(F.length("text") - F.col("stretch"), F.lit(0)) + 1
+    begin = (F.pmod(F.xxhash64(F.lit(_SEED + 1), "doc_id"), room) + 1).cast("int")
+    picked = picked.select("lang", "doc_id", F.substring("text", begin, F.col("stretch")).alias("text"))
     texts: dict[str, list[tuple]] = {}
     for row in picked.toLocalIterator():
         texts.setdefault(row["lang"], []).append((spot_of(row["doc_id"]), row["text"]))
     samples = {}
     for language, found in texts.items():
-        text = normalised(" ".join(t for _, t in sorted(found)))[:chars]
+        stretches = [normalised(t) for _, t in sorted(found)]
+        text = " ".join(t[: stretch_of([len(t) for t in stretches], chars)] for t in stretches)[:chars]
         if any(c.isalpha() for c in text):
             samples[language] = text
-    shortest = min((len(t) for t in samples.values()), default=0)
-    # Equal lengths make phrase counts comparable; a language with very little text does not shorten the others below a quarter.
-    return {k: t[: max(shortest, chars // 4)] for k, t in samples.items()}
+    return samples
+
+
+def stretch_of(lengths: list[int], chars: int) -> int:
+    """The length to which texts are cut so that they have `chars` characters together; what short ones lack goes to the others."""
+    left, count = chars, len(lengths)
+    for length in sorted(lengths):
+        if length * count >= left:
+            return -(-left // count)
+        left, count = left - length, count - 1
+    return max(lengths, default=0)
 
 
 def spot_of(doc_id: int) -> int:
     """Order of the sampled texts, unrelated to the order of the ids."""
-    return doc_id * 0x9E3779B1 % (1 << 32)
+    return (doc_id or 0) * 0x9E3779B1 % (1 << 32)
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """uid, doc_id, lang_pred and score of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by TRAIN_CHARS and MAX_LANGUAGES
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # TRAIN_CHARS a label
 
     def predicted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

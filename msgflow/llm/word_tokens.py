@@ -106,7 +106,24 @@ class WordTokenizer(WordCache):
     def __init__(self, path: str):
         super().__init__(path)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Texts that hold the string of an added token, in any case, go to the library as they are."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        whole = np.zeros(len(texts), np.bool_)
+        for content in self.added:
+            whole |= pc.match_substring(texts, content, ignore_case=True).to_numpy(zero_copy_only=False)
+        places = np.flatnonzero(whole)
+        if not len(places):
+            yield from super().encode(texts)
+            return
+        others = super().encode(texts.filter(pa.array(~whole)))
+        for i, alone in enumerate(whole.tolist()):
+            if alone:
+                yield np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, np.uint32)
+            else:
+                yield next(others)
 
     def split(self, texts: pa.Array) -> pa.Array:
         # Folding A-Z before the tokenizer's own lower-casing changes nothing but the number of distinct words.

@@ -93,6 +93,25 @@ def test_language_of_odd_texts(spark):
     assert none.predict(["the dog"])[0] == ["und"]
 
 
+def test_every_label_is_learned_and_none_changes_another(spark):
+    rows = [(i, f"word{chr(97 + i % 26)} of {'abcdefghij'[i // 30]}{chr(97 + i % 30)} text " * 3, f"l{i:03d}") for i in range(300)]
+    rows += [(1000 + i, f"the cat and the dog number {i} were there " * 20, "en") for i in range(50)]
+    learn = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    samples = language.training_samples(learn, F.lit(True), chars=2_000)
+    assert len(samples) == 301 and 1_900 <= len(samples["en"]) <= 2_000
+    assert len({s for s in samples["en"].split() if s in ("cat", "dog", "were")}) == 3
+    tiny = learn.unionByName(spark.createDataFrame([(9999, "un mot", "fr")], learn.schema))
+    assert language.training_samples(tiny, F.lit(True), chars=2_000) == samples | {"fr": "un mot"}
+    model = language.train_model({**samples, "fr": "un mot"})
+    assert model.predict(["the dog and the cat were there", "un mot un mot"])[0] == ["en", "fr"]
+
+
+def test_stretches_use_up_what_is_asked_for():
+    for lengths, chars in ([10, 10, 10], 15), ([1, 2, 100], 50), ([5], 3), ([3, 3], 100), ([], 9), ([1, 1, 8, 8], 12):
+        cut = [min(n, language.stretch_of(lengths, chars)) for n in lengths]
+        assert min(sum(lengths), chars) <= sum(cut) < min(sum(lengths), chars) + max(1, len(lengths))
+
+
 def test_language_on_held_out_rows(spark):
     found = queries.op7_language(spark, "/root/testdata/sf0.1").where("held_out")
     rows = found.join(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "lang"), "doc_id").where("lang IS NOT NULL")

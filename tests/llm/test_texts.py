@@ -17,12 +17,11 @@ from tests.compare import connect, difference
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
-ODD = ["", None, " ", "\n", "Hello, World!", "don't  stop\t\u00a0now", "É́é e\u0301 ΣΑΣ İ", "漢字 𝔘", "<|endoftext|> x", "word " * 9000, "a\x85b\u2028c", "x.\ny,z!! it's 12,5"]
+ODD = ["", None, " ", "\n", "Hello, World!", "don't  stop\t\u00a0now", "É́é e\u0301 ΣΑΣ İ", "漢字 𝔘", "<|endoftext|> x", "y <|EndOfText|><|startoftext|>z\n<|startoftext|", "word " * 9000, "a\x85b\u2028c", "x.\ny,z!! it's 12,5"]
 
 
 def test_word_ids_equal_the_tokenizer(spark):
     tokenizer = Tokenizer.from_file(WORDS)
-    tokenizer.encode_special_tokens = True
     rng = random.Random(0)
     texts = ODD + ["".join(rng.choice("abcABC ,.'!\né1") for _ in range(rng.randint(1, 80))) for _ in range(200)]
     import pyarrow as pa
@@ -34,7 +33,6 @@ def test_word_ids_equal_the_tokenizer(spark):
 @pytest.mark.parametrize("buffer", [3000, 1 << 19])
 def test_packing_round_trip(spark, buffer):
     tokenizer = Tokenizer.from_file(WORDS)
-    tokenizer.encode_special_tokens = True
     rng = random.Random(1)
     texts = ODD + ["the cat " * rng.randint(0, 900) for _ in range(60)]
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id bigint, text string, start int").repartition(2)
