@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,12 @@ def not_stored(messages: DataFrame, keys: DataFrame) -> DataFrame:
     return numbered.join(keys, same, "left_anti").drop("_number")
 
 
+def append_batches(batches: list[DataFrame], once: bool = True) -> DataFrame:
+    """Batches of messages as one table, in which columns a batch lacks are null; with `once` every distinct row is kept once."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches)
+    return rows.distinct() if once else rows
+
+
 def starting_state(config: DataFrame, state: DataFrame) -> DataFrame:
     """Stored state, and for configured channels without one the id their options start from.
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from registered import channels, places, streams, texts, training
+from registered import channels, places, scored, streams, texts, training
 
-MODULES = [texts, places, channels, training, streams]
+MODULES = [texts, places, channels, training, streams, scored]
 
 
 def all_queries():

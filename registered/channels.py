@@ -200,8 +200,31 @@ def parse_catalog(spark, sf):
     return parsed.select("doc_id", "service", "vote", F.array_join("langs", ",").alias("langs"))
 
 
+def parse_pages_nested(spark, sf):
+    """Messages whose markup is written out here: elements in elements, some never closed, attributes that hold marks, and a shape of its own per turn."""
+    turn, word = F.col("turn").cast("string"), F.concat(F.col("role"), F.col("turn").cast("string"))
+    bodies = [
+        F.concat(F.lit("bare "), word, F.lit("<b>bold <i>in <u>"), word, F.lit("</u></i></b> tail<br/>end")),
+        F.concat(F.lit('<a href="https://x.org/?a=1&amp;b=2" title="1">link <b>never closed '), word, F.lit("</a>after")),
+        F.concat(F.lit("<div>own <div>inner "), word, F.lit("</div></div></span>x &lt;y&gt;")),
+        F.concat(F.lit("<i>open to the end "), word),
+    ]
+    body = F.when(F.col("turn") % 4 == 0, bodies[0]).when(F.col("turn") % 4 == 1, bodies[1]).when(F.col("turn") % 4 == 2, bodies[2]).otherwise(bodies[3])
+    author = F.concat(F.lit('<div class="x tgme_widget_message_author y"><a href="https://t.me/'), word, F.lit('"><span>The <b>'), word, F.lit("</b> of <i>all</i></span></a></div>"))
+    html = F.concat(
+        F.lit('<html><body><div class="tgme_widget_message_wrap js-widget_message_wrap"><div data-x="1" class="tgme_widget_message z" data-post="c/'), turn, F.lit('">'),
+        author, F.lit('<div class="tgme_widget_message_text js-message_text">'), body,
+        F.lit('</div><span class="tgme_widget_message_views">1<b>2</b>K</span><a class="tgme_widget_message_date" href="#"><span><time class="t" datetime="'),
+        F.lit("2024-05-06T07:08:09+00:00"), F.lit('"></time></span></a></div></div></body></html>'),
+    )
+    pages = table(spark, sf, "conversations").select(F.concat(F.lit("ch"), F.col("conv_id").cast("string")).alias("channel"), F.lit("u").alias("url"), html.alias("html"))
+    found = channel_pages.parse_channel_pages(pages)
+    return found.select("channel", "id", "data", "authorName", "authorLink", F.array_join("text", "|").alias("text"), "views")
+
+
 QUERIES = {
     "parse_channel_pages": parse_pages,
+    "parse_channel_pages_nested": parse_pages_nested,
     "page_summary": page_summary,
     "relevant_classes": relevant_classes,
     "valid_ids": valid_ids,
@@ -260,6 +283,11 @@ _BY_SOURCE = """SELECT lang, CAST(regexp_extract(source, '[0-9]+') AS BIGINT) AS
     FROM documents GROUP BY lang, source"""
 
 SQL = {
+    "parse_channel_pages_nested": """SELECT 'ch' || conv_id AS channel, CAST(turn AS VARCHAR) AS id, '2024-05-06T07:08:09+00:00' AS data, 'The ' || w || ' of all' AS "authorName",
+        'https://t.me/' || w AS "authorLink", CASE turn % 4
+          WHEN 0 THEN 'bare ' || w || '|bold in ' || w || '| tail|end' WHEN 1 THEN 'link never closed ' || w || '|after'
+          WHEN 2 THEN 'own inner ' || w || '|x <y>' ELSE 'open to the end ' || w END AS text, '12K' AS views
+        FROM (SELECT *, role || turn AS w FROM conversations)""",
     "parse_channel_pages": f"""SELECT channel, id, data, author_name AS "authorName", author_link AS "authorLink",
         CASE WHEN turn % 2 = 0 THEN link || '|' || link || 'x' END AS images, array_to_string(parts, '|') AS text,
         CASE WHEN turn % 2 = 1 THEN link END AS videos, views FROM ({_MESSAGES})""",
