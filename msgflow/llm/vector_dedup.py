@@ -1,20 +1,22 @@
 """Near-duplicate vectors by randomised-rotation binary codes.
 
 Vectors are turned to unit length, embedded in `CODE_BITS` dimensions by a random matrix with
-orthonormal columns, and coded by the signs; the code keeps the correction factor that makes
-the inner product of a code and a vector an unbiased estimate of that of the two vectors.
-Vectors of one label whose codes agree in a band of bits are candidates. Among candidates the
-estimate plus its confidence bound decides which pairs are recomputed exactly, in double
-precision; nothing is linked by an estimate.
+orthonormal columns, and coded by the signs. The code is stored once per distinct vector, with the correction
+factor that makes the inner product of a code and a vector an unbiased estimate of that of the two vectors.
+Vectors of one label whose codes agree in a band of bits meet.
 
-Equal vectors of a label are one row with a count. Most (vector, band) rows meet no other one
-and are dropped while they are only numbers; vectors are fetched for the rest. Large buckets
-are cut into blocks, and pairs of blocks go to different tasks; pairs are compared inside a
-task and only counts and a spanning forest of links leave it. A pair that meets in several
-bands is counted in the first one.
+Meetings see codes only. Two vectors at the threshold differ in a known share of the signs; pairs that differ in
+more than that and its confidence bound are settled there. Vectors are fetched for those that are left with an
+undecided partner, and only to the meeting where it is. There the estimate from the stored code and
+factor, plus its bound, decides which pairs are recomputed exactly, in double precision; nothing is linked by an estimate.
 
-`recall` at the threshold is 1 - (1 - p^20)^25 with p = 1 - acos(0.98) / pi: above 0.999 there
-and higher for closer pairs.
+Equal vectors of a label are one row with a count. Most (vector, band) rows meet no other one and are dropped
+while they are only numbers. Large buckets are cut into blocks, and pairs of blocks go to different tasks;
+pairs are compared inside a task: what leaves it are the vectors that need a closer look, then counts
+and a spanning forest of links. A pair that meets in several bands is counted in the first one.
+
+`recall` of the bands at the threshold is 1 - (1 - p^20)^25 with p = 1 - acos(0.98) / pi: above 0.999 there and higher for
+closer pairs; each of the two bounds is four standard deviations wide.
 
 Results for odd input: vectors that are null, empty, zero or hold null or non-finite values, and
 those without a label, link with nothing; vectors of different lengths link with nothing; repeated
@@ -44,7 +46,7 @@ CONFIDENCE = 4.0  # standard deviations of the estimate
 BLOCK = 512  # vectors of a bucket that meet in one task, per side
 _SEED = 5
 
-_CODED = "uid bigint, vec_id bigint, kind string, digest binary, vector binary, size int, bands array<int>"
+_CODED = "uid bigint, vec_id bigint, kind string, digest binary, vector binary, size int, bands array<int>, code binary, factor double"
 _BUCKET = ["kind", "size", "band", "key"]
 
 
@@ -80,6 +82,24 @@ def band_keys(signs: np.ndarray) -> np.ndarray:
     return (used * (1 << np.arange(BAND_BITS))).sum(axis=2).astype(np.int32)
 
 
+def packed_signs(signs: np.ndarray) -> np.ndarray:
+    """Signs as 64-bit words, one row per code."""
+    wide = -signs.shape[1] % 64
+    return np.packbits(np.pad(signs, ((0, 0), (0, wide))), axis=1).view(np.uint64)
+
+
+def unpacked_signs(codes: list[bytes], size: int) -> np.ndarray:
+    """Signs of stored codes of vectors of `size` components."""
+    packed = np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1)
+    return np.unpackbits(packed, axis=1)[:, : max(CODE_BITS, size)].astype(bool)
+
+
+def most_differing(bits: int, threshold: float = THRESHOLD, confidence: float = CONFIDENCE) -> int:
+    """Signs in which two vectors at the threshold may differ, with the confidence bound: a sign differs with the probability angle / pi."""
+    share = np.arccos(threshold) / np.pi
+    return int(np.ceil(bits * share + confidence * np.sqrt(bits * share * (1 - share))))
+
+
 def _coded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = batch.column(3).to_pylist()
@@ -93,18 +113,21 @@ def _coded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     values = None
             vectors.append(values)
         bands: list = [None] * len(vectors)
+        codes, factors = list(bands), list(bands)
         for size in {len(v) for v in vectors if v is not None}:
             places = [i for i, v in enumerate(vectors) if v is not None and len(v) == size]
             unit = _unit(np.stack([vectors[i] for i in places]))
-            for i, keys in zip(places, band_keys(encode(unit)[0])):
-                bands[i] = keys
+            signs, factor = encode(unit)
+            for i, keys, code, own in zip(places, band_keys(signs), packed_signs(signs), factor.tolist()):
+                bands[i], codes[i], factors[i] = keys, code.tobytes(), own
         packed = [None if v is None else (v + 0.0).tobytes() for v in vectors]
         kinds = [None if p is None else str(label) for p, label in zip(packed, labels)]
         digests = [None if p is None else hashlib.sha256(kind.encode() + b"\0" + p).digest() for p, kind in zip(packed, kinds)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(kinds, pa.string()), pa.array(digests, pa.binary()), pa.array(packed, pa.binary()),
-             pa.array([None if v is None else len(v) for v in vectors], pa.int32()), pa.array(bands, pa.list_(pa.int32()))],
-            names=["uid", "vec_id", "kind", "digest", "vector", "size", "bands"],
+             pa.array([None if v is None else len(v) for v in vectors], pa.int32()), pa.array(bands, pa.list_(pa.int32())),
+             pa.array(codes, pa.binary()), pa.array(factors, pa.float64())],
+            names=["uid", "vec_id", "kind", "digest", "vector", "size", "bands", "code", "factor"],
         )
         release()
 
@@ -114,33 +137,66 @@ def _unit(values: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
+_MEETING = ["meeting", "size", "band", "key", "i", "j"]
+
+
+def _meetings(rows: pa.Table) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First and last row of each meeting, and the rows of its two sides, by place in the meeting.
+
+    A meeting's number is a hash: rows of two meetings that share it are told apart by what they hold.
+    """
+    edge = np.unique(np.concatenate([bounds(rows.column(c).to_numpy()) for c in _MEETING]))
+    side, alone = rows.column("side").to_numpy(), rows.column("alone").to_numpy()
+    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        left = np.flatnonzero(side[a:b] == 0)
+        right = left if alone[a] else np.flatnonzero(side[a:b] == 1)
+        if len(left) and len(right):
+            yield a, b, left, right
+
+
+def _pairs(maybe: np.ndarray, left: np.ndarray, right: np.ndarray, alone: bool, signs: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs marked in `maybe` that meet here first: in no earlier band do their codes agree."""
+    i, j = np.nonzero(np.triu(maybe | maybe.T, 1) if alone else maybe)
+    i, j = left[i], right[j]
+    keys = band_keys(signs)
+    first = np.zeros(len(i), bool)
+    for start in range(0, len(i), 1 << 18):
+        part = slice(start, start + (1 << 18))
+        first[part] = np.argmax(keys[i[part]] == keys[j[part]], axis=1) == band
+    return i[first], j[first]
+
+
+def _undecided(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of vectors that have a partner in their meeting which their codes leave undecided."""
+    for rows in whole_groups(batches, "meeting"):
+        codes, sizes = rows.column("code"), rows.column("size").to_numpy()
+        band, alone = rows.column("band").to_numpy(), rows.column("alone").to_numpy()
+        needed = np.zeros(rows.num_rows, bool)
+        for a, b, left, right in _meetings(rows):
+            signs = unpacked_signs(codes.slice(a, b - a).to_pylist(), int(sizes[a]))
+            packed = packed_signs(signs)
+            differing = np.zeros((len(left), len(right)), np.int32)
+            for word in range(packed.shape[1]):
+                differing += np.bitwise_count(packed[left, word][:, None] ^ packed[right, word])
+            i, j = _pairs(differing <= most_differing(signs.shape[1]), left, right, bool(alone[a]), signs, int(band[a]))
+            needed[a + i] = needed[a + j] = True
+        if needed.any():
+            yield from rows.drop_columns(["code"]).filter(pa.array(needed)).to_batches()
+    release()
+
+
 def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of each meeting of two blocks (or of a block with itself): counts per vector and a spanning forest."""
     for rows in whole_groups(batches, "meeting"):
-        # The meeting is a hash: rows of two meetings that share it are told apart by what they hold.
-        exact_keys = [rows.column(c).to_numpy() for c in ("meeting", "size", "band", "key", "i", "j")]
-        edge = np.unique(np.concatenate([bounds(k) for k in exact_keys]))
         rep, copies = rows.column("rep").to_numpy(), rows.column("copies").to_numpy()
-        band, side, alone = (rows.column(c).to_numpy() for c in ("band", "side", "alone"))
-        raw = rows.column("vector").combine_chunks()
+        band, alone, factors = (rows.column(c).to_numpy() for c in ("band", "alone", "factor"))
+        raw, codes, sizes = rows.column("vector").combine_chunks(), rows.column("code"), rows.column("size").to_numpy()
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        for a, b, left, right in _meetings(rows):
             values = np.frombuffer(b"".join(raw.slice(a, b - a).to_pylist()), np.float64).reshape(b - a, -1)
-            unit = _unit(values)
-            signs, factor = encode(unit)
-            keys = band_keys(signs)
-            left = np.flatnonzero(side[a:b] == 0)
-            right = left if alone[a] else np.flatnonzero(side[a:b] == 1)
-            if not len(left) or not len(right):
-                continue
-            estimate, error = estimates(signs[left], factor[left], unit[right])
-            maybe = estimate + error >= THRESHOLD
-            if alone[a]:
-                maybe = np.triu(maybe | maybe.T, 1)
-            i, j = np.nonzero(maybe)
-            i, j = left[i], right[j]
-            first = np.argmax(keys[i] == keys[j], axis=1) == band[a]  # counted in the first band where the pair meets
-            i, j = i[first], j[first]
+            signs = unpacked_signs(codes.slice(a, b - a).to_pylist(), int(sizes[a]))
+            estimate, error = estimates(signs[left], factors[a:b][left], _unit(values)[right])
+            i, j = _pairs(estimate + error >= THRESHOLD, left, right, bool(alone[a]), signs, int(band[a]))
             norm = np.linalg.norm(values, axis=1)
             exact = np.einsum("ij,ij->i", values[i], values[j]) / (norm[i] * norm[j])
             close = exact >= THRESHOLD
@@ -178,11 +234,11 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
 
     # One row per distinct vector of a label; its uid stands for it.
     distinct = coded.where("digest IS NOT NULL").groupBy("digest").agg(
-        F.min(F.struct("uid", "kind", "size", "vector", "bands")).alias("one"),
+        F.min(F.struct("uid", "kind", "size", "vector", "bands", "code", "factor")).alias("one"),
         F.count("*").alias("copies"),
         F.min("vec_id").alias("least"),
     )
-    distinct = stage(distinct.select("digest", "copies", "least", F.col("one.uid").alias("rep"), "one.kind", "one.size", "one.vector", "one.bands"), "distinct")
+    distinct = stage(distinct.select("digest", "copies", "least", F.col("one.uid").alias("rep"), "one.kind", "one.size", "one.vector", "one.bands", "one.code", "one.factor"), "distinct")
 
     members = distinct.select("rep", "kind", "size", F.posexplode("bands").alias("band", "key"))
     shared = members.groupBy(*_BUCKET).count().where("count > 1").withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int")).drop("count")
@@ -194,8 +250,11 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
         (F.col("own") > F.col("other")).cast("int").alias("side"), (F.col("own") == F.col("other")).alias("alone"),
         F.xxhash64(*_BUCKET, F.least("own", "other"), F.greatest("own", "other")).alias("meeting"),
     )
-    filled = meetings.join(distinct.select("rep", "copies", "vector"), "rep")
-    order = ["meeting", "size", "band", "key", "i", "j", "rep"]
+    order = [*_MEETING, "rep"]
+    kept = "rep bigint, size int, band int, key int, i int, j int, side int, alone boolean, meeting bigint"
+    screened = meetings.join(distinct.select("rep", "code"), "rep").repartition("meeting").sortWithinPartitions(*order)
+    screened = stage(screened.mapInArrow(_undecided, kept), "undecided")
+    filled = screened.join(distinct.select("rep", "copies", "code", "factor", "vector"), "rep")
     compared = filled.repartition("meeting").sortWithinPartitions(*order).mapInArrow(_compare, "rep bigint, links bigint, root bigint")
     compared = stage(compared, "compared")
 

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from msgflow.llm import exact_dedup, queries, simhash, vector_dedup
@@ -142,6 +143,36 @@ def test_vectors_equal_brute_force(spark):
     assert found[first_odd + 20]["n_links"] == 0
 
 
+def test_meetings_carry_codes_and_vectors_go_where_they_are_undecided(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    near = rng.standard_normal(48)
+    rows = [(i, (near + rng.standard_normal(48) * 0.02).tolist(), 1) for i in range(40)]
+    rows += [(100 + i, rng.standard_normal(48).tolist(), 1) for i in range(400)]
+    rows += [(1000, None, 1)]
+    seen = {}
+
+    def stage(df, label, path=None, plain=vector_dedup.stage):
+        seen[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return plain(df, label, path)
+
+    monkeypatch.setattr(vector_dedup, "stage", stage)
+    monkeypatch.setattr(vector_dedup, "BLOCK", 8)  # blocks that meet blocks
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").withColumn("code", F.lit("x")).withColumn("factor", F.lit(1))
+    found = {r["vec_id"]: r for r in vector_dedup.near_duplicate_vectors(table).collect()}
+    assert "vector" not in seen["undecided"].split("MapInArrow")[1] and "vector" in seen["compared"]
+    assert [found[i]["n_links"] for i in range(40)] == [39] * 40 and {found[i]["component_id"] for i in range(40)} == {0}
+    assert all(found[i]["n_links"] == 0 for i in found if i >= 100)
+    assert vector_dedup.near_duplicate_vectors(table.where("false")).count() == 0
+
+
+def test_stored_codes_give_back_their_signs():
+    rng = np.random.default_rng(6)
+    for size in (3, 64, 700):
+        signs, _ = vector_dedup.encode(vector_dedup._unit(rng.standard_normal((9, size))))
+        codes = [code.tobytes() for code in vector_dedup.packed_signs(signs)]
+        assert (vector_dedup.unpacked_signs(codes, size) == signs).all()
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(7)
     x = vector_dedup._unit(rng.standard_normal((300, 64)))
