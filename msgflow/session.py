@@ -39,9 +39,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_folder(spark)}/msgflow/{label}-{uuid.uuid4().hex}"
+_made: list[tuple[str, str | None]] = []  # work paths of this process, with the table over each where there is one
+
+
+def work_path(spark: SparkSession, label: str, table: str | None = None) -> str:
+    """A fresh path under the shared folder, which `clear_work` deletes."""
+    path = f"{shared_folder(spark)}/msgflow/{label}-{uuid.uuid4().hex}"
+    _made.append((path, table))
+    return path
+
+
+def clear_work(spark: SparkSession) -> int:
+    """Delete all work tables this process has made, and their names in the catalog; how many.
+
+    For the end of a job: results that are still to be read need theirs.
+    """
+    done = len(_made)
+    while _made:
+        path, table = _made.pop()
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        discard(spark, path)
+    return done
 
 
 def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
@@ -65,8 +84,8 @@ def discard(spark: SparkSession, path: str) -> None:
 def stage_by_key(df: DataFrame, label: str, key: str) -> DataFrame:
     """`stage` into buckets of one key: a later join on the key does not shuffle this side."""
     spark = df.sparkSession
-    path = work_path(spark, label)
-    name = f"staged_{path[-32:]}"
+    name = f"staged_{uuid.uuid4().hex}"
+    path = work_path(spark, label, name)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
     return spark.table(name)

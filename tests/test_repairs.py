@@ -1,11 +1,12 @@
 """Cases in which rows or values were wrong before."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from msgflow import schemas
+from msgflow import schemas, session
 from msgflow.operators import analytics, domains, enrich, sampling, sentiment, skew
 from msgflow.sources import tables
 
@@ -82,3 +83,14 @@ def test_training_with_a_small_vocabulary(spark):
     labelled = spark.createDataFrame([(i, (good if i % 2 else bad) + " shared", i % 2) for i in range(60)], "id bigint, content string, label int")
     done = sentiment.train(labelled, "id", max_words=5)
     assert done.model.stages[2].getVectors().count() == 1  # thirteen words, of which twelve tie below the first
+
+
+def test_work_tables_have_an_end(spark, monkeypatch):
+    monkeypatch.setattr(session, "_made", [])
+    staged = session.stage(spark.range(3), "kept")
+    keyed = session.stage_by_key(spark.range(3), "keyed", "id")
+    assert staged.count() == keyed.count() == 3 and len(session._made) == 2
+    path, (_, name) = session._made[0][0], session._made[1]
+    assert spark.catalog.tableExists(name) and os.path.isdir(path)
+    assert session.clear_work(spark) == 2 and session.clear_work(spark) == 0
+    assert not spark.catalog.tableExists(name) and not os.path.exists(path)
