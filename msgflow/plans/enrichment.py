@@ -63,12 +63,12 @@ def link_intelligence(messages: DataFrame, lookups: LinkLookups, stage_path: str
     """Links of messages with page text, registration and sentiment of the page.
 
     Registrations are joined first, while rows are narrow; the page text is joined
-    last and crosses no further shuffle. With a `stage_path` in shared storage the
-    extracted links are written there first (overwriting it), so that counting their
-    keys for a large lookup does not extract them again.
+    last and crosses no further shuffle. For lookups beyond broadcast size the extracted links are
+    written first, to `stage_path` (overwriting it) where one is given, so that counting their
+    keys does not extract them again.
     """
     urls = cited_urls(messages)
-    if stage_path and not lookups.small:
+    if not lookups.small and not messages.isStreaming:
         urls = stage(urls, "cited-urls", stage_path)
     linked = enrich_pages(enrich_whois(urls, lookups.registry, suffixes=lookups.suffixes), lookups.pages, counted=urls)
     columns = ["id", "channel", "`@timestamp`", "content", "url", "whois"]

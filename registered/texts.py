@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from msgflow.functions import records, text, whois
 from msgflow.operators import domains, enrich
-from msgflow.plans.enrichment import cited_urls, link_intelligence, link_lookups
+from msgflow.plans.enrichment import LinkLookups, cited_urls, link_intelligence, link_lookups
 from registered import inputs, sql
 from registered.inputs import table
 
@@ -137,6 +137,13 @@ def links_unscored(spark, sf):
     return out.withColumnRenamed("@timestamp", "timestamp")
 
 
+def links_unscored_large(spark, sf):
+    """The link query with both lookups in buckets of their keys."""
+    lookups = link_lookups(table(spark, sf, "pages"), inputs.registry(spark, sf))
+    lookups = LinkLookups(inputs.large(lookups.pages, "page-contents"), inputs.large(lookups.registry, "registrations"), None)
+    return link_intelligence(inputs.linked_messages(spark, sf), lookups).withColumnRenamed("@timestamp", "timestamp")
+
+
 QUERIES = {
     "clean_text": clean_text,
     "letters_only": letters_only,
@@ -159,6 +166,7 @@ QUERIES = {
     "enrich_whois_large": enrich_whois_large,
     "whois_json": whois_json,
     "link_intelligence": links_unscored,
+    "link_intelligence_large": links_unscored_large,
 }
 
 _HOST = "lower(regexp_extract(url, '^(?:https?://)?([^/:?#]+)', 1))"
@@ -244,3 +252,4 @@ SQL["page_domains_by_rules"] = f"""
 SQL["visible_text_nested"] = f"""
   SELECT page_id, 'seen ' || page_id || ' ' || CASE WHEN v = '' THEN '' ELSE v || ' ' END || 'kept ' || page_id AS visible
   FROM (SELECT page_id, {sql.visible('html')} AS v FROM pages)"""
+SQL["link_intelligence_large"] = LINKS_SQL
