@@ -1,19 +1,20 @@
 """Katz backoff language model over words.
 
-Tokens are words plus one end per text. Unigram and bigram counts of the training texts are
+Tokens are words plus one end per text. Counts of n-grams of the training texts, up to the model's order, are
 discounted by Good-Turing: with numbers of n-grams per count fitted by n_r ~ r^b (the linear
 form), a count r is worth r (1 + 1/r)^(b + 1). The mass that leaves is spread over words not
-seen after a history in proportion to their unigram probability, with weights that make every
-history sum to one; unigrams leave theirs to one class of unknown words. A token is scored by its
-bigram if that was seen, else by the weight of its history times its unigram, else as unknown.
+seen after a history in proportion to their probability after the shorter one, with weights that make every
+history sum to one; unigrams leave theirs to one class of unknown words. A token is scored recursively: by the
+n-gram with its longest history if that was seen, else by the weight of that history times the score with a history
+one word shorter, at last by its unigram or as unknown. A text starts with one mark, so the histories of its first tokens are shorter.
 
 How the work is split: texts are turned once into chunks of about `CHUNK_TOKENS` tokens (a table
 with the chunk's distinct words and its tokens as places in that list). Every chunk asks for the
-counts of its distinct words and bigrams, in blocks by a hash of the key; for each slice of the hash
+counts of its distinct n-grams, in blocks by a hash of the key; for each slice of the hash
 space (`bucket`) one task adds up the counts, so the count tables are partitioned by bucket, and
 answers go back to the chunks. A key that occurs everywhere costs one entry per chunk. Weights of
-histories are sums over owned bigrams, each owned by the first chunk that asked for it, and are
-joined to the tokens that back off. Keys are 64-bit hashes of words and pairs.
+histories are sums over owned n-grams, each owned by the first chunk that asked for it, and are
+joined to the tokens that back off. Keys are 64-bit hashes of words and n-grams.
 
 Results for odd input: null and empty text is the end token alone; repeated rows are scored and
 counted like others; texts whose `learn` is null are scored but not learned from; without any training text
@@ -40,6 +41,7 @@ from msgflow.session import stage
 
 CHUNK_TOKENS = 2_000_000
 SPECTRUM = 40  # counts r = 1 .. SPECTRUM whose numbers of n-grams are fitted
+ORDER = 2  # tokens of the longest n-grams
 _PART_BITS = 33
 _END = np.uint64(xxh64_intdigest(b" "))  # no word holds a space
 _START = np.uint64(xxh64_intdigest(b"  "))
@@ -49,7 +51,7 @@ _ASKED = "bucket bigint, kind bigint, chunk bigint, keys binary, counts binary"
 _ANSWERED = "chunk bigint, kind bigint, bucket bigint, totals binary, owned binary, spectrum array<bigint>, tokens bigint, types bigint"
 _SCORED = (
     "kind int, uid bigint, doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double, "
-    "history bigint, times bigint, mass double, lower double"
+    "level int, history bigint, times bigint, mass double, lower double"
 )
 
 
@@ -126,36 +128,53 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     release()
 
 
+@dataclass
+class Grams:
+    """The distinct n-grams of one length in a chunk, in order of their hashes."""
+
+    hashes: np.ndarray
+    of_token: np.ndarray  # place of the n-gram that ends at each token; -1 where the text has too few words before it
+    history: np.ndarray  # place of each n-gram's first words among those of the length below; for bigrams len(words) is the start
+    shorter: np.ndarray  # place of each n-gram's last words among those of the length below
+
+
 @dataclass
 class Chunk:
-    """A chunk's texts as token places; place len(words) is the start of a text."""
+    """A chunk's texts as n-grams; `grams[0]` are the words themselves."""
 
     words: np.ndarray
     tokens: np.ndarray
-    before: np.ndarray  # place of the word before each token
     learned: np.ndarray  # per token
     lengths: np.ndarray
-    pairs: np.ndarray  # hashes of the distinct bigrams, sorted
-    pair_of: np.ndarray  # place of each token's bigram in `pairs`
-    pair_history: np.ndarray  # place of the first word of each distinct bigram
-    pair_word: np.ndarray
+    grams: list[Grams]
 
     @classmethod
-    def read(cls, row: dict) -> Chunk:
+    def read(cls, row: dict, order: int) -> Chunk:
         words = unpack_sorted(row["words"])
         tokens = unpack(row["tokens"], np.uint32).astype(np.int64)
         lengths = np.frombuffer(row["lengths"], np.int64)
         starts = np.concatenate([[0], np.cumsum(lengths)])[:-1]
-        before = np.concatenate([[0], tokens[:-1]])
-        before[starts] = len(words)
         learned = np.repeat(np.frombuffer(row["learned"], bool), lengths)
-        codes, pair_of = np.unique(before * (len(words) + 1) + tokens, return_inverse=True)
-        history, word = np.divmod(codes, len(words) + 1)
-        hashes = pair_hash(np.append(words, _START)[history], words[word])
-        order = np.argsort(hashes, kind="stable")
-        place = np.empty_like(order)
-        place[order] = np.arange(len(order))
-        return cls(words, tokens, before, learned, lengths, hashes[order], place[pair_of], history[order], word[order])
+        none = np.zeros(0, np.int64)
+        grams = [Grams(words, tokens, none, none)]
+        for size in range(2, order + 1):
+            below = grams[-1]
+            before = np.concatenate([[0], below.of_token[:-1]])
+            before[starts] = len(words) if size == 2 else -1
+            whole = np.flatnonzero(before >= 0)
+            codes, of_whole = np.unique(before[whole] * (len(words) + 1) + tokens[whole], return_inverse=True)
+            history, word = np.divmod(codes, len(words) + 1)
+            hashes = pair_hash((np.append(words, _START) if size == 2 else below.hashes)[history], words[word])
+            order_of = np.argsort(hashes, kind="stable")
+            place = np.empty_like(order_of)
+            place[order_of] = np.arange(len(order_of))
+            of_token = place[of_whole] if len(whole) == len(tokens) else np.full(len(tokens), -1, np.int64)
+            if len(whole) != len(tokens):
+                of_token[whole] = place[of_whole]
+            shorter = np.zeros(len(codes), np.int64)
+            shorter[of_token[whole]] = below.of_token[whole]
+            grams.append(Grams(hashes[order_of], of_token, history[order_of], shorter))
+        return cls(words, tokens, learned, lengths, grams)
 
 
 def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -165,19 +184,17 @@ def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mixed ^ mixed >> np.uint64(32)
 
 
-def _asked(bits: int):
+def _asked(bits: int, order: int):
     """Blocks of keys and their counts in the training texts of a chunk, by the top bits of the key."""
 
     def asked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                chunk = Chunk.read(row)
-                parts = (
-                    (1, chunk.words, np.bincount(chunk.tokens[chunk.learned], minlength=len(chunk.words))),
-                    (2, chunk.pairs, np.bincount(chunk.pair_of[chunk.learned], minlength=len(chunk.pairs))),
-                )
+                chunk = Chunk.read(row, order)
                 rows = []
-                for kind, keys, counts in parts:
+                for kind, grams in enumerate(chunk.grams, 1):
+                    keys, places = grams.hashes, grams.of_token[chunk.learned]
+                    counts = np.bincount(places[places >= 0], minlength=len(keys))
                     bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
                     edge = bounds(bucket)
                     for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
@@ -222,7 +239,7 @@ def _answered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Discounts:
     """What the model knows as a whole."""
 
-    slopes: tuple[float, float]  # b of n_r ~ r^b for unigrams and bigrams
+    slopes: tuple[float, ...]  # b of n_r ~ r^b for n-grams of each length
     tokens: int
     types: int
     texts: int
@@ -245,51 +262,71 @@ def fitted_slope(spectrum: list[int]) -> float:
 def _scored(model: Discounts):
     names = [f.split()[0] for f in _SCORED.split(", ")]
     log10 = np.log10
+    top = len(model.slopes)
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         answers = right.sort_by([("kind", "ascending"), ("bucket", "ascending")])
         kinds = answers.column("kind").to_numpy()
         totals, owned = {}, {}
-        for kind in (1, 2):
+        for kind in range(1, top + 1):
             rows = np.flatnonzero(kinds == kind).tolist()
             found = [unpack(answers.column("totals")[i].as_py(), np.int64) for i in rows]
             bits = [np.unpackbits(np.frombuffer(answers.column("owned")[i].as_py(), np.uint8), count=len(t)).astype(bool) for i, t in zip(rows, found)]
-            totals[kind], owned[kind] = np.concatenate(found), np.concatenate(bits)
+            totals[kind] = np.concatenate(found) if found else np.zeros(0, np.int64)
+            owned[kind] = np.concatenate(bits) if bits else np.zeros(0, bool)
         row = left.to_pylist()[0]
-        chunk = Chunk.read(row)
-        words, pairs = totals[1], totals[2]
-        histories = np.append(words, model.texts)  # how often a word, or the start, came before another token
-        with np.errstate(divide="ignore", invalid="ignore"):
-            lower = np.where(words > 0, model.discounted(1, words) / max(1, model.tokens), model.unknown)
-            seen = log10(model.discounted(2, pairs)) - log10(histories[chunk.pair_history])
-        token_pairs = pairs[chunk.pair_of]
-        backed = token_pairs == 0
-        score = np.where(backed, log10(lower)[chunk.tokens], seen[chunk.pair_of])
-        base = log10((words + 1) / (model.tokens + model.types + 1))[chunk.tokens]
+        chunk = Chunk.read(row, top)
+        words = totals[1]
         starts = np.concatenate([[0], np.cumsum(chunk.lengths)])[:-1]
         n = len(starts)
-        sums = [np.add.reduceat(v, starts) for v in (words[chunk.tokens] > 0, base, score)] if n else [np.zeros(0)] * 3
         uids = np.frombuffer(row["uids"], np.int64)
 
         def filled(size: int, **values) -> dict:
             return {name: values.get(name, [None] * size) for name in names}
 
-        tables = [filled(n, kind=[0] * n, uid=uids, doc_id=row["doc_ids"], n_tokens=chunk.lengths, n_known=sums[0].astype(np.int64), base_score=sums[1], score=sums[2])]
-
-        # Sums over the bigrams that this chunk owns, for the weights of their histories.
-        hashes = np.append(chunk.words, _START).view(np.int64)
-        own = owned[2] & (pairs > 0)
-        places = chunk.pair_history[own]
-        mass = np.bincount(places, model.discounted(2, pairs[own]), len(hashes))
-        below = np.bincount(places, lower[chunk.pair_word[own]], len(hashes))
-        used = np.unique(places)
-        tables.append(filled(len(used), kind=[1] * len(used), history=hashes[used], mass=mass[used] / histories[used], lower=below[used]))
-
-        # Tokens that back off from a history that was seen, per text and history.
-        back = np.flatnonzero(backed & (histories[chunk.before] > 0))
-        codes, times = np.unique(np.repeat(np.arange(n), chunk.lengths)[back] * len(hashes) + chunk.before[back], return_counts=True)
-        text, place = np.divmod(codes, len(hashes))
-        tables.append(filled(len(codes), kind=[2] * len(codes), uid=uids[text], history=hashes[place], times=times))
+        tables = []
+        with np.errstate(divide="ignore", invalid="ignore"):
+            probability = np.where(words > 0, model.discounted(1, words) / max(1, model.tokens), model.unknown)  # of every n-gram seen, after its history
+            score = log10(probability)[chunk.tokens]  # with histories of up to so many words
+        histories, hashes = np.append(words, model.texts), np.append(chunk.words, _START).view(np.int64)  # how often a word, or the start, came before another token
+        # From short histories to long ones: a token not seen after a history keeps its score with the shorter one, times the history's weight.
+        owner = np.repeat(np.arange(n), chunk.lengths)
+        waiting: list[tuple[int, np.ndarray, np.ndarray]] = []  # level, tokens that back off, places of their histories
+        for kind in range(2, top + 1):
+            grams, counts = chunk.grams[kind - 1], totals[kind]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                after = model.discounted(kind, counts) / histories[grams.history]
+                seen = log10(after)
+            whole = grams.of_token >= 0
+            found = whole.copy()
+            found[whole] = counts[grams.of_token[whole]] > 0
+            score = np.where(found, seen[grams.of_token], score) if len(seen) else score
+            waiting = [(level, *(x[~found[tokens]] for x in (tokens, places))) for level, tokens, places in waiting]  # a token seen here backs off no more
+            back = np.flatnonzero(whole & ~found)
+            places = grams.history[grams.of_token[back]]
+            known = histories[places] > 0
+            waiting.append((kind, back[known], places[known]))
+
+            # Sums over the n-grams that this chunk owns, for the weights of their histories.
+            own = owned[kind] & (counts > 0)
+            places = grams.history[own]
+            mass = np.bincount(places, after[own], len(hashes))
+            below = np.bincount(places, probability[grams.shorter[own]], len(hashes))
+            used = np.unique(places)
+            tables.append(filled(len(used), kind=[1] * len(used), level=[kind] * len(used), history=hashes[used], mass=mass[used], lower=below[used]))
+
+            # Tokens that back off, by text and history; those of shorter histories that turn out not to are taken back below.
+            waiting[-1] = (*waiting[-1][:2], hashes[waiting[-1][2]])
+            probability, histories, hashes = after, counts, grams.hashes.view(np.int64)
+        for level, tokens, keys in waiting:
+            distinct, places = np.unique(keys, return_inverse=True)
+            codes, times = np.unique(owner[tokens] * max(1, len(distinct)) + places, return_counts=True)
+            text, place = np.divmod(codes, max(1, len(distinct)))
+            tables.append(filled(len(codes), kind=[2] * len(codes), level=[level] * len(codes), uid=uids[text], history=distinct[place], times=times))
+
+        base = log10((words + 1) / (model.tokens + model.types + 1))[chunk.tokens]
+        sums = [np.add.reduceat(v, starts) for v in (words[chunk.tokens] > 0, base, score)] if n else [np.zeros(0)] * 3
+        tables.append(filled(n, kind=[0] * n, uid=uids, doc_id=row["doc_ids"], n_tokens=chunk.lengths, n_known=sums[0].astype(np.int64), base_score=sums[1], score=sums[2]))
         schema = pa.schema([(f.split()[0], {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}[f.split()[1]]) for f in _SCORED.split(", ")])
         result = pa.concat_tables([pa.table({k: pa.array(v, schema.field(k).type) for k, v in t.items()}, schema=schema) for t in tables])
         release()
@@ -311,8 +348,10 @@ def _discounted_mass(model: Discounts):
     return summed
 
 
-def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
-    """Every text scored by the model of the texts for which `learn` holds.
+def score_texts(
+    docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None, order: int = ORDER
+) -> DataFrame:
+    """Every text scored by the model of the texts for which `learn` holds, with n-grams of up to `order` tokens.
 
     uid, doc_id, n_tokens, n_known, train_tokens, base_score (add-one unigrams) and score
     (log10 probability). `buckets`, a power of two, is the number of slices of the count tables;
@@ -325,14 +364,14 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
     chunks = stage(rows.mapInArrow(_chunks, _CHUNKS), "chunks")
     number = chunks.count()
     bits = max(4, math.ceil(math.log2(buckets or max(64, min(8192, 2 * number)))))
-    asked = chunks.mapInArrow(_asked(bits), _ASKED)
+    asked = chunks.mapInArrow(_asked(bits, order), _ASKED)
     asked = asked.repartition("bucket").sortWithinPartitions("bucket", "kind", "chunk")
     answered = stage(asked.mapInArrow(_answered, _ANSWERED), "counts")
 
     numbers = {r["kind"]: r for r in answered.groupBy("kind").agg(
         F.sum("tokens").alias("tokens"), F.sum("types").alias("types"), *[F.sum(F.col("spectrum")[i]).alias(f"n{i}") for i in range(SPECTRUM)]
     ).collect()}
-    slopes = tuple(fitted_slope([numbers[k][f"n{i}"] for i in range(SPECTRUM)]) if k in numbers else -2.0 for k in (1, 2))
+    slopes = tuple(fitted_slope([numbers[k][f"n{i}"] for i in range(SPECTRUM)]) if k in numbers else -2.0 for k in range(1, order + 1))
     texts = rows.where("learned").count()
     model = Discounts(slopes, numbers[1]["tokens"] if 1 in numbers else 0, numbers[1]["types"] if 1 in numbers else 0, texts)
     if model.tokens:
@@ -341,9 +380,9 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
 
     scored = chunks.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(_scored(model), _SCORED)
     scored = stage(scored, "scored")
-    weights = scored.where("kind = 1").groupBy("history").agg(F.sum("mass").alias("mass"), F.sum("lower").alias("lower"))
-    weights = weights.select("history", F.log10((1 - F.col("mass")) / (1 - F.col("lower"))).alias("weight"))
-    backed = scored.where("kind = 2").select("uid", "history", "times").join(weights, "history")
+    weights = scored.where("kind = 1").groupBy("level", "history").agg(F.sum("mass").alias("mass"), F.sum("lower").alias("lower"))
+    weights = weights.select("level", "history", F.log10((1 - F.col("mass")) / (1 - F.col("lower"))).alias("weight"))
+    backed = scored.where("kind = 2").select("uid", "level", "history", "times").join(weights, ["level", "history"])
     added = backed.groupBy("uid").agg(F.sum(F.col("times") * F.col("weight")).alias("added"))
     return scored.where("kind = 0").select("uid", "doc_id", "n_tokens", "n_known", "base_score", "score").join(added, "uid", "left").select(
         "uid", "doc_id", "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score",

@@ -1,5 +1,6 @@
 """Toxicity, language, Katz model and URL filter."""
 
+import functools
 import math
 import random
 from collections import Counter, defaultdict
@@ -118,56 +119,62 @@ def test_language_on_held_out_rows(spark):
     assert rows.where("lang = lang_pred").count() >= 0.98 * rows.count()
 
 
-def slow_katz(docs, learned):
+def slow_katz(docs, learned, order):
     def tokens(text):
         return ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in __import__("re").findall(r"[^\x20\x09-\x0d]+", text or "")] + [" "]
 
-    ones, twos, texts = Counter(), Counter(), 0
+    counts, texts = [Counter() for _ in range(order + 1)], 0
     for (_, text), train in zip(docs, learned):
         if train:
             texts += 1
-            words = tokens(text)
-            ones.update(words)
-            twos.update(zip(["  ", *words[:-1]], words))
-    total, types = sum(ones.values()), len(ones)
-    slopes = [katz.fitted_slope([sum(c == r for c in counts.values()) for r in range(1, katz.SPECTRUM + 1)]) for counts in (ones, twos)]
-
-    def star(order, r):
-        return r * (1 + 1 / r) ** (slopes[order] + 1)
-
-    unknown = 1 - sum(star(0, c) for c in ones.values()) / total if total else 1.0
+            words = ["  ", *tokens(text)]
+            counts[1].update((w,) for w in words[1:])
+            for k in range(2, order + 1):
+                counts[k].update(zip(*[words[i:] for i in range(k)]))
+    total, types = sum(counts[1].values()), len(counts[1])
+    slopes = [None] + [katz.fitted_slope([sum(c == r for c in found.values()) for r in range(1, katz.SPECTRUM + 1)]) for found in counts[1:]]
+    followers = defaultdict(list)
+    for found in counts[2:]:
+        for gram in found:
+            followers[gram[:-1]].append(gram[-1])
 
-    def lower(word):
-        return star(0, ones[word]) / total if ones[word] else unknown
+    def star(k, r):
+        return r * (1 + 1 / r) ** (slopes[k] + 1)
 
-    followers = defaultdict(list)
-    for a, b in twos:
-        followers[a].append(b)
+    unknown = 1 - sum(star(1, c) for c in counts[1].values()) / total if total else 1.0
 
     def count(history):
-        return texts if history == "  " else ones[history]
+        return texts if history == ("  ",) else counts[len(history)][history]
 
     def probability(history, word):
-        if twos[history, word]:
-            return star(1, twos[history, word]) / count(history)
+        k = len(history) + 1
+        seen = counts[k][*history, word]
+        if not history:
+            return star(1, seen) / total if seen else unknown
+        if seen:
+            return star(k, seen) / count(history)
+        return weight(history) * probability(history[1:], word)
+
+    @functools.cache
+    def weight(history):
         if not count(history):
-            return lower(word)
-        mass = sum(star(1, twos[history, w]) for w in followers[history]) / count(history)
-        return (1 - mass) / (1 - sum(lower(w) for w in followers[history])) * lower(word)
+            return 1.0
+        mass = sum(star(len(history) + 1, counts[len(history) + 1][*history, w]) for w in followers[history]) / count(history)
+        return (1 - mass) / (1 - sum(probability(history[1:], w) for w in followers[history]))
 
     rows = []
     for doc_id, text in docs:
-        words = tokens(text)
-        score = sum(math.log10(probability(a, b)) for a, b in zip(["  ", *words[:-1]], words))
-        base = sum(math.log10((ones[w] + 1) / (total + types + 1)) for w in words)
-        rows.append((doc_id, len(words), sum(ones[w] > 0 for w in words), total, base, score))
-    for history in [*list(followers)[:20], "nothing"]:  # every history sums to one over all words and the unknown class
-        assert math.isclose(sum(probability(history, w) for w in [*ones, "never seen"]), 1.0, abs_tol=1e-9)
+        words = ["  ", *tokens(text)]
+        score = sum(math.log10(probability(tuple(words[max(0, i - order + 1) : i]), words[i])) for i in range(1, len(words)))
+        base = sum(math.log10((counts[1][w,] + 1) / (total + types + 1)) for w in words[1:])
+        rows.append((doc_id, len(words) - 1, sum(counts[1][w,] > 0 for w in words[1:]), total, base, score))
+    for history in [*list(followers)[:20], *list(followers)[-20:], *[("nothing",)] * (order > 1)]:  # every history sums to one over all words and the unknown class
+        assert math.isclose(sum(probability(history, w) for w in [*(w for w, in counts[1]), "never seen"]), 1.0, abs_tol=1e-9)
     return rows
 
 
-@pytest.mark.parametrize("size", [150, 2_000_000])
-def test_katz_equals_brute_force(spark, monkeypatch, size):
+@pytest.mark.parametrize("size, order", [(150, 2), (2_000_000, 2), (150, 3), (150, 4), (2_000_000, 1)])
+def test_katz_equals_brute_force(spark, monkeypatch, size, order):
     monkeypatch.setattr(katz, "CHUNK_TOKENS", size)
     rng = random.Random(11)
     words = ["the", "The", "a", "cat", "sat", "ÉTÉ", "été", "x\u00a0y", "\x1c"] + [f"w{i}" for i in range(30)]
@@ -175,8 +182,8 @@ def test_katz_equals_brute_force(spark, monkeypatch, size):
     docs += [(100, None), (101, ""), (102, " \n\t "), (103, "new words only"), (104, " the  cat\nsat ")]
     learned = [i % 7 != 2 for i, _ in docs]
     frame = spark.createDataFrame([(i, t, 1.0) for i, t in docs], "doc_id bigint, text string, score double").repartition(3)
-    found = {r["doc_id"]: r for r in katz.score_texts(frame, F.col("doc_id") % 7 != 2).collect()}
-    for doc_id, n, known, total, base, score in slow_katz(docs, learned):
+    found = {r["doc_id"]: r for r in katz.score_texts(frame, F.col("doc_id") % 7 != 2, order=order).collect()}
+    for doc_id, n, known, total, base, score in slow_katz(docs, learned, order):
         row = found[doc_id]
         assert (row["n_tokens"], row["n_known"], row["train_tokens"]) == (n, known, total)
         assert row["base_score"] == pytest.approx(base, rel=1e-9, abs=1e-9) and row["score"] == pytest.approx(score, rel=1e-9, abs=1e-9)
