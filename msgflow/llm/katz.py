@@ -39,7 +39,7 @@ from xxhash import xxh64_intdigest
 from msgflow.llm.common import bounds, own_columns, release, spans_of, whole_groups
 from msgflow.session import stage
 
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 SPECTRUM = 40  # counts r = 1 .. SPECTRUM whose numbers of n-grams are fitted
 ORDER = 2  # tokens of the longest n-grams
 _PART_BITS = 33

@@ -3,6 +3,7 @@
 import functools
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -249,3 +250,18 @@ def test_trees_keep_the_share_of_blocks_on_a_small_sample(spark):
         shares[bound] = sum(r["verdict"] == "block" for r in found) / len(found)
         assert abs(np.mean([r["score"] for r in found]) - 0.2) < 0.05
     assert abs(shares[20_000] - shares[1000]) < 0.05
+
+
+def test_katz_chunk_takes_bounded_memory():
+    """Two tasks of an executor hold a chunk each, beside its heap."""
+    rng = np.random.default_rng(0)
+    texts = [" ".join(f"w{n}" for n in rng.zipf(1.2, 2_000) % 200_000) for _ in range(1_300)]
+    ids = pa.array(range(50), pa.int64())
+    batches = (pa.record_batch([ids, ids, pa.array([True] * 50), pa.array(texts[n : n + 50])], names=["uid", "doc_id", "learned", "text"]) for n in range(0, 1_300, 50))
+    (row,) = next(katz._chunks(batches)).to_pylist()
+    tracemalloc.start()
+    try:
+        assert len(katz.Chunk.read(row, katz.ORDER).tokens) >= katz.CHUNK_TOKENS
+        assert tracemalloc.get_traced_memory()[1] < 120 << 20
+    finally:
+        tracemalloc.stop()
