@@ -10,7 +10,6 @@ from msgflow import schemas, session
 from msgflow.operators import analytics, domains, enrich, sampling, sentiment, skew
 from msgflow.sources import tables
 
-
 @pytest.mark.parametrize("small", [True, False])
 def test_one_row_per_key_on_ties(spark, monkeypatch, small):
     monkeypatch.setattr(skew, "is_small", lambda *_: small)
@@ -94,3 +93,18 @@ def test_work_tables_have_an_end(spark, monkeypatch):
     assert spark.catalog.tableExists(name) and os.path.isdir(path)
     assert session.clear_work(spark) == 2 and session.clear_work(spark) == 0
     assert not spark.catalog.tableExists(name) and not os.path.exists(path)
+
+
+@pytest.mark.parametrize("texts, expected", [(0, 4), (3, 4), (9, 9), (10, 10)])
+def test_learners_follow_the_words(spark, monkeypatch, texts, expected):
+    monkeypatch.setattr(sentiment, "LEARNER_WORDS", 6)
+    frame = spark.createDataFrame([(["w"] * 6,)] * texts, "filtered_words array<string>")
+    assert sentiment.learners(frame) == expected
+
+
+def test_word_vectors_are_learned_by_as_many_tasks_as_the_words_need(spark, monkeypatch):
+    monkeypatch.setattr(sentiment, "LEARNER_WORDS", 42)
+    good, bad = "happy sunny lovely bright day friends", "angry rainy awful dark night enemies"
+    labelled = spark.createDataFrame([(i, (good if i % 2 else bad) + " shared", i % 2) for i in range(60)], "id bigint, content string, label int")
+    assert sentiment.train(labelled, "id").model.stages[2].getNumPartitions() == 10
+    assert sentiment.train(labelled, "id", partitions=1).model.stages[2].getNumPartitions() == 1
