@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from msgflow import schemas, session
 from msgflow.operators import analytics, domains, enrich, sampling, sentiment, skew
 from msgflow.sources import tables
+from registered import scored
+
 
 @pytest.mark.parametrize("small", [True, False])
 def test_one_row_per_key_on_ties(spark, monkeypatch, small):
@@ -108,3 +110,12 @@ def test_word_vectors_are_learned_by_as_many_tasks_as_the_words_need(spark, monk
     labelled = spark.createDataFrame([(i, (good if i % 2 else bad) + " shared", i % 2) for i in range(60)], "id bigint, content string, label int")
     assert sentiment.train(labelled, "id").model.stages[2].getNumPartitions() == 10
     assert sentiment.train(labelled, "id", partitions=1).model.stages[2].getNumPartitions() == 1
+
+
+def test_feed_with_an_empty_batch_is_written_by_many_tasks(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(scored, "work_path", lambda _, label: f"{tmp_path}/{label}")
+    spark.range(400).selectExpr("id AS doc_id", "'a\nb' AS text", "'s' AS source").write.parquet(f"{tmp_path}/documents.parquet")
+    found = scored.stream_empty_batches(spark, str(tmp_path)).collect()
+    assert sorted(int(r["id"]) for r in found) == list(range(400)) and {r["folders"] for r in found} == {2}
+    lines = [len((tmp_path / "feed" / name).read_text().splitlines()) for name in os.listdir(tmp_path / "feed") if name.startswith("part-")]
+    assert sum(lines) == 400 and max(lines) < 100
