@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from msgflow import schemas, session
 from msgflow.operators import analytics, domains, enrich, sampling, sentiment, skew
 from msgflow.sources import tables
-from registered import scored
+from registered import scored, training
 
 
 @pytest.mark.parametrize("small", [True, False])
@@ -119,3 +119,18 @@ def test_feed_with_an_empty_batch_is_written_by_many_tasks(spark, monkeypatch, t
     assert sorted(int(r["id"]) for r in found) == list(range(400)) and {r["folders"] for r in found} == {2}
     lines = [len((tmp_path / "feed" / name).read_text().splitlines()) for name in os.listdir(tmp_path / "feed") if name.startswith("part-")]
     assert sum(lines) == 400 and max(lines) < 100
+
+
+def test_mean_vectors_shuffle_no_words(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, "happy day happy"), (2, "dark night"), (3, "unheard"), (4, "")], "doc_id bigint, content string").withColumn("label", F.col("doc_id") % 2)
+    model = sentiment.fit(rows.where("doc_id < 3").union(rows.where("doc_id < 3")).crossJoin(spark.range(5)).drop("id"), "content", "label")
+    monkeypatch.setattr(training, "fitted", lambda *_: model)
+    monkeypatch.setattr(scored.inputs, "labelled", lambda *_: rows)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # vectors beyond the size that Spark broadcasts by itself
+    try:
+        found = scored.mean_vectors(spark, "")
+        assert "Exchange hashpartitioning(word" not in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(tuple(r) for r in found.collect()) == [(1, 3, True), (2, 2, True), (3, 0, True), (4, 0, True)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
