@@ -134,3 +134,15 @@ def test_mean_vectors_shuffle_no_words(spark, monkeypatch):
         assert sorted(tuple(r) for r in found.collect()) == [(1, 3, True), (2, 2, True), (3, 0, True), (4, 0, True)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_regression_runs_in_as_many_tasks_as_cores(spark, monkeypatch):
+    seen, learn = [], sentiment.LogisticRegression.fit
+    monkeypatch.setattr(sentiment.LogisticRegression, "fit", lambda self, rows: seen.append(rows) or learn(self, rows))
+    good, bad = "happy sunny lovely bright day friends", "angry rainy awful dark night enemies"
+    cores = spark.sparkContext.defaultParallelism
+    for parts, expected in ((4 * cores, cores), (10 * cores, -(-10 * cores // sentiment.MERGED)), (1, 1)):
+        rows = spark.createDataFrame([(good if i % 2 else bad, i % 2) for i in range(60)], "content string, label int").repartition(parts)
+        model = sentiment.fit(rows, "content", "label")
+        assert seen[-1].rdd.getNumPartitions() == expected
+        assert seen[-1].count() == 60 and model.transform(rows).where("prediction = label").count() == 60
