@@ -146,3 +146,20 @@ def test_regression_runs_in_as_many_tasks_as_cores(spark, monkeypatch):
         model = sentiment.fit(rows, "content", "label")
         assert seen[-1].rdd.getNumPartitions() == expected
         assert seen[-1].count() == 60 and model.transform(rows).where("prediction = label").count() == 60
+
+
+def test_regression_takes_vectors_spread_evenly_and_computed_once(spark, monkeypatch):
+    seen, learn = [], sentiment.LogisticRegression.fit
+
+    def fit(self, rows):
+        sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+        seen.append((rows.is_cached or rows.storageLevel.useMemory, sorted(sizes)))
+        return learn(self, rows)
+
+    monkeypatch.setattr(sentiment.LogisticRegression, "fit", fit)
+    good, bad = "happy sunny lovely bright day friends", "angry rainy awful dark night enemies"
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.createDataFrame([(good if i % 2 else bad, i % 2) for i in range(10 * cores)], "content string, label int")
+    model = sentiment.fit(rows.repartition(4 * cores, F.lit(0)), "content", "label")  # all of them in one partition of many
+    assert seen == [(True, [10] * cores)]
+    assert model.transform(rows).where("prediction = label").count() == 10 * cores
