@@ -1,5 +1,6 @@
 """Cases in which rows or values were wrong before."""
 
+import inspect
 import json
 import os
 
@@ -79,6 +80,13 @@ def test_vocabulary_has_a_ceiling(spark, max_words, expected):
     assert sentiment.least_count(frame, max_words=max_words) == expected
 
 
+def test_vocabulary_is_whole_unless_a_ceiling_is_given(spark):
+    words = F.sequence(F.col("id") * 3000, F.col("id") * 3000 + 2999)  # 501,000 words, each five times
+    frame = spark.range(167).select(F.explode(F.array_repeat(F.transform(words, lambda n: n.cast("string")), 5)).alias("filtered_words"))
+    assert sentiment.least_count(frame) == sentiment.MIN_COUNT
+    assert {inspect.signature(f).parameters["max_words"].default for f in (sentiment.fit, sentiment.train)} == {None}
+
+
 def test_training_with_a_small_vocabulary(spark):
     good, bad = "happy sunny lovely bright day friends", "angry rainy awful dark night enemies"
     labelled = spark.createDataFrame([(i, (good if i % 2 else bad) + " shared", i % 2) for i in range(60)], "id bigint, content string, label int")
